@@ -18,25 +18,26 @@ Field = Callable[[str], Column]
 
 
 def valid_reading(ranges: Ranges = Ranges(), field: Field = F.col) -> Column:
-    """All of lon, lat, velocity, accel and gyro in their closed ranges; NULL and NaN are not."""
+    """All of lon, lat, velocity, accel and gyro in their closed ranges; NULL and NaN are not.
+
+    Plain comparisons, so a filter by it reaches the Parquet scan.
+    """
     limits = {"lon": ranges.lon, "lat": ranges.lat, "velocity": ranges.speed}
     limits |= {f"accel_{axis}": ranges.accel for axis in "xyz"}
     limits |= {f"gyro_{axis}": ranges.gyro for axis in "xyz"}
     tests = (field(name).between(low, high) for name, (low, high) in limits.items())
-    return F.coalesce(reduce(Column.__and__, tests), F.lit(False))
+    return reduce(Column.__and__, tests)
 
 
 def in_any_box(
     boxes: Iterable[Box], field: Field = F.col, lon: str = "lon", lat: str = "lat"
 ) -> Column:
     """Inside at least one box, edges included. No box, no point."""
-    inside = F.lit(False)
-    for box in boxes:
-        inside = inside | (
-            field(lon).between(box.min_lon, box.max_lon)
-            & field(lat).between(box.min_lat, box.max_lat)
-        )
-    return F.coalesce(inside, F.lit(False))
+    inside = [
+        field(lon).between(box.min_lon, box.max_lon) & field(lat).between(box.min_lat, box.max_lat)
+        for box in boxes
+    ]
+    return reduce(Column.__or__, inside) if inside else F.lit(False)
 
 
 def usable_context(limits: ContextLimits = ContextLimits()) -> Column:

@@ -21,11 +21,7 @@ from bumpwise.schema import SENSOR_COLUMNS
 
 ERRORS, FILTERED_OUT, PROCESSED = "errors", "filtered_out", "processed"
 
-_MEASURED = (
-    "accel_x", "accel_y", "accel_z", "gyro_x", "gyro_y", "gyro_z",
-    "velocity", "lon", "lat", "hdop", "satellites",
-)
-_WHOLE_NUMBERS = ("BIGINT", "DOUBLE", "FLOAT")
+_NUMBERS = ("BIGINT", "DOUBLE", "FLOAT")
 _INT_MIN, _INT_MAX = -(2**31), 2**31 - 1
 
 
@@ -51,49 +47,45 @@ def parse_trips(
     """
     passed = [name for name in messages.columns if name != "value"]
     doc = F.col("_doc")
-    document = messages.withColumn("_doc", F.try_parse_json("value"))
-    header = document.select(
+    parsed = messages.withColumn("_doc", F.try_parse_json("value")).select(
         *passed,
         F.try_variant_get(doc, "$.trip_id", "string").alias("trip_id"),
         F.try_variant_get(doc, "$.vin", "string").alias("vehicle_id"),
         F.substring(F.try_variant_get(doc, "$.start_time", "string"), 1, 10).alias("dt"),
-        (
-            _kind(doc, "$.trip_id").isNotNull()
-            & _kind(doc, "$.vin").isNotNull()
-            & (_kind(doc, "$.start_time") == "STRING")
-        ).alias("_readable"),
-        (
-            _kind(doc, "$.trip_id").isin("STRING", "VOID")
-            & _kind(doc, "$.vin").isin("STRING", "VOID")
-        ).alias("_storable"),
+        _kind(doc, "$.trip_id").alias("_trip_kind"),
+        _kind(doc, "$.vin").alias("_vehicle_kind"),
+        _kind(doc, "$.start_time").alias("_start_kind"),
         F.transform(
             F.try_variant_get(doc, "$.records", "array<variant>"),
             lambda record: _reading(record, defaults),
         ).alias("_all"),
     )
-    valid = header.withColumn(
-        "_valid", F.filter("_all", lambda r: r["parsed"] & valid_reading(ranges, r.__getitem__))
-    )
+    valid = parsed.withColumn("_valid", F.filter("_all", lambda r: _is_valid(r, ranges)))
     kept = valid.withColumn(
         "_kept", F.filter("_valid", lambda r: in_any_box(boxes, r.__getitem__))
     )
-    n_valid = F.coalesce(F.size("_valid"), F.lit(0))
+    readable = (
+        F.col("_trip_kind").isNotNull()
+        & F.col("_vehicle_kind").isNotNull()
+        & (F.col("_start_kind") == "STRING")
+    )
+    storable = F.col("_trip_kind").isin("STRING", "VOID") & F.col("_vehicle_kind").isin(
+        "STRING", "VOID"
+    )
+    n_valid = F.greatest(F.size("_valid"), F.lit(0))
     outcome = (
-        F.when(~F.coalesce("_readable", F.lit(False)), ERRORS)
-        .when(n_valid <= 0, ERRORS)
+        F.when(~F.coalesce(readable, F.lit(False)), ERRORS)
+        .when(n_valid == 0, ERRORS)
         .when(F.size("_kept") == 0, FILTERED_OUT)
-        .when(~F.col("_storable") | F.exists("_kept", lambda r: ~r["storable"]), ERRORS)
+        .when(~storable | F.exists("_kept", lambda r: ~_is_storable(r)), ERRORS)
         .otherwise(PROCESSED)
     )
-    return kept.select(
-        *passed,
-        "trip_id",
-        "vehicle_id",
-        "dt",
-        F.greatest(n_valid, F.lit(0)).alias("n_valid"),
-        F.col("_kept").alias("kept"),
-        outcome.alias("outcome"),
-    )
+    trip = F.struct(
+        "trip_id", "vehicle_id", "dt",
+        n_valid.alias("n_valid"), F.col("_kept").alias("kept"), outcome.alias("outcome"),
+    )
+    # a generator is not moved across, so a later filter on the outcome does not parse again
+    return kept.select(*passed, F.inline(F.array(trip)))
 
 
 def readings(trips: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
@@ -142,18 +134,19 @@ def _kind(document: Column, path: str) -> Column:
 
 
 def _reading(record: Column, defaults: MissingDefaults) -> Column:
-    """A record's fields; `parsed` if all are there, `storable` if they fit the table."""
+    """A record's fields, NULL where they cannot be read, and the kind of its time."""
 
     def number(path: str) -> Column:
         return F.try_variant_get(record, path, "double")
 
     def optional(path: str, kind: str, default: float) -> Column:
         absent = F.try_variant_get(record, path, "variant").isNull()
-        return F.when(absent, F.lit(default).cast(kind)).otherwise(
-            F.try_variant_get(record, path, kind)
+        return F.coalesce(
+            F.try_variant_get(record, path, kind), F.when(absent, F.lit(default).cast(kind))
         )
 
     fields = {
+        "timestamp": F.try_variant_get(record, "$.ts", "bigint"),
         "accel_x": number("$.acc[0]"),
         "accel_y": number("$.acc[1]"),
         "accel_z": number("$.acc[2]"),
@@ -165,18 +158,24 @@ def _reading(record: Column, defaults: MissingDefaults) -> Column:
         "lat": number("$.gps.lat"),
         "hdop": optional("$.gps.hdop", "double", defaults.hdop),
         "satellites": optional("$.gps.sat", "bigint", defaults.satellites),
+        "time_kind": _kind(record, "$.ts"),
     }
-    time, time_kind = F.try_variant_get(record, "$.ts", "bigint"), _kind(record, "$.ts")
-    parsed = time_kind.isNotNull()
-    for value in fields.values():
-        parsed = parsed & value.isNotNull()
-    numeric = time_kind.isin(*_WHOLE_NUMBERS) | time_kind.startswith("DECIMAL")
-    storable = ((time_kind == "VOID") | (numeric & time.isNotNull())) & F.coalesce(
-        fields["satellites"].between(_INT_MIN, _INT_MAX), F.lit(False)
-    )
-    return F.struct(
-        F.when(numeric, time).alias("timestamp"),
-        *(value.alias(name) for name, value in fields.items()),
-        parsed.alias("parsed"),
-        F.coalesce(storable, F.lit(False)).alias("storable"),
+    return F.struct(*(value.alias(name) for name, value in fields.items()))
+
+
+def _is_valid(reading: Column, ranges: Ranges) -> Column:
+    """Every field is there, and those with a range are in it."""
+    return (
+        valid_reading(ranges, reading.__getitem__)
+        & reading["hdop"].isNotNull()
+        & reading["satellites"].isNotNull()
+        & reading["time_kind"].isNotNull()
     )
+
+
+def _is_storable(reading: Column) -> Column:
+    """Time is a number or JSON null, and satellites fit an int."""
+    kind = reading["time_kind"]
+    number = kind.isin(*_NUMBERS) | kind.startswith("DECIMAL")
+    timed = (kind == "VOID") | (number & reading["timestamp"].isNotNull())
+    return timed & reading["satellites"].between(_INT_MIN, _INT_MAX)

@@ -305,7 +305,7 @@ SELECT 'segment_trend', 'ok', count(*) FROM fact""",
     + """SELECT * FROM fact WHERE centroid_lon BETWEEN 127.55 AND 127.65
   AND centroid_lat BETWEEN 34.5 AND 34.8""",
     "lookup_date_segment": _with("fact")
-    + "SELECT * FROM fact WHERE date = DATE '1996-03-13' AND s_id = '7'",
+    + "SELECT * FROM fact WHERE date = DATE '1995-08-09' AND s_id = '11'",
     "lookup_impact": _with("fact") + "SELECT * FROM fact WHERE impact_count >= 4",
     "parse_trips": _with("sensor", blocks=_BLOCKS)
     + f"SELECT {_SENSOR_LIST}, dt FROM blocks WHERE {_VALID}",

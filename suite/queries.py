@@ -351,7 +351,7 @@ def lookup_viewport(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def lookup_date_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookups.by_date_and_segment(adapters.fact(spark, sf_dir), "1996-03-13", "7")
+    return lookups.by_date_and_segment(adapters.fact(spark, sf_dir), "1995-08-09", "11")
 
 
 @query

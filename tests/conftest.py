@@ -1,0 +1,48 @@
+from __future__ import annotations
+
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+from bumpwise.session import build_session, work_path  # noqa: E402
+
+SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = build_session("tests", "local[4]", shuffle_partitions=4)
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def path_for(spark):
+    return lambda name: work_path(spark, f"test-{name}")
+
+
+@pytest.fixture
+def shuffled_joins(spark):
+    """Joins as when both sides are large: no broadcast unless asked for, all partitions used."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+@pytest.fixture
+def plan_of():
+    def text(frame) -> str:
+        return frame._jdf.queryExecution().executedPlan().toString()
+
+    return text

@@ -1,0 +1,212 @@
+from __future__ import annotations
+
+import math
+import random
+import statistics
+
+import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
+from bumpwise.operators import keyed
+from bumpwise.operators.detect import (
+    context_filter,
+    detect_anomalies,
+    with_trip_statistics,
+    z_score,
+)
+from bumpwise.operators.keyed import attach_by_key
+from bumpwise.options import ContextLimits, ImpactRule
+from bumpwise.plans.impacts import run_detection
+from bumpwise.schema import ANOMALY_COLUMNS, SENSOR_BY_DAY, SENSOR_COLUMNS
+from bumpwise.sinks.tables import write_anomalies, write_by_day
+from bumpwise.sources.tables import read_anomalies, scan_raw_partition
+
+
+def reading(number, trip="T", day="2025-02-12", **values):
+    row = {
+        "timestamp": number, "trip_id": trip, "vehicle_id": "V",
+        "accel_x": 0.0, "accel_y": 0.0, "accel_z": 0.0,
+        "gyro_x": 0.0, "gyro_y": 0.0, "gyro_z": 0.0,
+        "velocity": 60.0, "lon": 127.6, "lat": 34.8, "hdop": 1.0, "satellites": 8, "dt": day,
+    }
+    return row | values
+
+
+def table(spark, rows):
+    names = SENSOR_BY_DAY.names
+    return spark.createDataFrame([tuple(row[n] for n in names) for row in rows], SENSOR_BY_DAY)
+
+
+def spike(n, both=True, trip="T", **values):
+    rows = [reading(i, trip, **values) for i in range(n - 1)]
+    peak = {"accel_z": 50.0} | ({"gyro_y": 30.0} if both else {})
+    return rows + [reading(n, trip, **(values | peak))]
+
+
+def test_context_edges(spark):
+    rows = [
+        reading(1, velocity=5.0), reading(2, velocity=5.1), reading(3, hdop=5.0),
+        reading(4, hdop=5.1), reading(5, satellites=3), reading(6, satellites=4),
+    ]
+    kept = context_filter(table(spark, rows)).collect()
+    assert sorted(row["timestamp"] for row in kept) == [2, 3, 6]
+
+
+@pytest.mark.parametrize(
+    ("n", "both", "score", "found"),
+    [(10, True, 2.846050, 0), (11, True, 3.015113, 1), (20, False, 2.973970, 0), (21, False, 3.055050, 1)],
+)
+def test_smallest_trips_with_an_anomaly(spark, n, both, score, found):
+    rows = table(spark, spike(n, both))
+    low = detect_anomalies(rows, rule=ImpactRule(threshold=2.0)).collect()
+    assert round(low[0]["impact_score"], 6) == score
+    assert detect_anomalies(rows).count() == found
+
+
+@pytest.mark.parametrize("rows", [[reading(1, accel_z=9.0)], [reading(i, accel_z=0.1) for i in range(30)]])
+def test_single_and_constant_trips_score_zero(spark, rows):
+    scored = z_score(table(spark, rows)).collect()
+    assert {(row["nor_accel_z"], row["nor_gyro_y"]) for row in scored} == {(0.0, 0.0)}
+    assert detect_anomalies(table(spark, rows), rule=ImpactRule(threshold=0.0)).count() == 0
+
+
+def test_statistics_follow_the_context_filter(spark):
+    noise = [reading(100 + i, hdop=9.0, accel_z=float(i)) for i in range(50)]
+    found = detect_anomalies(table(spark, spike(11) + noise)).collect()
+    assert [round(row["impact_score"], 6) for row in found] == [3.015113]
+
+
+def test_days_are_judged_alone(spark):
+    rows = spike(11) + [reading(i, day="2025-02-13", accel_z=float(i % 7)) for i in range(40)]
+    assert detect_anomalies(table(spark, rows)).count() == 1
+
+
+def test_threshold_is_exclusive_and_weights_are_options(spark):
+    rows = table(spark, spike(11))
+    exact = detect_anomalies(rows, rule=ImpactRule(threshold=2.0)).first()["impact_score"]
+    assert detect_anomalies(rows, rule=ImpactRule(threshold=exact)).count() == 0
+    only_gyro = ImpactRule(weights=(("gyro_y", 2.0),), threshold=6.0)
+    row = detect_anomalies(rows, rule=only_gyro).first()
+    assert row["impact_score"] == abs(row["nor_gyro_y"]) * 2.0
+    negative = ImpactRule(weights=(("accel_z", 1.0), ("gyro_y", -0.5)), threshold=1.0)
+    assert detect_anomalies(rows, rule=negative).count() == 1
+    with pytest.raises(ValueError):
+        ImpactRule(weights=())
+
+
+def noisy_rows(seed, trips=7, n=60):
+    rng = random.Random(seed)
+    return [
+        reading(i, f"T{trip}", accel_z=rng.gauss(0, 1) ** 3, gyro_y=rng.gauss(0, 2) ** 3)
+        for trip in range(trips)
+        for i in range(rng.randint(1, n))
+    ]
+
+
+def expected(rows, threshold):
+    found = []
+    for trip in {row["trip_id"] for row in rows}:
+        mine = [row for row in rows if row["trip_id"] == trip]
+        z = {}
+        for name in ("accel_z", "gyro_y"):
+            values = [row[name] for row in mine]
+            std = statistics.stdev(values) if len(values) > 1 else 0.0
+            mean = statistics.fmean(values)
+            z[name] = [(v - mean) / std if std else 0.0 for v in values]
+        for row, a, g in zip(mine, z["accel_z"], z["gyro_y"]):
+            if abs(a) * 0.7 + abs(g) * 0.3 > threshold:
+                found.append((trip, row["timestamp"]))
+    return sorted(found)
+
+
+@pytest.mark.parametrize("hot_keys", [0, 2, 4096])
+def test_detection_equals_brute_force_however_trips_are_joined(
+    spark, shuffled_joins, monkeypatch, hot_keys
+):
+    monkeypatch.setattr(keyed, "HOT_KEYS", hot_keys)
+    rows = noisy_rows(3)
+    got = detect_anomalies(table(spark, rows), rule=ImpactRule(threshold=2.0)).collect()
+    assert sorted((row["trip_id"], row["timestamp"]) for row in got) == expected(rows, 2.0)
+
+
+def test_a_trip_with_most_rows_is_spread(spark, shuffled_joins, plan_of, monkeypatch):
+    """The rows of a hot key, and of no key, meet the shuffle under many keys."""
+    monkeypatch.setattr(keyed, "HOT_KEYS", 1)
+    rows = spark.range(20_000).select(
+        F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(F.concat(F.lit("t"), F.col("id") % 50)).alias("trip"),
+        F.col("id").cast("double").alias("v"),
+    )
+    stats = rows.groupBy("trip").agg(F.count("*").alias("n"), F.avg("v").alias("mean"))
+    joined = attach_by_key(rows, stats, ["trip"], weight="n")
+    assert joined.count() == 20_000
+    assert joined.filter("mean IS NULL").count() == 0
+    hot = joined.filter("trip = 'hot'").select("mean").distinct().collect()
+    assert len(hot) == 1 and math.isclose(hot[0][0], 10_000, rel_tol=0.01)
+    spread = joined.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert spread < 9_000  # the hot trip alone has 13,333 rows
+    assert "Window" not in plan_of(joined)
+
+
+def test_null_is_a_key(spark, shuffled_joins):
+    rows = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0)], "trip string, v double")
+    stats = rows.groupBy("trip").agg(F.count("*").alias("n"), F.avg("v").alias("mean"))
+    got = attach_by_key(rows, stats, ["trip"], weight="n").collect()
+    assert sorted((row["v"], row["mean"]) for row in got) == [(1.0, 2.0), (3.0, 2.0), (5.0, 5.0)]
+
+
+def test_statistics_are_aggregated_before_the_only_shuffle(spark, path_for, plan_of):
+    path = path_for("sensor")
+    write_by_day(table(spark, noisy_rows(1)), path, SENSOR_COLUMNS)
+    day = scan_raw_partition(spark, path, "2025-02-12")
+    detected = detect_anomalies(day)
+    plan = plan_of(detected.select(*ANOMALY_COLUMNS))
+    assert "PartitionFilters: [isnotnull(dt" in plan
+    assert "GreaterThan(velocity,5.0)" in plan  # pushed to the scan
+    assert "Window" not in plan and "Python" not in plan and "CartesianProduct" not in plan
+    narrow = plan_of(with_trip_statistics(day.select("dt", "trip_id", "accel_z", "gyro_y")))
+    assert "vehicle_id" not in narrow
+
+
+def test_counts_are_observed_while_writing(spark, path_for):
+    raw, out = path_for("raw"), path_for("out")
+    write_by_day(table(spark, spike(11) + [reading(50, hdop=9.0)]), raw, SENSOR_COLUMNS)
+    assert run_detection(spark, raw, out, "2025-02-12") == {"usable": 11, "anomalies": 1}
+    # a later run without anomalies leaves the day empty
+    strict = ImpactRule(threshold=99.0)
+    assert run_detection(spark, raw, out, "2025-02-12", rule=strict)["anomalies"] == 0
+    assert read_anomalies(spark, out).count() == 0
+    with pytest.raises(ValueError, match="2025-02-13"):
+        run_detection(spark, raw, out, "2025-02-13")
+
+
+def test_written_anomalies_keep_columns_and_other_days(spark, path_for):
+    path = path_for("anomalies")
+    first = detect_anomalies(table(spark, spike(11)))
+    second = detect_anomalies(table(spark, spike(12, day="2025-02-13")))
+    write_anomalies(first, path)
+    write_anomalies(second, path)
+    write_anomalies(first, path)
+    stored = read_anomalies(spark, path)
+    assert stored.columns == [*ANOMALY_COLUMNS, "dt"]
+    assert sorted(row["dt"] for row in stored.collect()) == ["2025-02-12", "2025-02-13"]
+    assert stored.filter("impact_score IS NULL OR nor_accel_z IS NULL").count() == 0
+
+
+def test_a_day_has_at_most_16_files(spark, path_for):
+    path = path_for("files")
+    many = spark.range(5000).select(
+        *(F.col("id").cast(SENSOR_BY_DAY[n].dataType).alias(n) for n in SENSOR_COLUMNS),
+        F.when(F.col("id") < 4500, "2025-02-12").otherwise("2025-02-13").alias("dt"),
+    ).repartition(40)
+    write_by_day(many, path, SENSOR_COLUMNS)
+    files = spark.read.parquet(path).select(F.input_file_name().alias("f"), "dt").distinct()
+    per_day = {str(row["dt"]): row["count"] for row in files.groupBy("dt").count().collect()}
+    assert set(per_day) == {"2025-02-12", "2025-02-13"} and max(per_day.values()) <= 16
+
+
+def test_observation_with_limits(spark):
+    seen = Observation()
+    rows = table(spark, [reading(i, velocity=float(i)) for i in range(20)])
+    detect_anomalies(rows, limits=ContextLimits(min_velocity=9.0), seen=seen).collect()
+    assert seen.get["n"] == 10
