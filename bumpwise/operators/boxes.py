@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from bumpwise.functions.predicates import in_any_box
 from bumpwise.options import DEFAULT_BOXES, Box
 
-_TILE = 0.25  # degrees
+_TILE_BITS = (10, 6, 2, -2)  # tiles with edges of 2**-bits degrees, small to large
+_COORDINATES = ("min_lon", "max_lon", "min_lat", "max_lat")
 
 
 def bbox_filter(points: DataFrame, boxes: Iterable[Box] = DEFAULT_BOXES) -> DataFrame:
@@ -21,24 +22,30 @@ def bbox_filter(points: DataFrame, boxes: Iterable[Box] = DEFAULT_BOXES) -> Data
 def bbox_semi_join(points: DataFrame, boxes: DataFrame) -> DataFrame:
     """Points in any box of a table (`min_lon, max_lon, min_lat, max_lat`), for many boxes.
 
-    Boxes are cut into tiles, so the join is on equal tiles; a point in several boxes stays one.
+    A box is cut into tiles about its own size, at most four unless it is larger than all tiles,
+    so that a point only meets boxes near it, on equal tiles. Copies of a box count once, and a
+    point in several boxes stays one point.
     """
-
-    def tile(name: str):
-        return F.floor(F.col(name) / _TILE)
-
-    def tiles(axis: str):
-        return F.explode(F.sequence(tile(f"min_{axis}"), tile(f"max_{axis}")))
-
-    proper = boxes.filter("min_lon <= max_lon AND min_lat <= max_lat")
-    cut = (
-        proper.select("min_lon", "max_lon", "min_lat", "max_lat", tiles("lon").alias("_bx"))
-        .select("*", tiles("lat").alias("_by"))
-    )
-    inside = (
-        (F.floor(points["lon"] / _TILE) == cut["_bx"])
-        & (F.floor(points["lat"] / _TILE) == cut["_by"])
-        & points["lon"].between(cut["min_lon"], cut["max_lon"])
-        & points["lat"].between(cut["min_lat"], cut["max_lat"])
+    proper = (
+        boxes.select(*_COORDINATES)
+        .filter("min_lon <= max_lon AND min_lat <= max_lat")
+        .distinct()
+        .withColumn("_size", F.greatest(F.expr("max_lon - min_lon"), F.expr("max_lat - min_lat")))
+    )
+    tests = []
+    for number, bits in enumerate(_TILE_BITS):
+        scale = f"{2.0**bits!r}D"
+        larger = f"_size > {2.0 ** -_TILE_BITS[number - 1]!r}D" if number else "true"
+        smaller = f"_size <= {2.0**-bits!r}D" if bits != _TILE_BITS[-1] else "true"
+        tests.append(
+            f"""EXISTS (
+  SELECT 1 FROM (
+    SELECT *, explode(sequence(floor(min_lat * {scale}), floor(max_lat * {scale}))) AS _y FROM (
+      SELECT *, explode(sequence(floor(min_lon * {scale}), floor(max_lon * {scale}))) AS _x
+      FROM {{boxes}} WHERE {larger} AND {smaller})) b
+  WHERE b._x = floor(p.lon * {scale}) AND b._y = floor(p.lat * {scale})
+    AND p.lon BETWEEN b.min_lon AND b.max_lon AND p.lat BETWEEN b.min_lat AND b.max_lat)"""
+        )
+    return points.sparkSession.sql(
+        "SELECT p.* FROM {points} p WHERE " + " OR ".join(tests), points=points, boxes=proper
     )
-    return points.join(cut, inside, "left_semi")

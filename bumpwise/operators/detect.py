@@ -67,28 +67,43 @@ def z_score(
     return attached.select(*readings.columns, *_standardized_columns(columns))
 
 
+def suspect_trips(
+    readings: DataFrame,
+    keys: Sequence[str] = DAY_TRIP,
+    rule: ImpactRule = ImpactRule(),
+    limits: ContextLimits = ContextLimits(),
+) -> DataFrame:
+    """Statistics of the trips that can have an anomaly at all.
+
+    A trip whose extremes cannot reach the threshold is left out: rounding is monotonic, so the
+    score of its extremes bounds the score of each of its readings.
+    """
+    statistics = trip_statistics(context_filter(readings, limits), keys, rule.columns)
+    if all(weight >= 0 for _, weight in rule.weights):
+        statistics = statistics.filter(_highest_possible_score(rule) > rule.threshold)
+    wanted = [f"{measure}_{name}" for name in rule.columns for measure in ("mean", "std")]
+    return statistics.select(*keys, "n", *wanted)
+
+
 def detect_anomalies(
     readings: DataFrame,
     keys: Sequence[str] = DAY_TRIP,
     rule: ImpactRule = ImpactRule(),
     limits: ContextLimits = ContextLimits(),
+    suspects: DataFrame | None = None,
     seen: Observation | None = None,
     found: Observation | None = None,
 ) -> DataFrame:
     """Usable readings whose impact score exceeds the threshold, with `nor_*` and the score.
 
-    Statistics are taken after the context filter. A trip whose extremes cannot reach the
-    threshold is left out of the join: rounding is monotonic, so the score of its extremes
-    bounds the score of each of its readings. `seen` and `found` count the usable and the
-    anomalous rows (`n`) while the result is computed, without a job of their own.
+    Statistics are taken after the context filter, and only `suspect_trips` are looked at; a job
+    may store those first and pass them here, so that few of them are broadcast and the readings
+    are not shuffled. `seen` and `found` count the usable and the anomalous rows (`n`) while the
+    result is computed, without a job of their own.
     """
     usable = context_filter(readings, limits)
     columns = rule.columns
-    statistics = trip_statistics(usable, keys, columns)
-    if all(weight >= 0 for _, weight in rule.weights):
-        statistics = statistics.filter(_highest_possible_score(rule) > rule.threshold)
-    wanted = [f"{measure}_{name}" for name in columns for measure in ("mean", "std")]
-    statistics = statistics.select(*keys, "n", *wanted)
+    statistics = suspect_trips(readings, keys, rule, limits) if suspects is None else suspects
 
     counted = usable if seen is None else usable.observe(seen, F.count(F.lit(1)).alias("n"))
     scored = (

@@ -100,13 +100,17 @@ def readings(trips: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
 
 def ingest_counters(trips: DataFrame) -> DataFrame:
     """One row: messages in total and by outcome."""
-    return trips.agg(
+    return trips.agg(*outcome_counts())
+
+
+def outcome_counts() -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("total"),
         *(
             F.count_if(F.col("outcome") == outcome).alias(outcome)
             for outcome in (PROCESSED, FILTERED_OUT, ERRORS)
         ),
-    )
+    ]
 
 
 def latest_deliveries(trips: DataFrame, order: str = "seq") -> DataFrame:

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from bumpwise.functions.predicates import valid_reading
 from bumpwise.operators.boxes import bbox_filter
-from bumpwise.operators.detect import DAY_TRIP, detect_anomalies
+from bumpwise.operators.detect import DAY_TRIP, detect_anomalies, suspect_trips
 from bumpwise.operators.facts import daily_segment_counts
 from bumpwise.operators.marts import repair_priority_by_segment
 from bumpwise.operators.nearest import SegmentIndex, nearest_segment
 from bumpwise.options import DEFAULT_BOXES, Box, ContextLimits, ImpactRule, Ranges
-from bumpwise.session import shared_dir
+from bumpwise.session import store
 from bumpwise.sinks.tables import merge_into_fact, refresh_marts, write_anomalies
 from bumpwise.sources.tables import read_anomalies, read_fact, scan_raw_partition
 
@@ -30,12 +30,11 @@ def monitored(
 def map_impacts(anomalies: DataFrame, index: SegmentIndex) -> DataFrame:
     """The anomalies' places on the network. They are few, and stored before they are mapped,
     since mapping reads them more than once."""
-    spark = anomalies.sparkSession
-    spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    places = anomalies.select(
-        "timestamp", "trip_id", "lon", "lat", *[c for c in ("dt",) if c in anomalies.columns]
+    wanted = ("timestamp", "trip_id", "lon", "lat", "dt")
+    places, _ = store(
+        anomalies.select(*(name for name in wanted if name in anomalies.columns)), "places"
     )
-    return nearest_segment(places.checkpoint(), index)
+    return nearest_segment(places, index)
 
 
 def impact_counts(
@@ -71,13 +70,13 @@ def run_detection(
 ) -> dict[str, int]:
     """One day of readings to one day of anomalies; returns how many rows were seen and found.
 
-    A single Spark job besides the check that the day exists: the counts are observed while the
-    result is written.
+    Two passes: the suspect trips from their few columns, then the readings of those trips. The
+    counts are observed while the result is written.
     """
     seen, found = Observation(), Observation()
-    anomalies = detect_anomalies(
-        scan_raw_partition(spark, raw_path, day), DAY_TRIP, rule, limits, seen, found
-    )
+    rows = scan_raw_partition(spark, raw_path, day)
+    suspects, _ = store(suspect_trips(rows, DAY_TRIP, rule, limits), "suspects")
+    anomalies = detect_anomalies(rows, DAY_TRIP, rule, limits, suspects, seen, found)
     write_anomalies(anomalies, anomaly_path, day)
     return {"usable": seen.get.get("n", 0), "anomalies": found.get.get("n", 0)}
 

@@ -59,5 +59,7 @@ STORED_FACT = _fields(
     "created_at timestamp, updated_at timestamp, month date"
 )
 
+COUNTERS = _fields("total bigint, processed bigint, filtered_out bigint, errors bigint")
+
 # one line of a message source: the payload is base64 text, the number orders redeliveries
 ENVELOPE = _fields("seq bigint, data string")

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(
@@ -54,3 +55,14 @@ def shared_dir(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def store(frame: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """A copy of `frame` in the shared folder, and its number of rows.
+
+    It cuts the lineage where executors may be lost, and Spark knows the size of what it reads
+    back, so it broadcasts the copy only if it is small enough.
+    """
+    spark, path, counted = frame.sparkSession, work_path(frame.sparkSession, name), Observation()
+    frame.observe(counted, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path), counted.get["n"]

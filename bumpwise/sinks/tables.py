@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from bumpwise.operators import marts
 from bumpwise.operators.facts import append_conflicts, merge_additive
-from bumpwise.operators.ingest import latest_deliveries, readings
+from bumpwise.operators.ingest import readings
 from bumpwise.options import OutputFiles
 from bumpwise.schema import ANOMALY_COLUMNS, FACT_COLUMNS, FACT_KEY, SENSOR_COLUMNS, STORED_FACT
 from bumpwise.session import work_path
@@ -25,20 +25,21 @@ def write_by_day(
     path: str,
     columns: Sequence[str],
     partitions: Sequence[str] = ("dt",),
-    files: OutputFiles = OutputFiles(),
+    files: OutputFiles | None = None,
 ) -> None:
     """Snappy Parquet under `dt=<day>/`, replacing the partitions that have rows.
 
-    Rows of a day go to at most `files.per_day` tasks by a hash of the row, so each day has at
-    most that many files and neither a long day nor a long trip ends up in one task.
+    Rows of a day are brought together and split by size, so a long day becomes several files of
+    a fair size. With `files`, a day has at most `files.per_day` of them, by a hash of the row.
     """
-    part = F.pmod(F.xxhash64(*columns), F.lit(files.per_day))
+    wanted = rows.select(*columns, *partitions)
+    if files is None:
+        gathered = wanted.hint("rebalance", *partitions)
+    else:
+        part = F.pmod(F.xxhash64(*columns), F.lit(files.per_day))
+        gathered = wanted.repartition(*partitions, part)
     (
-        rows.select(*columns, *partitions)
-        .withColumn("_part", part)
-        .repartition(*partitions, "_part")
-        .drop("_part")
-        .write.mode("overwrite")
+        gathered.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
         .partitionBy(*partitions)
@@ -62,11 +63,10 @@ def write_anomalies(
 def write_raw(trips: DataFrame, path: str, batch: int | str) -> None:
     """Readings of processed trips as one batch of the raw table (see `read_latest`).
 
-    Writing the same batch again replaces it, and a trip delivered again in a later batch
-    replaces its earlier rows for readers, without rewriting a day.
+    Writing the same batch again replaces it. A trip delivered again replaces its earlier rows
+    for readers; nothing that is stored is read or rewritten for it.
     """
-    kept = readings(latest_deliveries(trips), carry=["seq"])
-    write_batch(kept, path, (*SENSOR_COLUMNS, "seq"), batch)
+    write_batch(readings(trips, carry=["seq"]), path, (*SENSOR_COLUMNS, "seq"), batch)
 
 
 def write_batch(rows: DataFrame, path: str, columns: Sequence[str], batch: int | str) -> None:
@@ -111,9 +111,7 @@ def merge_into_fact(
     stored = read_fact(spark, path)
     if stored is None:
         stored = spark.createDataFrame([], STORED_FACT)
-    # one row per month of data
-    months = [row[0] for row in delta.select(F.trunc("date", "MM")).distinct().collect()]
-    touched = stored.filter(F.col("month").isin(months)).drop("month")
+    touched = _same_months(stored, delta).drop("month")
     staged = work_path(spark, "merged-months")
     write_fact(merge_additive(touched, delta, mode, now), staged)
     merged = read_fact(spark, staged)
@@ -121,6 +119,13 @@ def merge_into_fact(
         write_fact(merged, path, mode="overwrite")
 
 
+def _same_months(stored: DataFrame, delta: DataFrame) -> DataFrame:
+    """The stored facts of the months in `delta`; the others are not read."""
+    # a row per month of data
+    months = [row[0] for row in delta.select(F.trunc("date", "MM")).distinct().collect()]
+    return stored.filter(F.col("month").isin(months))
+
+
 class DuplicateKeys(ValueError):
     """Facts that are stored already, or twice in the rows to append."""
 
@@ -136,7 +141,8 @@ def append_to_fact(delta: DataFrame, path: str) -> None:
     stored = read_fact(spark, path)
     if stored is None:
         stored = spark.createDataFrame([], STORED_FACT)
-    conflicts = append_conflicts(stored, delta).orderBy(*FACT_KEY).limit(_SHOWN_KEYS).collect()
+    found = append_conflicts(_same_months(stored, delta), delta)
+    conflicts = found.orderBy(*FACT_KEY).limit(_SHOWN_KEYS).collect()
     if conflicts:
         keys = ", ".join(f"({row['s_id']}, {row['date']})" for row in conflicts)
         raise DuplicateKeys(f"facts exist or repeat, among them: {keys}")

@@ -14,6 +14,7 @@ from bumpwise.operators.facts import coerce_fact
 from bumpwise.operators.keyed import attach_by_key
 from bumpwise.operators.roads import parse_geojson, parse_wkt
 from bumpwise.schema import ANOMALY_BY_DAY, SEGMENT, SENSOR_BY_DAY, STORED_FACT
+from bumpwise.session import store
 
 
 def scan_raw_partition(spark: SparkSession, path: str, day: str) -> DataFrame:
@@ -34,17 +35,24 @@ def read_latest(
     """A table written in batches, each trip as last delivered.
 
     Batches only add files (`dt=<day>/batch=<id>/`); of the deliveries of a trip on a day, the
-    rows with the greatest `seq` count. A `day` reads that partition alone.
+    rows with the greatest `seq` count. A `day` reads that partition alone. The trips delivered
+    more than once are found when this is called, from the key columns, and stored: they are
+    few, so the rows themselves need no shuffle, and no join at all where there are none.
     """
-    stored = T.StructType(schema.fields + [T.StructField("seq", T.LongType())])
-    rows = spark.read.schema(stored).parquet(path)
+    table = T.StructType(schema.fields + [T.StructField("seq", T.LongType())])
+    rows = spark.read.schema(table).parquet(path)
     if day is not None:
         rows = rows.filter(F.col("dt") == day)
     keys = ("dt", "trip_id")
-    last = rows.groupBy(*keys).agg(F.max("seq").alias("_last"), F.count(F.lit(1)).alias("_rows"))
+    deliveries = rows.groupBy(*keys).agg(
+        F.min("seq").alias("_first"), F.max("seq").alias("_last"), F.count(F.lit(1)).alias("_rows")
+    )
+    repeated, n_repeated = store(deliveries.filter("_first < _last").drop("_first"), "repeated")
+    if n_repeated == 0:
+        return rows.select(*schema.names)
     return (
-        attach_by_key(rows, last, keys, weight="_rows", how="inner")
-        .filter(F.col("seq") == F.col("_last"))
+        attach_by_key(rows, repeated, keys, weight="_rows")
+        .filter(F.col("_last").isNull() | (F.col("seq") == F.col("_last")))
         .select(*schema.names)
     )
 

@@ -9,14 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from bumpwise.operators.detect import DAY_TRIP, detect_anomalies
-from bumpwise.operators.ingest import ingest_counters, latest_deliveries, parse_trips, readings
+from bumpwise.operators.ingest import latest_deliveries, outcome_counts, parse_trips, readings
 from bumpwise.options import DEFAULT_BOXES, Box, ContextLimits, ImpactRule, Ranges
-from bumpwise.schema import ANOMALY_COLUMNS
+from bumpwise.schema import ANOMALY_COLUMNS, COUNTERS
 from bumpwise.sinks.tables import write_batch, write_raw
 
 
@@ -32,15 +32,13 @@ def stream_ingest(
     """Messages (`seq`, `value`) into the raw table, with outcome counters per micro-batch."""
 
     def store(batch: DataFrame, number: int) -> None:
-        trips = parse_trips(batch, ranges, boxes).persist()
-        try:
-            write_raw(trips, raw_path, number)
-            if counters_path:
-                ingest_counters(trips).write.mode("overwrite").parquet(
-                    f"{counters_path}/batch={number}"
-                )
-        finally:
-            trips.unpersist()
+        # counted on the way to the table, so a message is parsed once
+        counted = Observation()
+        trips = parse_trips(batch, ranges, boxes).observe(counted, *outcome_counts())
+        write_raw(trips, raw_path, number)
+        if counters_path:
+            counters = batch.sparkSession.createDataFrame([counted.get], COUNTERS)
+            counters.write.mode("overwrite").parquet(f"{counters_path}/batch={number}")
 
     return _start(messages, store, checkpoint, trigger)
 
