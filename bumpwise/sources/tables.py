@@ -18,8 +18,11 @@ from bumpwise.session import store
 
 
 def scan_raw_partition(spark: SparkSession, path: str, day: str) -> DataFrame:
-    """One day of a table laid out as `dt=<day>/`; a day without data is an error."""
-    rows = spark.read.schema(SENSOR_BY_DAY).parquet(path).filter(F.col("dt") == day)
+    """One day of the raw table, each trip as last delivered; a day without data is an error.
+
+    Reads tables of plain `dt=<day>/` folders too.
+    """
+    rows = read_latest(spark, path, SENSOR_BY_DAY, day)
     if rows.isEmpty():
         raise ValueError(f"no data for dt={day} in {path}")
     return rows

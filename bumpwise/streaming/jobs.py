@@ -14,7 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from bumpwise.operators.detect import DAY_TRIP, detect_anomalies
-from bumpwise.operators.ingest import latest_deliveries, outcome_counts, parse_trips, readings
+from bumpwise.operators.ingest import (
+    PROCESSED,
+    latest_deliveries,
+    outcome_counts,
+    parse_trips,
+    readings,
+)
 from bumpwise.options import DEFAULT_BOXES, Box, ContextLimits, ImpactRule, Ranges
 from bumpwise.schema import ANOMALY_COLUMNS, COUNTERS
 from bumpwise.sinks.tables import write_batch, write_raw
@@ -43,6 +49,26 @@ def stream_ingest(
     return _start(messages, store, checkpoint, trigger)
 
 
+def first_deliveries(
+    messages: DataFrame,
+    delay: str = "2 days",
+    ranges: Ranges = Ranges(),
+    boxes: Iterable[Box] = DEFAULT_BOXES,
+) -> DataFrame:
+    """Processed trips of a message stream, each only as first delivered.
+
+    The other way to treat redeliveries: nothing is replaced later, at the price of state for
+    the trips of the last `delay`.
+    """
+    trips = parse_trips(messages, ranges, boxes).filter(F.col("outcome") == PROCESSED)
+    return (
+        trips.withColumn("day", F.to_timestamp("dt"))
+        .withWatermark("day", delay)
+        .dropDuplicatesWithinWatermark(["dt", "trip_id"])
+        .drop("day")
+    )
+
+
 def stream_detect(
     messages: DataFrame,
     anomaly_path: str,

@@ -64,7 +64,12 @@ _TEXTS = {
 }
 _SPARK = {
     "ms": "timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts) DIV 1000",
-    "k": "CAST(get_json_object(props, '$.k') AS DOUBLE)",
+    "k": "k",
+}
+# a generator, so that filters on what is derived from it do not read the JSON again
+_SPARK_SOURCES = {
+    "events": "{source} LATERAL VIEW "
+    "inline(array(struct(CAST(get_json_object(props, '$.k') AS DOUBLE) AS k))) AS k"
 }
 _DUCKDB = {
     "ms": "epoch_us(ts) // 1000",
@@ -83,7 +88,8 @@ def oracle_text(name: str) -> str:
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text, table = _TEXTS[name]
     source = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-    return spark.sql(text.format(table="{source}", **_SPARK), source=source)
+    origin = _SPARK_SOURCES.get(table, "{source}")
+    return spark.sql(text.format(table=origin, **_SPARK), source=source)
 
 
 def sensor(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from bumpwise.schema import ANOMALY_BY_DAY, MAPPED_BY_DAY, SENSOR_BY_DAY
 from bumpwise.sources.messages import message_stream, read_messages
 from bumpwise.sources.tables import read_latest
 from bumpwise.streaming.jobs import (
+    first_deliveries,
     latest_counts,
     stream_daily_counts,
     stream_detect,
@@ -105,3 +106,16 @@ def test_running_counts_equal_batch_counts(spark, path_for):
         stream_daily_counts(stream, counts, f"{source}-checkpoint", trigger=ONCE).awaitTermination()
     batch = daily_segment_counts(spark.read.schema(MAPPED_BY_DAY).parquet(source), date_from="dt")
     assert same(latest_counts(spark.read.parquet(counts)), batch)
+
+
+def test_first_deliveries(spark, path_for):
+    source, target, checkpoint = path_for("in"), path_for("first"), path_for("checkpoint")
+    deliver(spark, source, (1, trip("A", 3)), (2, "{bad"), (3, trip("B", 4)))
+    for later in ([], [(4, trip("A", 9)), (5, trip("C", 5))]):
+        if later:
+            deliver(spark, source, *later)
+        stream = first_deliveries(message_stream(spark, source))
+        query = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+        query.trigger(**ONCE).start(target).awaitTermination()
+    rows = readings(spark.read.parquet(target)).groupBy("trip_id").count().collect()
+    assert {row["trip_id"]: row["count"] for row in rows} == {"A": 3, "B": 4, "C": 5}
