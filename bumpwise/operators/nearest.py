@@ -47,9 +47,11 @@ _NODE_SCHEMA = (
     f"x1 double, x2 double, y1 double, y2 double, entries array<{_ENTRY}>"
 )
 _STATE_SCHEMA = (
-    "lon double, lat double, n bigint, best struct<d2: double, s_id: string>, "
+    "lon double, lat double, n bigint, bound double, best struct<d2: double, s_id: string>, "
     "open array<struct<bits: int, cx: bigint, cy: bigint>>"
 )
+_NO_BEST = "CAST(NULL AS struct<d2: double, s_id: string>)"
+_SAME_NODE = "node.bits = _bits AND node.cx = _cx AND node.cy = _cy"
 _BLOCK_SCHEMA = f"cx bigint, cy bigint, near array<{_ENTRY}>"
 
 
@@ -147,41 +149,30 @@ def nearest_segment(points: DataFrame, index: SegmentIndex) -> DataFrame:
     near = looked_up.filter(settled | ~has_place).select(
         *columns, F.when(has_place, F.col("_best.s_id")).alias("s_id")
     )
-    rest = looked_up.filter(~settled & has_place).select(*columns)
-
-    positions = rest.groupBy("lon", "lat").agg(F.count(F.lit(1)).alias("n"))
-    settled_positions = _descend(positions, index)
-    if settled_positions is None:
+    unsettled = looked_up.filter(~settled & has_place)
+    positions = unsettled.groupBy("lon", "lat").agg(
+        F.count(F.lit(1)).alias("n"), F.min("_best.d2").alias("bound")
+    )
+    found = _descend(positions, index)
+    if found is None:
         return near
-    found = attach_by_key(
-        rest, settled_positions, ["lon", "lat"], weight="n", spread_by=columns
+    rest = attach_by_key(
+        unsettled.select(*columns), found, ["lon", "lat"], weight="n", spread_by=columns
     )
-    return near.unionByName(found.select(*columns, "s_id"))
+    return near.unionByName(rest.select(*columns, "s_id"))
 
 
 def _descend(positions: DataFrame, index: SegmentIndex) -> DataFrame | None:
-    """Distinct positions (`lon`, `lat`, `n`) with the `s_id` of the nearest midpoint.
+    """Distinct positions (`lon`, `lat`, `n`, `bound`) with the `s_id` of the nearest midpoint.
 
-    None if there is no position. Each round is written to the shared folder, which cuts the
-    lineage and tells from the write itself whether any node is still open.
+    `bound` is a squared distance within which a midpoint is known, if any. None if there is no
+    position. Each round is written to the shared folder, which cuts the lineage and tells from
+    the write itself whether any node is still open.
     """
     spark = positions.sparkSession
-    nodes = index.nodes(spark).select(
-        *(F.col(name).alias(f"_{name}") for name in ("bits", "cx", "cy", "entries"))
-    )
-    # at most FAN_OUT + 1 rows with at most FAN_OUT entries: these nodes are on every path
-    top = F.broadcast(nodes.filter(F.col("_bits").isin(ROOT, index.top_bits)))
-    root = F.struct(
-        F.lit(ROOT).alias("bits"), F.lit(0).cast("bigint").alias("cx"),
-        F.lit(0).cast("bigint").alias("cy"),
-    )
-    start = positions.select(
-        "lon", "lat", "n",
-        F.lit(None).cast("struct<d2: double, s_id: string>").alias("best"),
-        F.array(root).alias("open"),
-    )
+    nodes = index.nodes(spark)
     folder = work_path(spark, "nearest-rounds")
-    step, state = 2, _open_nodes(_open_nodes(start, top), top)
+    step, state = 0, _first_nodes(positions, nodes, index)
     while True:
         progress = Observation()
         state.observe(
@@ -192,39 +183,99 @@ def _descend(positions: DataFrame, index: SegmentIndex) -> DataFrame | None:
         if progress.get["positions"] == 0:
             return None
         state = spark.read.schema(_STATE_SCHEMA).parquet(f"{folder}/{step}")
-        if progress.get["open"] == 0 or step >= index.rounds:
+        if progress.get["open"] == 0:
             return state.select("lon", "lat", "n", F.col("best.s_id").alias("s_id"))
-        step, state = step + 1, _open_nodes(state, nodes)
+        step, state = step + 1, _open_nodes(state, nodes, index)
 
 
-def _open_nodes(state: DataFrame, nodes: DataFrame) -> DataFrame:
-    """One round: replace the open nodes of each position by their still possible entries."""
-    opened = state.select("lon", "lat", "n", "best", F.explode_outer("open").alias("node")).join(
-        nodes, F.expr("node.bits = _bits AND node.cx = _cx AND node.cy = _cy"), "left"
-    )
-    bounded = opened.withColumn(
-        "bound", F.expr(f"least(array_min(transform(_entries, e -> {_HIGHEST})), best.d2)")
+def _first_nodes(positions: DataFrame, nodes: DataFrame, index: SegmentIndex) -> DataFrame:
+    """Positions with the nodes to open first.
+
+    The finest cell around a position that has midpoints bounds the distance of the nearest one.
+    The search starts from the cells within that bound, at the finest level where they are at
+    most 3 x 3; a position with no midpoint in its wider surroundings starts at the root.
+    """
+    levels = range(index.top_bits + STEP_BITS, BLOCK_BITS + 1, STEP_BITS)
+    root = f"array(struct({ROOT} AS bits, 0L AS cx, 0L AS cy))"
+    if not levels:
+        return positions.select(
+            "lon", "lat", "n", "bound", F.expr(_NO_BEST).alias("best"), F.expr(root).alias("open")
+        )
+    around = F.array(
+        *(
+            F.struct(
+                F.lit(bits).alias("bits"),
+                _cell(F.col("lon"), bits).alias("cx"),
+                _cell(F.col("lat"), bits).alias("cy"),
+            )
+            for bits in levels
+        )
     )
-    gathered = (
-        bounded.withColumn("_entries", F.expr(f"filter(_entries, e -> {_LOWEST} <= bound)"))
+    boxes = nodes.filter(F.col("bits").isin(list(levels))).select(
+        F.col("bits").alias("_bits"), F.col("cx").alias("_cx"), F.col("cy").alias("_cy"),
+        F.struct("x1", "x2", "y1", "y2").alias("e"),
+    )
+    bounded = (
+        positions.select("*", F.explode(around).alias("node"))
+        .join(boxes, F.expr(_SAME_NODE), "left")
         .groupBy("lon", "lat")
         .agg(
             F.first("n").alias("n"),
-            F.first("best").alias("best"),
-            F.min("bound").alias("bound"),
-            F.flatten(F.collect_list("_entries")).alias("entries"),
+            F.least(F.min("bound"), F.min(F.expr(_HIGHEST))).alias("bound"),
         )
     )
-    possible = gathered.withColumn("entries", F.expr(f"filter(entries, e -> {_LOWEST} <= bound)"))
-    midpoints = "filter(entries, e -> e.s_id IS NOT NULL)"
-    cells = "filter(entries, e -> e.s_id IS NULL)"
-    return possible.select(
-        "lon", "lat", "n",
-        F.expr(f"least(best, {_nearest_of(midpoints)})").alias("best"),
-        F.expr(
-            f"transform({cells}, e -> struct(e.bits AS bits, e.cx AS cx, e.cy AS cy))"
-        ).alias("open"),
-    )
+    # wide enough that rounding cannot cut off a midpoint at the bound
+    reach = "(sqrt(bound) * 1.000000001D + 0.000000001D)"
+    start = F.expr(root)
+    for bits in levels:  # the finest level that fits comes last and is taken first
+        span = [
+            f"sequence(floor(({axis} - {reach}) * {2.0**bits!r}D), floor(({axis} + {reach}) * {2.0**bits!r}D))"
+            for axis in ("lon", "lat")
+        ]
+        cells = (
+            f"flatten(transform({span[0]}, x -> transform({span[1]}, y -> "
+            f"struct({bits} AS bits, x AS cx, y AS cy))))"
+        )
+        start = F.when(F.expr(f"{reach} <= {2.0**-bits!r}D"), F.expr(cells)).otherwise(start)
+    return bounded.select(
+        "lon", "lat", "n", "bound", F.expr(_NO_BEST).alias("best"), start.alias("open")
+    )
+
+
+def _open_nodes(state: DataFrame, nodes: DataFrame, index: SegmentIndex) -> DataFrame:
+    """One round: replace the open nodes of each position by their still possible entries.
+
+    The root and the level below it are on the way of every distant position: these nodes, at
+    most FAN_OUT + 1 with at most FAN_OUT entries, are broadcast.
+    """
+    keyed = nodes.select(
+        *(F.col(name).alias(f"_{name}") for name in ("bits", "cx", "cy", "entries"))
+    )
+    upper = F.col("_bits").isin(ROOT, index.top_bits)
+    same = F.expr(_SAME_NODE)
+    opened = (
+        state.select("*", F.explode_outer("open").alias("node"))
+        .join(F.broadcast(keyed.filter(upper)), same, "left")
+        .select(*state.columns, "node", F.col("_entries").alias("_upper"))
+        .join(keyed.filter(~upper), same, "left")
+        .select("*", F.expr("explode_outer(coalesce(_upper, _entries)) AS e"))
+        .select("lon", "lat", "n", "bound", "best", "e", F.expr(f"{_LOWEST} AS low"))
+        .filter("e IS NULL OR bound IS NULL OR low <= bound")
+    )
+    gathered = opened.groupBy("lon", "lat").agg(
+        F.first("n").alias("n"),
+        F.least(F.min("bound"), F.min(F.expr(_HIGHEST))).alias("bound"),
+        F.min(
+            F.least("best", F.expr("CASE WHEN e.s_id IS NOT NULL THEN struct(low AS d2, e.s_id AS s_id) END"))
+        ).alias("best"),
+        F.collect_list(
+            F.expr("CASE WHEN e.bits IS NOT NULL THEN struct(low, e.bits AS bits, e.cx AS cx, e.cy AS cy) END")
+        ).alias("cells"),
+    )
+    still = F.expr(
+        "transform(filter(cells, c -> c.low <= bound), c -> struct(c.bits AS bits, c.cx AS cx, c.cy AS cy))"
+    )
+    return gathered.select("lon", "lat", "n", "bound", "best", still.alias("open"))
 
 
 def _squares(dx: str, dy: str) -> str:
