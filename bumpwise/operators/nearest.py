@@ -254,7 +254,8 @@ def _open_nodes(state: DataFrame, nodes: DataFrame, index: SegmentIndex) -> Data
     upper = F.col("_bits").isin(ROOT, index.top_bits)
     same = F.expr(_SAME_NODE)
     opened = (
-        state.select("*", F.explode_outer("open").alias("node"))
+        # a row without a node keeps the position, even if all its open nodes are ruled out
+        state.select("*", F.expr("explode(array_append(open, NULL)) AS node"))
         .join(F.broadcast(keyed.filter(upper)), same, "left")
         .select(*state.columns, "node", F.col("_entries").alias("_upper"))
         .join(keyed.filter(~upper), same, "left")

@@ -152,3 +152,22 @@ def test_unplaced_rows_spread(spark, shuffled_joins):
 
     sizes = [row["count"] for row in result.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) == 400 and max(sizes) < 200
+
+
+def test_a_cell_opened_in_vain_keeps_the_midpoint_found_before(spark, monkeypatch):
+    """The bounds of a cell may be nearer than the best midpoint while none of its midpoints is."""
+    monkeypatch.setattr(nearest, "LIST_LIMIT", 1)
+    edge = 2.0**-nearest.BLOCK_BITS
+    rng = random.Random(9)
+    midpoints = []
+    for i in range(256):  # wide cells that list one midpoint, next to wide cells with a pair in one cell
+        x, y = 127 + 8 * edge * (i % 16), 34 + 8 * edge * (i // 16)
+        if i % 2:
+            y += edge * rng.randrange(8)
+            midpoints += [(f"a{i}", x + 0.1 * edge, y + 0.9 * edge), (f"b{i}", x + 0.9 * edge, y + 0.1 * edge)]
+        else:
+            midpoints.append((f"c{i}", x + rng.uniform(4, 7.9) * edge, y + rng.uniform(0, 7.9) * edge))
+    places = [(127 + rng.uniform(-8, 136) * edge, 34 + rng.uniform(-8, 136) * edge) for _ in range(4000)]
+    index = build_segment_index(network(spark, midpoints))
+    got = mapped(nearest_segment(points(spark, places), index))
+    assert got == brute_force(midpoints, places)
