@@ -42,3 +42,14 @@ def fresh(name: str, taken: list[str]) -> str:
     while name.lower() in lower:
         name = f"_{name}"
     return name
+
+
+def with_fixed(frame: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """`frame` with new columns that are computed once per row.
+
+    They come from a generator of one row, so the optimizer neither inlines them where they are
+    used (an array inlined into a lambda is built again for each element) nor pushes filters on
+    them below their making.
+    """
+    made = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return frame.select("*", F.inline(F.array(made)))

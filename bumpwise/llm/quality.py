@@ -2,8 +2,8 @@
 of its text is rejected. Native expressions only; one pass over the table, no shuffle.
 
 Line rules (a line without a word is neither judged nor counted):
-  punctuation  it does not end in a mark that closes a sentence, or holds more marks of emphasis
-               and symbols than words
+  punctuation  it is short and does not end in a mark that closes a sentence, or it holds more
+               marks of emphasis and symbols than words
   navigation   separators of menus and tables are more than a quarter of its words
   boilerplate  it holds a stock phrase of web pages
 
@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bumpwise.llm.common import WORD, fresh, table
+from bumpwise.llm.common import WORD, fresh, table, with_fixed
 
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -36,6 +36,7 @@ class LineRules:
     )
     separators_per_100_words: int = 25
     emphasis_per_100_words: int = 100
+    prose_words: int = 20
     lost_percent: int = 50
 
 
@@ -58,7 +59,8 @@ def _has_stock(text: Column, rules: LineRules) -> Column:
 def line_fails(line: Column, rules: LineRules, may_hold_stock: Column) -> Column:
     """The cheap tests come first: words are counted only where there is something to compare."""
     words = F.regexp_count(line, F.lit(WORD))
-    unclosed = ~F.contains(F.lit(rules.closing), F.right(F.rtrim(line, F.lit(SPACES)), F.lit(1)))
+    cut_off = ~F.contains(F.lit(rules.closing), F.right(F.rtrim(line, F.lit(SPACES)), F.lit(1)))
+    unclosed = cut_off & (words < rules.prose_words)
     emphasis, separators = _count(line, rules.emphasis), _count(line, rules.separators)
     shouting = (emphasis > 0) & (emphasis * 100 > words * rules.emphasis_per_100_words)
     menu = (separators > 0) & (separators * 100 > words * rules.separators_per_100_words)
@@ -100,30 +102,29 @@ def clean_lines(documents: DataFrame, rules: LineRules = LineRules()) -> DataFra
     part = lambda name: F.col(f"{inner}_{name}")
     text = F.coalesce(F.col("text"), F.lit(""))
     bad = lambda line: line_fails(line, rules, part("stock"))
-    # plain columns, each used more than once: the optimizer would inline the fields of a struct,
-    # and so evaluate an array again for each of its elements
-    split = documents.select(
-        "*",
-        F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w)).alias(f"{inner}_hashes"),
-        F.split(text, "\n").alias(f"{inner}_lines"),
-        F.lower(text).alias(f"{inner}_lower"),
+    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    split = with_fixed(
+        documents,
+        {
+            f"{inner}_hashes": F.transform(words, lambda w: F.xxhash64(w)),
+            f"{inner}_lines": F.split(text, "\n"),
+            f"{inner}_lower": F.lower(text),
+        },
     )
     hashes, lines = part("hashes"), part("lines")
     windows = F.transform(
         F.slice(hashes, F.lit(1), F.greatest(F.size(hashes) - 2, F.lit(0))),
         lambda h, i: F.struct(F.xxhash64(h, F.get(hashes, i + 1), F.get(hashes, i + 2)).alias("h"), i.alias("i")),
     )
-    with_word = F.filter(lines, lambda line: line.rlike(WORD))
-    listed = split.select(
-        *given,
-        hashes,
-        F.sort_array(windows).alias(f"{inner}_windows"),
-        lines,
-        _has_stock(part("lower"), rules).alias(f"{inner}_stock"),
-        with_word.alias(f"{inner}_worded"),
+    listed = with_fixed(
+        split,
+        {
+            f"{inner}_windows": F.sort_array(windows),
+            f"{inner}_worded": F.filter(lines, lambda line: line.rlike(WORD)),
+            f"{inner}_stock": _has_stock(part("lower"), rules),
+        },
     )
-    failed = F.filter(part("worded"), bad)
-    listed = listed.select("*", failed.alias(f"{inner}_failed"))
+    listed = with_fixed(listed, {f"{inner}_failed": F.filter(part("worded"), bad)})
     kept_lines = F.filter(
         part("lines"), lambda line: ~line.rlike(WORD) | ~bad(line)
     )
@@ -180,7 +181,8 @@ failed AS (
     SELECT r, length(regexp_replace(line, '[\\x20\\x09-\\x0D]', '', 'g')) AS chars, line,
       len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS n_words
     FROM (SELECT r, unnest(worded) AS line FROM w))
-  WHERE NOT contains('{_QUOTED}', right(regexp_replace(line, '[\\x20\\x09-\\x0D]+$', ''), 1))
+  WHERE n_words < {_RULES.prose_words}
+      AND NOT contains('{_QUOTED}', right(regexp_replace(line, '[\\x20\\x09-\\x0D]+$', ''), 1))
     OR {_sql_count("line", _RULES.emphasis)} * 100 > n_words * {_RULES.emphasis_per_100_words}
     OR {_sql_count("line", _RULES.separators)} * 100 > n_words * {_RULES.separators_per_100_words}
     OR regexp_matches(lower(line), '{"|".join(_RULES.boilerplate)}')

@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from bumpwise.llm.language import op10_language_id
 from bumpwise.llm.mixing import op9_mixing
 from bumpwise.llm.quality import OP8_SQL, op8_quality_rules
 from bumpwise.llm.sharding import op6_sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op6_sharding, op8_quality_rules, op9_mixing)
+    query.__name__: query for query in (op6_sharding, op8_quality_rules, op9_mixing, op10_language_id)
 }
 ORACLES: dict[str, str] = {"op8_quality_rules": OP8_SQL}
