@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from bumpwise.llm.bpe import op4_byte_bpe
 from bumpwise.llm.language import op10_language_id
 from bumpwise.llm.mixing import op9_mixing
 from bumpwise.llm.quality import OP8_SQL, op8_quality_rules
@@ -13,6 +14,6 @@ from bumpwise.llm.sharding import op6_sharding
 from bumpwise.llm.toxicity import op3_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op3_toxicity, op6_sharding, op8_quality_rules, op9_mixing, op10_language_id)
+    query.__name__: query for query in (op3_toxicity, op4_byte_bpe, op6_sharding, op8_quality_rules, op9_mixing, op10_language_id)
 }
 ORACLES: dict[str, str] = {"op8_quality_rules": OP8_SQL}
