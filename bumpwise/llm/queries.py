@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from bumpwise.llm.bpe import op4_byte_bpe
+from bumpwise.llm.ctw import op1_lm_scoring
 from bumpwise.llm.embeddings import op2_embedding_dedup
 from bumpwise.llm.jaccard import op5_jaccard_join
 from bumpwise.llm.language import op10_language_id
@@ -16,6 +17,6 @@ from bumpwise.llm.sharding import op6_sharding
 from bumpwise.llm.toxicity import op3_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op2_embedding_dedup, op3_toxicity, op4_byte_bpe, op5_jaccard_join, op6_sharding, op8_quality_rules, op9_mixing, op10_language_id)
+    query.__name__: query for query in (op1_lm_scoring, op2_embedding_dedup, op3_toxicity, op4_byte_bpe, op5_jaccard_join, op6_sharding, op8_quality_rules, op9_mixing, op10_language_id)
 }
 ORACLES: dict[str, str] = {"op8_quality_rules": OP8_SQL}
