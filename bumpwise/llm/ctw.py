@@ -195,7 +195,9 @@ class _Texts:
     """The byte windows and the words of some texts, chunk by chunk."""
 
     def __init__(self, texts: pa.Array) -> None:
-        self.lowered = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
+        # a copy of its own: the buffers of a slice are those of the whole
+        whole = pa.concat_arrays([pc.fill_null(texts, "").cast(pa.large_string())])
+        self.lowered = pc.ascii_lower(pa.array(whole.to_pylist(), pa.large_string()))
 
     def windows(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(sorted distinct windows, start of each in `texts`, text of each position by window)."""
