@@ -40,6 +40,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bumpwise.llm.common import fold, stored, table
+from bumpwise.llm.texts import lowered_texts
 
 DEPTH = 5
 FOLDS, HELD_OUT = 5, 1
@@ -195,9 +196,7 @@ class _Texts:
     """The byte windows and the words of some texts, chunk by chunk."""
 
     def __init__(self, texts: pa.Array) -> None:
-        # a copy of its own: the buffers of a slice are those of the whole
-        whole = pa.concat_arrays([pc.fill_null(texts, "").cast(pa.large_string())])
-        self.lowered = pc.ascii_lower(pa.array(whole.to_pylist(), pa.large_string()))
+        self.lowered = lowered_texts(texts)
 
     def windows(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(sorted distinct windows, start of each in `texts`, text of each position by window)."""

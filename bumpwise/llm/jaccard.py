@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from bumpwise.llm.common import stored, table
 from bumpwise.llm.graph import components
+from bumpwise.llm.texts import lowered_texts
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _CHUNK_BYTES = 1 << 23
@@ -56,8 +57,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 def shingle_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
-    lowered = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
-    split = pc.ascii_split_whitespace(lowered)
+    split = pc.ascii_split_whitespace(lowered_texts(texts))
     flat = split.flatten()
     # positions of the texts' words after the empty ones (at a text's edges) are dropped
     offsets = split.offsets.to_numpy()
