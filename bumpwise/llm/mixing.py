@@ -13,6 +13,8 @@ empty result. Reruns agree, whatever the partitioning.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -130,15 +132,16 @@ def mix(
     size: Column,
     weights: tuple[float, ...] = WEIGHTS,
     seed: str = SEED,
+    carry: Sequence[str] = ("doc_id", "source"),
 ) -> DataFrame:
-    """The input rows with `size, source_size, target, taken`; `taken` is in words.
+    """The columns `carry` of each row with `size, source_size, target, taken`, all in words.
 
-    `size` counts the words of a row. The result keeps the columns doc_id and source.
+    `size` counts the words of a row.
     """
     picked = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("source"), F.xxhash64("text"))
     rows = stored(
         documents.select(
-            "doc_id",
+            *carry,
             F.struct(F.col("source").isNull().alias("is_null"), F.coalesce("source", F.lit("")).alias("name")).alias("source_key"),
             size.alias("size"),
             picked.alias("_h"),
@@ -182,7 +185,7 @@ def mix(
     settled = placed.where((whole == 0) | (whole == F.col("_n"))).withColumn(
         "_extra", F.when(whole > 0, 1).otherwise(0)
     )
-    inside = Window.partitionBy("source_key", "size", "_slice").orderBy("_h", "doc_id")
+    inside = Window.partitionBy("source_key", "size", "_slice").orderBy("_h", *[c for c in carry if c != "text"])
     split = placed.where((whole > 0) & (whole < F.col("_n"))).withColumn(
         "_extra", F.when(F.row_number().over(inside) <= F.col("_from_slice"), 1).otherwise(0)
     )
@@ -191,8 +194,7 @@ def mix(
         settled.unionByName(split)
         .join(plan, "source_key")
         .select(
-            "doc_id",
-            F.when(~F.col("source_key.is_null"), F.col("source_key.name")).alias("source"),
+            *carry,
             "size",
             F.col("source_size").cast("long").alias("source_size"),
             "target",
