@@ -19,15 +19,15 @@ def daily_segment_counts(
     """Impacts per segment and day, with one impact's place as the segment-day's coordinate.
 
     The day is `as_of` (default: today) for all rows, or the column named by `date_from`. Points
-    without a segment are not counted. The coordinate is the first impact's, by time and trip.
+    without a segment, or whose day cannot be read, are not counted (see `unmapped_count`). The coordinate is the first impact's, by time and trip.
     """
     if date_from is not None:
-        day = F.col(date_from).cast("date")
+        day = F.col(date_from).try_cast("date")
     else:
         day = F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
     first = F.min(F.struct("timestamp", "trip_id", "lon", "lat")).alias("_first")
     return (
-        mapped.filter(F.col("s_id").isNotNull())
+        mapped.filter(F.col("s_id").isNotNull() & day.isNotNull())
         .groupBy("s_id", day.alias("date"))
         .agg(F.count(F.lit(1)).cast("int").alias("impact_count"), first)
         .select(
@@ -89,12 +89,18 @@ def coerce_fact(raw: DataFrame, date: dt.date | str | None = None) -> DataFrame:
 
 
 def merge_additive(
-    base: DataFrame, delta: DataFrame, mode: str = "add", now: Column | None = None
+    base: DataFrame,
+    delta: DataFrame,
+    mode: str = "add",
+    now: Column | None = None,
+    days: Sequence[dt.date | str] | None = None,
 ) -> DataFrame:
     """`base` with `delta` merged in on (s_id, date).
 
-    A known key takes the delta's coordinate and adds its count (`mode="replace"` takes the
-    count too); a new key is inserted. Rows of `delta` with the same key count together. If
+    A known key takes the delta's coordinate and adds its count; a new key is inserted. With
+    `mode="replace"` the delta stands for whole days: a known key takes the count too, and a key of
+    these days that the delta lacks is removed. The days are those of the delta, or `days`, which
+    lets a day without any impact be replaced. Rows of `delta` with the same key count together. If
     `base` has `created_at` and `updated_at`, new keys are stamped with `now` and known keys
     keep theirs.
     """
@@ -113,6 +119,13 @@ def merge_additive(
     both = known.join(changes, keys, "full_outer")
     kept = F.coalesce("impact_count", F.lit(0)) if mode == "add" else F.lit(0)
     changed = F.col("_changed").isNotNull()
+    if mode == "replace":
+        if days is None:
+            replaced = delta.select("date").distinct().withColumn("_day", F.lit(True))
+            both = both.join(replaced, "date", "left").filter(changed | F.col("_day").isNull())
+        else:
+            given = F.col("date").isin([dt.date.fromisoformat(str(day)) for day in days])
+            both = both.filter(changed | ~F.coalesce(given, F.lit(False)))
 
     def pick(new: Column, old: str) -> Column:
         return F.when(changed, new).otherwise(F.col(old)).alias(old)

@@ -43,7 +43,7 @@ def daily_summary(fact: DataFrame, levels: RiskLevels = RiskLevels()) -> DataFra
 
 def repair_priority(fact: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
     """Segments by urgency over the last 30 days, one row per segment and coordinate."""
-    recent = fact.filter(_recent(as_of))
+    recent = _recent(fact, as_of)
     return (
         recent.groupBy("s_id", "centroid_lon", "centroid_lat")
         .agg(*_priority_measures())
@@ -54,7 +54,7 @@ def repair_priority(fact: DataFrame, as_of: dt.date | str | None = None) -> Data
 
 def repair_priority_by_segment(fact: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
     """`repair_priority` with one row per segment, at its latest coordinate."""
-    recent = fact.filter(_recent(as_of))
+    recent = _recent(fact, as_of)
     latest = F.max(F.struct("date", "centroid_lon", "centroid_lat")).alias("_latest")
     return (
         recent.groupBy("s_id")
@@ -98,10 +98,15 @@ _PRIORITY_COLUMNS = (
 )
 
 
-def _recent(as_of: dt.date | str | None) -> Column:
-    """On or after the day 30 days before `as_of`; later days have no limit."""
+def _recent(fact: DataFrame, as_of: dt.date | str | None) -> DataFrame:
+    """Facts on or after the day 30 days before `as_of`; later days have no limit.
+
+    On the stored table the month is compared too, so older partitions are not read.
+    """
     day = F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
-    return F.col("date") >= F.date_sub(day, WINDOW_DAYS)
+    first = F.date_sub(day, WINDOW_DAYS)
+    recent = fact.filter(F.col("date") >= first)
+    return recent.filter(F.col("month") >= F.trunc(first, "MM")) if "month" in fact.columns else recent
 
 
 def _priority_measures() -> list[Column]:

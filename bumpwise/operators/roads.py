@@ -45,6 +45,11 @@ def filter_links(links: DataFrame, column: str, value: object) -> DataFrame:
     return chosen
 
 
+def unreadable_links(links: DataFrame) -> DataFrame:
+    """Links whose geometry gave no line: malformed, missing, or of another type."""
+    return links.filter(F.col("pts").isNull())
+
+
 def segment_id(link_id: Column, number: Column) -> Column:
     """`<link>_<number>`, the number padded to four digits and never cut."""
     return F.format_string("%s_%04d", link_id, number)
@@ -55,12 +60,16 @@ def split_links(links: DataFrame, length: float = SEGMENT_LENGTH) -> DataFrame:
 
     The last piece may be shorter, a link without length has none, and interior vertices stay.
     Each straight stretch of a link is cut on its own at the marks it spans, so the work is
-    linear in vertices and pieces. Exact copies of a link give one set of pieces.
+    linear in vertices and pieces. Every row is cut, copies of a link too. A link whose line could
+    not be read (`pts` NULL) is an error; take out `unreadable_links` first to go on without.
     """
     if length <= 0:
         raise ValueError("length must be positive")
-    lines = links.select("link_id", "pts", F.xxhash64("pts").alias("line_id"))
-    stretches = lines.dropDuplicates(["link_id", "line_id"]).filter(F.size("pts") >= 2).select(
+    message = F.concat(F.lit("no readable line: link "), F.coalesce(F.col("link_id").cast("string"), F.lit("NULL")))
+    unread = F.when(F.col("pts").isNull(), F.raise_error(message).cast("int")).otherwise(F.size("pts"))
+    # copies of a row differ in this number alone
+    lines = links.select("link_id", "pts", F.monotonically_increasing_id().alias("line_id"))
+    stretches = lines.filter(unread >= 2).select(
         "link_id", "line_id",
         F.posexplode(
             F.arrays_zip(

@@ -89,12 +89,24 @@ def run_mapping(
     day: str,
     as_of: dt.date | str | None = None,
     mode: str = "add",
-) -> None:
-    """One day of anomalies into the daily facts, dated by the event day or by `as_of`."""
+) -> dict[str, int]:
+    """One day of anomalies into the daily facts, dated by the event day or by `as_of`.
+
+    With `mode="replace"` the counts stand for the whole day, also if it has none left. Returns
+    how many impacts were mapped, and how many have no segment or no readable day.
+    """
     anomalies = read_anomalies(spark, anomaly_path).filter(F.col("dt") == day)
-    mapped = nearest_segment(anomalies.select("timestamp", "trip_id", "lon", "lat", "dt"), index)
+    mapped, _ = store(map_impacts(anomalies, index), "mapped")
     dated = {"date_from": "dt"} if as_of is None else {"as_of": as_of}
-    merge_into_fact(daily_segment_counts(mapped, **dated), fact_path, mode)
+    days = [as_of or day] if mode == "replace" else None
+    merge_into_fact(daily_segment_counts(mapped, **dated), fact_path, mode, days=days)
+    readable = F.lit(True) if as_of is not None else F.col("dt").try_cast("date").isNotNull()
+    counts = mapped.agg(
+        F.count_if(F.col("s_id").isNotNull() & readable).alias("mapped"),
+        F.count_if(F.col("s_id").isNull()).alias("unmapped"),
+        F.count_if(F.col("s_id").isNotNull() & ~readable).alias("undated"),
+    )
+    return counts.first().asDict()
 
 
 def run_serving(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from bumpwise.functions.geodesy import TransverseMercator
 from bumpwise.operators.roads import (
@@ -19,7 +20,14 @@ def build_segments(
     value: object = None,
     length: float = SEGMENT_LENGTH,
     grid: TransverseMercator = TransverseMercator(),
+    skip_unreadable: bool = False,
 ) -> DataFrame:
-    """Links (`pts` in metres) to WGS84 segments, optionally only links with an attribute."""
+    """Links (`pts` in metres) to WGS84 segments, optionally only links with an attribute.
+
+    A link without a readable line is an error unless `skip_unreadable` (`unreadable_links` tells
+    which those are).
+    """
     chosen = links if column is None else filter_links(links, column, value)
+    if skip_unreadable:
+        chosen = chosen.filter(F.col("pts").isNotNull())
     return segment_endpoints(split_links(chosen, length), grid)

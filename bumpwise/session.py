@@ -17,12 +17,7 @@ def build_session(
     Adaptive execution coalesces small shuffle partitions and splits skewed ones, so
     `shuffle_partitions` is only worth setting for small local runs.
     """
-    builder = (
-        SparkSession.builder.appName(app)
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-    )
+    builder = SparkSession.builder.appName(app).config("spark.sql.session.timeZone", "UTC")
     if master:
         builder = (
             builder.master(master)

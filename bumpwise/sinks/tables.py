@@ -14,7 +14,7 @@ from bumpwise.operators.facts import append_conflicts, merge_additive
 from bumpwise.operators.ingest import readings
 from bumpwise.options import OutputFiles
 from bumpwise.schema import ANOMALY_COLUMNS, FACT_COLUMNS, FACT_KEY, SENSOR_COLUMNS, STORED_FACT
-from bumpwise.session import work_path
+from bumpwise.session import store, work_path
 from bumpwise.sources.tables import read_fact
 
 _SHOWN_KEYS = 10
@@ -100,30 +100,42 @@ def with_stamps(fact: DataFrame, now: Column | None = None) -> DataFrame:
 
 
 def merge_into_fact(
-    delta: DataFrame, path: str, mode: str = "add", now: Column | None = None
+    delta: DataFrame,
+    path: str,
+    mode: str = "add",
+    now: Column | None = None,
+    days: Sequence[dt.date | str] | None = None,
 ) -> None:
     """Merge counts into the stored facts (`merge_additive`), rewriting the months they touch.
 
     The merged months are written aside first: a table must not be overwritten while it is read,
-    and if the second write is lost with an executor the first still holds the result.
+    and if the second write is lost with an executor the first still holds the result. The delta
+    is evaluated once. A month that a replacement leaves without a row is emptied.
     """
     spark = delta.sparkSession
+    delta, _ = store(delta, "delta")
     stored = read_fact(spark, path)
     if stored is None:
         stored = spark.createDataFrame([], STORED_FACT)
-    touched = _same_months(stored, delta).drop("month")
+    months = _months(delta) | {dt.date.fromisoformat(str(day)).replace(day=1) for day in days or ()}
+    touched = stored.filter(F.col("month").isin(sorted(months)))
+    before = _months(touched) if mode == "replace" else set()
     staged = work_path(spark, "merged-months")
-    write_fact(merge_additive(touched, delta, mode, now), staged)
+    write_fact(merge_additive(touched.drop("month"), delta, mode, now, days), staged)
     merged = read_fact(spark, staged)
+    left = set()
     if merged is not None:
+        left = _months(merged)
         write_fact(merged, path, mode="overwrite")
+    empty = spark.createDataFrame([], STORED_FACT).drop("month")
+    for month in sorted(before - left):
+        empty.write.mode("overwrite").parquet(f"{path}/month={month}")
 
 
-def _same_months(stored: DataFrame, delta: DataFrame) -> DataFrame:
-    """The stored facts of the months in `delta`; the others are not read."""
-    # a row per month of data
-    months = [row[0] for row in delta.select(F.trunc("date", "MM")).distinct().collect()]
-    return stored.filter(F.col("month").isin(months))
+def _months(fact: DataFrame) -> set[dt.date]:
+    """The months with facts: a value per month of data."""
+    months = fact.select(F.trunc("date", "MM").alias("m")).distinct().collect()
+    return {row["m"] for row in months if row["m"] is not None}
 
 
 class DuplicateKeys(ValueError):
@@ -133,6 +145,7 @@ class DuplicateKeys(ValueError):
 def append_to_fact(delta: DataFrame, path: str) -> None:
     """Append facts; a NULL, or a key that exists or repeats, is an error and nothing is written."""
     spark = delta.sparkSession
+    delta, _ = store(delta, "delta")
     incomplete = delta.filter(
         " OR ".join(f"{name} IS NULL" for name in FACT_COLUMNS)
     )
@@ -141,7 +154,8 @@ def append_to_fact(delta: DataFrame, path: str) -> None:
     stored = read_fact(spark, path)
     if stored is None:
         stored = spark.createDataFrame([], STORED_FACT)
-    found = append_conflicts(_same_months(stored, delta), delta)
+    same_months = stored.filter(F.col("month").isin(sorted(_months(delta))))
+    found = append_conflicts(same_months, delta)
     conflicts = found.orderBy(*FACT_KEY).limit(_SHOWN_KEYS).collect()
     if conflicts:
         keys = ", ".join(f"({row['s_id']}, {row['date']})" for row in conflicts)

@@ -32,30 +32,66 @@ def read_anomalies(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ANOMALY_BY_DAY).parquet(path)
 
 
+def deliveries_path(path: str) -> str:
+    """Where a stream notes the deliveries it has processed for the table at `path`."""
+    return f"{path.rstrip('/')}-deliveries"
+
+
+def read_stream_anomalies(spark: SparkSession, path: str, day: str | None = None) -> DataFrame:
+    """Anomalies written by a stream, each trip as last delivered, even if that had none left."""
+    return read_latest(spark, path, ANOMALY_BY_DAY, day, deliveries_path(path))
+
+
+def _read_days(spark: SparkSession, path: str, schema: T.StructType, day: str | None) -> DataFrame:
+    """The table, or the folder of one day alone; empty if that does not exist."""
+    if day is None:
+        return spark.read.schema(schema).parquet(path)
+    try:
+        folder = spark.read.schema(schema).option("basePath", path).parquet(f"{path}/dt={day}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+    return folder.filter(F.col("dt") == day)
+
+
 def read_latest(
-    spark: SparkSession, path: str, schema: T.StructType, day: str | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    day: str | None = None,
+    deliveries: str | None = None,
 ) -> DataFrame:
     """A table written in batches, each trip as last delivered.
 
     Batches only add files (`dt=<day>/batch=<id>/`); of the deliveries of a trip on a day, the
-    rows with the greatest `seq` count. A `day` reads that partition alone. The trips delivered
+    rows with the greatest `seq` (then batch) count; with `deliveries`, a table of all deliveries, that may be
+    one without rows. A `day` lists and reads that partition alone. The trips delivered
     more than once are found when this is called, from the key columns, and stored: they are
     few, so the rows themselves need no shuffle, and no join at all where there are none.
     """
-    table = T.StructType(schema.fields + [T.StructField("seq", T.LongType())])
-    rows = spark.read.schema(table).parquet(path)
-    if day is not None:
-        rows = rows.filter(F.col("dt") == day)
+    marks = [T.StructField("seq", T.LongType()), T.StructField("batch", T.StringType())]
+    table = T.StructType(schema.fields + marks)
     keys = ("dt", "trip_id")
-    deliveries = rows.groupBy(*keys).agg(
-        F.min("seq").alias("_first"), F.max("seq").alias("_last"), F.count(F.lit(1)).alias("_rows")
+    # one delivery may have been stored by two queries over the same source: one batch counts
+    delivery = F.struct("seq", F.coalesce("batch", F.lit("")).alias("batch"))
+    rows = _read_days(spark, path, table, day).withColumn("_delivery", delivery)
+    known = rows.select(*keys, "_delivery")
+    if deliveries is not None:
+        noted = T.StructType([f for f in table.fields if f.name in (*keys, "seq", "batch")])
+        others = _read_days(spark, deliveries, noted, day).select(*keys, delivery.alias("_delivery"))
+        known = known.unionByName(others)
+    counted = known.groupBy(*keys).agg(
+        F.min("_delivery").alias("_first"),
+        F.max("_delivery").alias("_last"),
+        F.count(F.lit(1)).alias("_rows"),
     )
-    repeated, n_repeated = store(deliveries.filter("_first < _last").drop("_first"), "repeated")
+    repeated, n_repeated = store(counted.filter("_first < _last").drop("_first"), "repeated")
     if n_repeated == 0:
         return rows.select(*schema.names)
     return (
         attach_by_key(rows, repeated, keys, weight="_rows")
-        .filter(F.col("_last").isNull() | (F.col("seq") == F.col("_last")))
+        .filter(F.col("_last").isNull() | (F.col("_delivery") == F.col("_last")))
         .select(*schema.names)
     )
 

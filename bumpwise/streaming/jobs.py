@@ -1,13 +1,16 @@
 """The jobs as Structured Streaming queries.
 
-Each writes through `foreachBatch` into batch folders named by the micro-batch, so a micro-batch
-that runs again after a failure replaces its own output. Statistics of a trip need no state: a
-trip arrives whole in one message.
+Each writes through `foreachBatch` into batch folders named by the query and the micro-batch. A
+query's id lives in its checkpoint: a micro-batch that runs again after a failure replaces its own
+output, and a query with a checkpoint of its own never touches the folders of another one.
+Statistics of a trip need no state: a trip arrives whole in one message.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import threading
+import time
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -23,7 +26,8 @@ from bumpwise.operators.ingest import (
 )
 from bumpwise.options import DEFAULT_BOXES, Box, ContextLimits, ImpactRule, Ranges
 from bumpwise.schema import ANOMALY_COLUMNS, COUNTERS
-from bumpwise.sinks.tables import write_batch, write_raw
+from bumpwise.sinks.tables import merge_into_fact, write_batch, write_raw
+from bumpwise.sources.tables import deliveries_path
 
 
 def stream_ingest(
@@ -37,14 +41,14 @@ def stream_ingest(
 ) -> StreamingQuery:
     """Messages (`seq`, `value`) into the raw table, with outcome counters per micro-batch."""
 
-    def store(batch: DataFrame, number: int) -> None:
+    def store(batch: DataFrame, name: str) -> None:
         # counted on the way to the table, so a message is parsed once
         counted = Observation()
         trips = parse_trips(batch, ranges, boxes).observe(counted, *outcome_counts())
-        write_raw(trips, raw_path, number)
+        write_raw(trips, raw_path, name)
         if counters_path:
             counters = batch.sparkSession.createDataFrame([counted.get], COUNTERS)
-            counters.write.mode("overwrite").parquet(f"{counters_path}/batch={number}")
+            counters.write.mode("overwrite").parquet(f"{counters_path}/batch={name}")
 
     return _start(messages, store, checkpoint, trigger)
 
@@ -58,11 +62,16 @@ def first_deliveries(
     """Processed trips of a message stream, each only as first delivered.
 
     The other way to treat redeliveries: nothing is replaced later, at the price of state for
-    the trips of the last `delay`.
+    the trips of the last `delay`. Trips whose `dt` is no date, and trips that arrive later than
+    `delay`, cannot be told from redeliveries and are left to the raw table and its readers; the
+    query's progress shows how many, as `unreadable_dates` of the observed metrics
+    `first_deliveries` and as rows dropped by the watermark.
     """
     trips = parse_trips(messages, ranges, boxes).filter(F.col("outcome") == PROCESSED)
+    dated = trips.withColumn("day", F.col("dt").try_cast("timestamp"))
     return (
-        trips.withColumn("day", F.to_timestamp("dt"))
+        dated.observe("first_deliveries", F.count_if(F.col("day").isNull()).alias("unreadable_dates"))
+        .filter(F.col("day").isNotNull())
         .withWatermark("day", delay)
         .dropDuplicatesWithinWatermark(["dt", "trip_id"])
         .drop("day")
@@ -79,14 +88,21 @@ def stream_detect(
     boxes: Iterable[Box] = DEFAULT_BOXES,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Messages into anomalies, judged by the batch operator on each micro-batch."""
+    """Messages into anomalies, judged by the batch operator on each micro-batch.
 
-    def store(batch: DataFrame, number: int) -> None:
+    The key and number of every processed delivery is written beside the anomalies, so that a trip
+    delivered again without any anomaly clears those of its earlier deliveries
+    (`read_stream_anomalies`).
+    """
+
+    def store(batch: DataFrame, name: str) -> None:
         trips = latest_deliveries(parse_trips(batch, ranges, boxes))
         rows = readings(trips, carry=["seq"]).persist()
         try:
+            deliveries = rows.groupBy("dt", "trip_id").agg(F.max("seq").alias("seq"))
+            write_batch(deliveries, deliveries_path(anomaly_path), ("trip_id", "seq"), name)
             anomalies = detect_anomalies(rows, DAY_TRIP, rule, limits)
-            write_batch(anomalies, anomaly_path, (*ANOMALY_COLUMNS, "seq"), number)
+            write_batch(anomalies, anomaly_path, (*ANOMALY_COLUMNS, "seq"), name)
         finally:
             rows.unpersist()
 
@@ -97,51 +113,75 @@ def stream_daily_counts(
     mapped: DataFrame,
     counts_path: str,
     checkpoint: str,
-    delay: str = "2 days",
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Mapped impacts (`s_id`, `dt`, place and time) into running counts per segment and day.
+    """Mapped impacts (`s_id`, `dt`, place and time) into counts per segment and day.
 
-    The state holds each day's total, so an update replaces the stored count (`latest_counts`).
-    Days are the trips' own `dt`, closed `delay` after the newest one; later rows belong in a
-    batch merge.
+    Each micro-batch writes what it adds (`latest_counts` sums it up), so a row counts however late
+    it comes, and no state grows with the days. Rows whose `dt` is no date are kept as a count
+    without a day. `run` is when the query was started: where a later query has a segment-day, its
+    counts stand for those of earlier ones.
     """
-    counts = (
-        mapped.filter(F.col("s_id").isNotNull())
-        .withColumn("day", F.to_timestamp("dt"))
-        .withWatermark("day", delay)
-        .groupBy("day", "s_id")
-        .agg(
-            F.count(F.lit(1)).cast("int").alias("impact_count"),
-            F.min(F.struct("timestamp", "trip_id", "lon", "lat")).alias("first"),
+    run = time.time_ns()
+
+    def store(batch: DataFrame, name: str) -> None:
+        first = F.min(F.struct("timestamp", "trip_id", "lon", "lat")).alias("first")
+        counts = (
+            batch.filter(F.col("s_id").isNotNull())
+            .groupBy("s_id", F.col("dt").try_cast("date").alias("date"))
+            .agg(F.count(F.lit(1)).cast("int").alias("impact_count"), first)
         )
-    )
-
-    def store(batch: DataFrame, number: int) -> None:
-        batch.select(
-            "s_id",
-            F.col("first.lon").alias("centroid_lon"),
-            F.col("first.lat").alias("centroid_lat"),
-            F.to_date("day").alias("date"),
-            "impact_count",
-            F.lit(number).cast("bigint").alias("version"),
-        ).write.mode("overwrite").parquet(f"{counts_path}/batch={number}")
+        counts.withColumns({"run": F.lit(run), "query": F.lit(name.rpartition("-")[0])}).write.mode(
+            "overwrite"
+        ).parquet(f"{counts_path}/batch={name}")
 
-    return _start(counts, store, checkpoint, trigger, mode="update")
+    return _start(mapped, store, checkpoint, trigger)
 
 
 def latest_counts(updates: DataFrame) -> DataFrame:
-    """The newest version of each segment-day written by `stream_daily_counts`."""
-    newest = F.max(
-        F.struct("version", "centroid_lon", "centroid_lat", "impact_count")
-    ).alias("newest")
-    return updates.groupBy("s_id", "date").agg(newest).select(
-        "s_id", "newest.centroid_lon", "newest.centroid_lat", "date", "newest.impact_count"
+    """Counts per segment and day from the additions that `stream_daily_counts` wrote.
+
+    A query that stopped and went on with its checkpoint is one query, dated by its last start.
+    """
+    by_query = updates.groupBy("s_id", "date", "query").agg(
+        F.max("run").alias("run"),
+        F.sum("impact_count").cast("int").alias("impact_count"),
+        F.min("first").alias("first"),
+    )
+    newest = F.max(F.struct("run", "first", "impact_count")).alias("newest")
+    return by_query.filter(F.col("date").isNotNull()).groupBy("s_id", "date").agg(newest).select(
+        "s_id",
+        F.col("newest.first.lon").alias("centroid_lon"),
+        F.col("newest.first.lat").alias("centroid_lat"),
+        "date",
+        "newest.impact_count",
     )
 
 
+def merge_counts(updates: DataFrame, fact_path: str) -> None:
+    """The streamed counts into the stored facts: the days they have are replaced as a whole.
+
+    Running it again, or after late rows came, gives the facts of all rows so far.
+    """
+    merge_into_fact(latest_counts(updates), fact_path, mode="replace")
+
+
 def _start(
-    stream: DataFrame, store, checkpoint: str, trigger: dict | None, mode: str = "append"
+    stream: DataFrame,
+    store: Callable[[DataFrame, str], None],
+    checkpoint: str,
+    trigger: dict | None,
 ) -> StreamingQuery:
-    writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
-    return writer.outputMode(mode).trigger(**(trigger or {"processingTime": "10 seconds"})).start()
+    """Start a query that passes each micro-batch to `store` with its name."""
+    query_id: list[str] = []
+    known = threading.Event()
+
+    def named(batch: DataFrame, number: int) -> None:
+        known.wait()  # the id is there once `start` has returned
+        store(batch, f"{query_id[0]}-{number}")
+
+    writer = stream.writeStream.foreachBatch(named).option("checkpointLocation", checkpoint)
+    query = writer.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
+    query_id.append(query.id)
+    known.set()
+    return query

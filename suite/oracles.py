@@ -252,6 +252,13 @@ SELECT * REPLACE (NULL::DOUBLE AS centroid_lat) FROM fact WHERE date > DATE '{q.
   try_cast(centroid_lat AS DOUBLE) AS centroid_lat, date, impact_count FROM uneven""",
     "merge_additive": _merged(_ADDED),
     "merge_replace": _merged("coalesce(d.impact_count, b.impact_count)"),
+    "merge_replace_rerun": _with(
+        "fact",
+        delta="SELECT s_id, centroid_lon + 0.5::DOUBLE AS centroid_lon, centroid_lat, date, impact_count "
+        f"FROM fact WHERE date >= DATE '{q.DELTA_FROM}' AND impact_count > 1",
+    )
+    + f"""SELECT * FROM delta UNION ALL
+SELECT {_FACT_LIST} FROM fact WHERE date <= DATE '{q.BASE_UNTIL}' AND date NOT IN (SELECT date FROM delta)""",
     "merge_stored": _merged(_ADDED),
     "append_strict": _with(
         "fact",
@@ -332,6 +339,9 @@ FROM segments GROUP BY link_id""",
     "filter_links": _with("links") + "SELECT link_id, road_no, len FROM links WHERE road_no = '3'",
     "split_links": _with("links", pieces=_PIECES)
     + f"SELECT s_id, link_id, 2 AS n_points, {_r('x1', 6)} AS x1, y1, {_r('x2', 6)} AS x2, y2 FROM pieces",
+    "split_links_repeated": _with("links", pieces=_PIECES)
+    + "SELECT link_id, 2 * count(*) AS pieces FROM pieces GROUP BY link_id",
+    "links_unreadable": _with("links") + "SELECT count(*) AS unreadable FROM links WHERE road_no <> '3'",
     "segment_ids": _with("links")
     + "SELECT link_id, printf('%s_%04d', link_id, CAST(link_id AS BIGINT) * 7) AS s_id FROM links",
     "reproject_points": _with("links", **_geographic("links", "x0", "y0", "place", "link_id"))
@@ -340,6 +350,8 @@ FROM segments GROUP BY link_id""",
     "build_road_segments": _segments_sql("WHERE road_no = '3'"),
     "stream_ingest": _with("sensor", blocks=_BLOCKS, kept=_KEPT)
     + f"SELECT {_SENSOR_LIST}, dt FROM kept",
+    "stream_restart": _with("sensor", blocks=_BLOCKS, kept=_KEPT)
+    + f"SELECT {_SENSOR_LIST}, dt FROM kept",
     "stream_counters": _with("sensor", blocks=_BLOCKS, outcomes=_OUTCOMES) + _COUNTERS,
     "stream_detect": _with("sensor", blocks=_BLOCKS, kept=_KEPT, scored=_scores("kept", "dt, trip_id"))
     + f"SELECT {_SENSOR_LIST}, dt, {_SCORE_LIST} FROM scored WHERE impact_score > 1.5",

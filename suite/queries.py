@@ -28,7 +28,6 @@ from bumpwise.options import Box, ImpactRule
 from bumpwise.plans.impacts import impact_counts, map_impacts, monitored, repair_priorities
 from bumpwise.plans.network import build_segments
 from bumpwise.schema import (
-    ANOMALY_BY_DAY,
     ANOMALY_COLUMNS,
     MAPPED_BY_DAY,
     SENSOR_BY_DAY,
@@ -256,6 +255,16 @@ def merge_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.merge_additive(*_base_and_delta(spark, sf_dir), mode="replace")
 
 
+@query
+def merge_replace_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days counted again with fewer segments: the ones that vanished go from the stored table."""
+    path = work_path(spark, "fact")
+    base, delta = _base_and_delta(spark, sf_dir)
+    sinks.append_to_fact(base, path)
+    sinks.merge_into_fact(delta.filter("impact_count > 1"), path, mode="replace")
+    return sources.read_fact(spark, path).drop("created_at", "updated_at", "month")
+
+
 @query
 def merge_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same merge on a stored table."""
@@ -484,6 +493,24 @@ def split_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(rows, "x1", "x2")
 
 
+@query
+def split_links_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces per link when every link is there twice."""
+    links = adapters.links(spark, sf_dir)
+    pieces = roads.split_links(links.unionByName(links))
+    return pieces.groupBy("link_id").agg(F.count(F.lit(1)).alias("pieces"))
+
+
+@query
+def links_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many links have no line, where those of other roads are points."""
+    path = work_path(spark, "links")
+    links = adapters.links(spark, sf_dir)
+    geometry = F.when(F.col("road_no") == "3", "LINESTRING (0 0, 1 1)").otherwise("POINT (0 0)")
+    links.select("link_id", geometry.alias("geometry")).write.csv(path, header=True)
+    return roads.unreadable_links(sources.read_links(spark, path)).agg(F.count(F.lit(1)).alias("unreadable"))
+
+
 @query
 def segment_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers from 0 up to beyond four digits."""
@@ -531,6 +558,16 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_latest(spark, raw, SENSOR_BY_DAY)
 
 
+@query
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same source by two queries with checkpoints of their own, into one table."""
+    raw = work_path(spark, "raw")
+    stream = message_sources.message_stream(spark, _envelope_folder(spark, sf_dir))
+    for name in ("first", "second"):
+        streams.stream_ingest(stream, raw, work_path(spark, name), trigger=ONCE).awaitTermination()
+    return sources.read_latest(spark, raw, SENSOR_BY_DAY)
+
+
 @query
 def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     counters = work_path(spark, "counters")
@@ -549,7 +586,7 @@ def stream_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
     streams.stream_detect(
         stream, path, work_path(spark, "stream"), LOWER_BAR, trigger=ONCE
     ).awaitTermination()
-    rows = sources.read_latest(spark, path, ANOMALY_BY_DAY)
+    rows = sources.read_stream_anomalies(spark, path)
     return _rounded(rows, "nor_accel_z", "nor_gyro_y", "impact_score")
 
 

@@ -49,7 +49,9 @@ def test_merge(spark):
         ("A", D1, 129.0, 5), ("B", D1, 128.0, 1), ("C", D1, 136.0, 9),
     ]
     replaced = facts.merge_additive(base, delta, mode="replace")
-    assert content(replaced)[0] == ("A", D1, 129.0, 2)
+    assert content(replaced) == [("A", D1, 129.0, 2), ("B", D1, 128.0, 1)]  # C is gone: its day is replaced
+    emptied = facts.merge_additive(base, fact(spark), mode="replace", days=[D1])
+    assert content(emptied) == []
     with pytest.raises(ValueError):
         facts.merge_additive(base, delta, mode="other")
 

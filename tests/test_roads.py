@@ -47,15 +47,23 @@ def test_a_mark_on_a_vertex_and_repeated_vertices(spark):
 
 
 def test_lines_without_length_have_no_pieces(spark):
-    assert pieces(spark, L=[(1.0, 1.0), (1.0, 1.0)], M=[(1.0, 1.0)], N=[], O=None) == {}
+    assert pieces(spark, L=[(1.0, 1.0), (1.0, 1.0)], M=[(1.0, 1.0)], N=[]) == {}
     with pytest.raises(ValueError):
         roads.split_links(links(spark, L=[(0.0, 0.0), (1.0, 0.0)]), 0)
 
 
-def test_copies_of_a_link_are_cut_once(spark):
-    line = [(0.0, 0.0), (60.0, 0.0)]
+def test_every_copy_of_a_link_is_cut(spark):
+    line = [(0.0, 0.0), (120.0, 0.0)]
     twice = links(spark, L=line).unionByName(links(spark, L=line))
-    assert roads.split_links(twice).count() == 2
+    assert roads.split_links(twice).count() == 6
+
+
+def test_a_link_without_a_line_is_an_error_unless_taken_out(spark):
+    some = links(spark, L=[(0.0, 0.0), (60.0, 0.0)], O=None)
+    with pytest.raises(Exception, match="no readable line: link O"):
+        roads.split_links(some).collect()
+    assert [row["link_id"] for row in roads.unreadable_links(some).collect()] == ["O"]
+    assert build_segments(some, skip_unreadable=True).count() == 2
 
 
 @pytest.mark.parametrize("seed", range(3))

@@ -9,10 +9,12 @@ from bumpwise.operators.ingest import parse_trips, readings
 from bumpwise.options import ImpactRule
 from bumpwise.schema import ANOMALY_BY_DAY, MAPPED_BY_DAY, SENSOR_BY_DAY
 from bumpwise.sources.messages import message_stream, read_messages
-from bumpwise.sources.tables import read_latest
+from bumpwise.sinks.tables import append_to_fact, merge_into_fact
+from bumpwise.sources.tables import read_fact, read_latest, read_stream_anomalies
 from bumpwise.streaming.jobs import (
     first_deliveries,
     latest_counts,
+    merge_counts,
     stream_daily_counts,
     stream_detect,
     stream_ingest,
@@ -70,12 +72,66 @@ def test_ingest_over_batches_with_redelivery_and_replay(spark, path_for):
     ).first()
     assert tuple(totals) == (6, 4, 1, 1)
 
-    # the whole source again under a new checkpoint: batch folders are replaced, readers see the same
+    # the whole source again under a new checkpoint: folders of its own, readers see the same
     before = content(latest)
     run(path_for("checkpoint"))
     assert content(read_latest(spark, raw, SENSOR_BY_DAY)) == before
 
 
+def test_a_second_query_keeps_what_the_first_wrote(spark, path_for):
+    raw, counters = path_for("raw"), path_for("counters")
+    for name in ("A", "B"):
+        source = path_for(f"in-{name}")
+        deliver(spark, source, (1, trip(name, 5)))
+        stream = message_stream(spark, source)
+        stream_ingest(stream, raw, path_for("checkpoint"), counters, trigger=ONCE).awaitTermination()
+    trips = read_latest(spark, raw, SENSOR_BY_DAY).select("trip_id").distinct().collect()
+    assert sorted(row[0] for row in trips) == ["A", "B"]
+    assert spark.read.parquet(counters).selectExpr("sum(total)").first()[0] == 2
+
+
+def test_a_clean_redelivery_clears_old_anomalies(spark, path_for):
+    source, anomalies, checkpoint = path_for("in"), path_for("anomalies"), path_for("checkpoint")
+    calm = trip("A", 20)
+    calm["records"] = calm["records"][:-1]
+    for seq, message in ((1, trip("A", 20)), (2, calm)):
+        deliver(spark, source, (seq, message))
+        stream = message_stream(spark, source)
+        stream_detect(stream, anomalies, checkpoint, RULE, trigger=ONCE).awaitTermination()
+        assert read_stream_anomalies(spark, anomalies).count() == (1 if seq == 1 else 0)
+    assert read_stream_anomalies(spark, anomalies, "2025-02-12").count() == 0
+    assert read_stream_anomalies(spark, anomalies, "2025-02-13").count() == 0
+
+
+def test_late_rows_and_bad_dates(spark, path_for):
+    source, counts, table = path_for("in"), path_for("counts"), path_for("fact")
+    parts = [[("2026-03-20", "A")], [("2026-03-13", "A"), ("20-03-2026", "A")], [("2026-03-13", "B")]]
+    for number, part in enumerate(parts):
+        rows = [(number, "T", 127.0, 34.0, s, d) for d, s in part]
+        spark.createDataFrame(rows, MAPPED_BY_DAY).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(MAPPED_BY_DAY).parquet(source)
+        stream_daily_counts(stream, counts, f"{source}-checkpoint", trigger=ONCE).awaitTermination()
+        merge_counts(spark.read.parquet(counts), table)
+    got = {(r["s_id"], str(r["date"])): r["impact_count"] for r in read_fact(spark, table).collect()}
+    assert got == {("A", "2026-03-20"): 1, ("A", "2026-03-13"): 1, ("B", "2026-03-13"): 1}
+    undated = spark.read.parquet(counts).filter("date IS NULL").selectExpr("sum(impact_count)")
+    assert undated.first()[0] == 1
+
+    # the source once more under a new checkpoint: its counts stand for the old ones
+    stream = spark.readStream.schema(MAPPED_BY_DAY).parquet(source)
+    stream_daily_counts(stream, counts, path_for("new"), trigger=ONCE).awaitTermination()
+    assert latest_counts(spark.read.parquet(counts)).selectExpr("sum(impact_count)").first()[0] == 3
+
+
+def test_replacing_a_day_can_empty_a_month(spark, path_for):
+    table = path_for("fact")
+    rows = spark.createDataFrame([("A", 127.0, 34.0, "2026-01-05", 2), ("A", 127.0, 34.0, "2026-02-05", 3)], "s_id string, centroid_lon double, centroid_lat double, date string, impact_count int")
+    append_to_fact(rows.withColumn("date", rows["date"].cast("date")), table)
+    none = read_fact(spark, table).filter("false").select("s_id", "centroid_lon", "centroid_lat", "date", "impact_count")
+    merge_into_fact(none, table, mode="replace", days=["2026-01-05"])
+    assert [str(r["date"]) for r in read_fact(spark, table).collect()] == ["2026-02-05"]
+
+
 def test_stream_equals_batch(spark, path_for):
     source = path_for("in")
     deliver(spark, source, *((i, trip(f"T{i}", 8 + i)) for i in range(8)))
