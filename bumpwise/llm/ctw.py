@@ -45,7 +45,7 @@ from bumpwise.llm.texts import lowered_texts
 DEPTH = 5
 FOLDS, HELD_OUT = 5, 1
 MARK = 0xFF  # no byte of UTF-8
-BLOCK_BYTES = 48 << 20
+BLOCK_BYTES = 24 << 20
 BUCKET_BYTES = 16 << 20
 _CHUNK = 1 << 16  # positions that are sorted together: 48 bits of window and 16 of place
 _END = np.uint64(xxhash.xxh3_64_intdigest(b""))  # no word is empty
@@ -241,7 +241,7 @@ class _Texts:
         return hashes, tokens, np.concatenate((owner, np.arange(len(split))))
 
 
-def _slices(texts: pa.ChunkedArray, most: int = 1 << 22) -> Iterator[tuple[int, pa.Array]]:
+def _slices(texts: pa.ChunkedArray, most: int = 1 << 21) -> Iterator[tuple[int, pa.Array]]:
     """(first row, some whole texts) of at most about `most` bytes."""
     row = 0
     for chunk in texts.chunks:
@@ -277,9 +277,9 @@ def _ask(buckets: int) -> Callable:
                 windows.append((window, np.add.reduceat(taught[owner], begin)))
             hashes, tokens, owner = some.words()
             words.append((hashes, np.bincount(tokens, taught[owner], minlength=len(hashes))))
-            if sum(len(part[0]) for part in windows) > 1 << 23:
+            if sum(len(part[0]) for part in windows) > 1 << 21:
                 windows = [merged(windows)]
-            if sum(len(part[0]) for part in words) > 1 << 22:
+            if sum(len(part[0]) for part in words) > 1 << 20:
                 words = [merged(words)]
         (window, times), (word, uses) = merged(windows), merged(words)
         of_window = _buckets(buckets)[(window >> np.uint64(8 * DEPTH - 8)).astype(np.int64)]
