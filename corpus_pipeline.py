@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bumpwise.llm import bpe, jaccard, language, lines, mixing
-from bumpwise.llm.common import WORD, word_count
-from bumpwise.session import work_path
+from bumpwise.llm.common import WORD, stored, word_count
+from bumpwise.session import store, work_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 # a cosine from which another language than the stated one is believed
@@ -47,22 +47,47 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return _documents(cleaned.where(F.col("text").rlike(WORD)))
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(*COLUMNS, F.xxhash64(*COLUMNS).alias("row_hash"))
+
+
+def _join(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """Keyed documents joined on (doc_id, row_hash) with keys that are counted, then broadcast if
+    they are few; else both sides are shuffled."""
+    copy, n_keys = store(keys.select(F.col("doc_id").alias("key_id"), F.col("row_hash").alias("key_hash")), "pipeline-keys")
+    copy = F.broadcast(copy) if n_keys <= lines.BROADCAST_ROWS else copy
+    same = F.col("doc_id").eqNullSafe(F.col("key_id")) & (F.col("row_hash") == F.col("key_hash"))
+    return docs.join(copy, same, how)
+
+
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id stays; among rows with that id, the first by content."""
-    found = jaccard.jaccard_components(docs, {c: F.col(c) for c in COLUMNS}, FIVE_WORDS)
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64(*COLUMNS))
+    """The document with the smallest id stays; among rows with that id, the first by content.
+
+    The texts are not moved for it: rows are named by id and hash, and those to drop are taken out.
+    """
+    keyed = _keyed(docs)
+    found = stored(
+        jaccard.jaccard_components(keyed, {c: F.col(c) for c in ("doc_id", "row_hash")}, FIVE_WORDS), "pipeline-clusters"
+    )
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_hash")
     marked = found.withColumn("_order", order)
     least = marked.where("cluster is not null").groupBy("cluster").agg(F.min("_order").alias("_least"))
-    kept = marked.join(least, "cluster", "left").where(
-        F.col("cluster").isNull() | (F.col("_order") == F.col("_least"))
-    )
-    return kept.dropDuplicates(["cluster", *COLUMNS]).select(*COLUMNS)
+    dropped = marked.join(least, "cluster").where(F.col("_order") != F.col("_least"))
+    kept = _join(keyed, dropped.select("doc_id", "row_hash").distinct(), "left_anti")
+    # rows that are equal in all columns have one name; they are few, and one of each stays
+    repeated = stored(found.groupBy("doc_id", "row_hash").count().where("count > 1"), "pipeline-repeated")
+    if repeated.isEmpty():
+        return kept.select(*COLUMNS)
+    once = _join(kept, repeated, "left_semi").dropDuplicates(["doc_id", "row_hash"])
+    return _join(kept, repeated, "left_anti").unionByName(once).select(*COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats are for the trainer to make: a document that is taken stays as one row."""
-    sized = mixing.mix(docs, word_count(F.col("text")), carry=COLUMNS)
-    return sized.where("taken > 0").select(*COLUMNS)
+    keyed = _keyed(docs)
+    sized = mixing.mix(keyed, word_count(F.col("text")), carry=("doc_id", "row_hash"))
+    left_out = sized.groupBy("doc_id", "row_hash").agg(F.max("taken").alias("taken")).where("taken = 0")
+    return _join(keyed, left_out, "left_anti").select(*COLUMNS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
