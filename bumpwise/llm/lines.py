@@ -25,8 +25,9 @@ import random
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bumpwise.llm.common import WORD, stored, table
+from bumpwise.llm.common import WORD, stored, table, with_fixed
 from bumpwise.llm.graph import components
+from bumpwise.session import store
 
 SHINGLE = 9
 PERCENT = 80
@@ -34,6 +35,7 @@ BANDS, ROWS = 8, 4
 ANCHORED = 64
 SEED = 7
 SPACES = " \t\x0b\x0c\r"
+BROADCAST_ROWS = 1_000_000  # of one or two numbers each
 
 
 def shingles(line: Column) -> Column:
@@ -80,13 +82,24 @@ def _lines(documents: DataFrame) -> DataFrame:
 
 def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes whose shingles are similar enough."""
-    side = lambda to: texts.select(F.col("node").alias(to), F.col("shingles").alias(f"s_{to}"))
+    side = lambda to: texts.select(F.col("node").alias(to), F.col("line").alias(f"line_{to}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
+    hashed = lambda to: F.array_distinct(F.transform(shingles(F.col(f"line_{to}")), lambda s: F.xxhash64(s)))
+    both = with_fixed(both.select("a", "b", "line_a", "line_b"), {"s_a": hashed("a"), "s_b": hashed("b")})
     common = F.size(F.array_intersect("s_a", "s_b"))
     union = F.size("s_a") + F.size("s_b") - common
     return both.where(common * 100 >= union * PERCENT).select("a", "b")
 
 
+def _small(frame: DataFrame, name: str) -> DataFrame:
+    """A stored copy, sent to all executors if it has at most BROADCAST_ROWS rows.
+
+    Larger ones are joined by a shuffle of both sides.
+    """
+    copy, n_rows = store(frame, name)
+    return F.broadcast(copy) if n_rows <= BROADCAST_ROWS else copy
+
+
 def _pair(x: str, y: str) -> tuple[Column, Column]:
     return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
 
@@ -103,17 +116,17 @@ def line_clusters(documents: DataFrame) -> DataFrame:
     keys = [
         F.xxhash64(F.lit(band), *[F.col(f"m{band}_{row}") for row in range(ROWS)]) for band in range(BANDS)
     ]
-    banded = signed.select("node", F.explode(F.array(*keys)).alias("band"))
+    # dealt out once, for the count and the join
+    banded = signed.select("node", F.explode(F.array(*keys)).alias("band")).repartition("band")
     shared = banded.groupBy("band").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last")
     candidates = stored(banded.join(shared.select("band", "leader"), "band"), "line-bands")
-    involved = candidates.select("node").distinct()
-    # one text per node, with the exact shingles; only nodes with a candidate
+    involved = _small(candidates.select("node").distinct(), "line-involved")
+    # one text per node; only nodes with a candidate
     texts = stored(
         lines.select("node", "line")
         .join(involved, "node", "left_semi")
         .groupBy("node")
-        .agg(F.min("line").alias("line"))
-        .select("node", F.array_distinct(F.transform(shingles(F.col("line")), lambda s: F.xxhash64(s))).alias("shingles")),
+        .agg(F.min("line").alias("line")),
         "line-texts",
     )
     first = candidates.where("node != leader").select(*_pair("leader", "node")).distinct()
@@ -135,21 +148,24 @@ def line_clusters(documents: DataFrame) -> DataFrame:
 
 
 def removed_lines(documents: DataFrame) -> DataFrame:
-    """`doc_id, text_hash, gone`: the places of the lines to remove, of documents that have any."""
+    """`doc_id, text_hash, place` of the lines to remove."""
     labels = line_clusters(documents)
     at = _lines(documents).select("doc_id", "text_hash", "place", "node").distinct()
     at = at.join(labels, "node", "left").select("doc_id", "text_hash", "place", F.coalesce("component", "node").alias("component"))
     at = stored(at, "line-places")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", "place")
     kept = at.groupBy("component").agg(F.min(order).alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    gone = at.join(kept, "component").where(order != F.col("kept"))
-    # a document's list is as long as its lines at most
-    return gone.groupBy("doc_id", "text_hash").agg(F.collect_list("place").alias("gone"))
+    return at.join(kept, "component").where(order != F.col("kept")).select("doc_id", "text_hash", "place")
 
 
 def without_repeats(documents: DataFrame) -> DataFrame:
     """`documents` with their repeated lines removed, and `_n_lines`, `_n_removed`."""
-    gone = removed_lines(documents).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "gone")
+    places, n_places = store(removed_lines(documents), "line-removed")
+    # a document's list is as long as its lines at most
+    gone = places.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(
+        F.collect_list("place").alias("gone")
+    )
+    gone = F.broadcast(gone) if n_places <= BROADCAST_ROWS else gone
     joined = documents.join(
         gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left"
     )
