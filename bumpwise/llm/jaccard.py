@@ -7,12 +7,12 @@ match nothing, so they are counted but never leave the first step:
 
 1. Sets are split by hash into buckets, packed, and shuffled once. A bucket counts its shingles and
    returns those that at least two nodes have. All later steps work on these alone: they suffice
-   for prefixes and for exact intersections.
+   for prefixes and for exact intersections. Of a hash the bucket's bits and 48 more are kept.
 2. Nodes whose prefix has no shared shingle are done. Nodes with the same shared prefix and size
    are one group, and groups are joined on the shingles of their prefixes, with the size filter and
    the positional bound.
-3. No list of groups is joined with itself at once. First each list's groups are compared with one
-   of its groups drawn by hash, and members with one member; the links found give components. Then
+3. No list of groups is joined with itself at once. First the groups of the longest lists are
+   compared with one group of the list, drawn by hash, and members with one member; the links found give components. Then
    all remaining candidates between different components are compared, each pair once. Links
    inside a component cannot change the answer, so none that matters is left out.
 
@@ -40,7 +40,9 @@ from bumpwise.llm.texts import lowered_texts
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _CHUNK_BYTES = 1 << 23
-_BYTES_PER_BUCKET = 1 << 25
+_BYTES_PER_BUCKET = 1 << 23
+_KEPT_BYTES = 6  # of a shingle's hash, after the bits that its bucket tells
+_LED = 4  # most frequent shingles of a prefix whose lists are compared with one member first
 
 
 @dataclass(frozen=True)
@@ -136,9 +138,11 @@ def _packed(words: int, bits: int) -> Callable:
                     continue
                 some = counts > 0
                 parts = [s[start:end] for s, (start, end) in zip(sets.values(), spans, strict=True)]
+                told = (np.concatenate(parts) << np.uint64(bits)) >> np.uint64(64 - 8 * _KEPT_BYTES)
+                told = told.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_KEPT_BYTES]
                 rows.append(
                     (bucket, names[some].tobytes(), sizes[some].astype("<i4").tobytes(),
-                     counts[some].astype("<i4").tobytes(), np.concatenate(parts).tobytes())
+                     counts[some].astype("<i4").tobytes(), told.tobytes())
                 )
             columns = list(zip(*rows, strict=True)) or [()] * 5
             kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
@@ -154,7 +158,10 @@ def _shared(bucket: pa.Table) -> pa.Table:
     """(node, size, shingle, df) of a bucket's shingles that at least two nodes have."""
     joined = lambda name, kind: np.frombuffer(b"".join(bucket.column(name).to_pylist()), kind)
     nodes, sizes, counts = joined("nodes", np.int64), joined("sizes", "<i4"), joined("counts", "<i4")
-    shingles = joined("shingles", np.uint64)
+    packed = joined("shingles", np.uint8).reshape(-1, _KEPT_BYTES)
+    shingles = np.zeros((len(packed), 8), np.uint8)
+    shingles[:, :_KEPT_BYTES] = packed
+    shingles = shingles.view("<u8").ravel()
     first = np.zeros(len(nodes), bool)  # a node that came from several pieces counts once
     first[np.unique(nodes, return_index=True)[1]] = True
     kept = np.repeat(first, counts)
@@ -165,6 +172,7 @@ def _shared(bucket: pa.Table) -> pa.Table:
     df = np.diff(np.concatenate((starts, [len(shingles)])))
     several = np.repeat(df, df) > 1
     owner = owner[several]
+    shingles |= np.uint64(bucket.column("bucket")[0].as_py()) << np.uint64(8 * _KEPT_BYTES)
     return pa.table(
         {
             "node": pa.array(nodes[owner]),
@@ -195,7 +203,7 @@ def _linked(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 def similar_nodes(documents: DataFrame, how: Similarity, text_bytes: int) -> DataFrame:
     """`node, component` of the nodes that link with another one."""
-    bits = max(4, min(20, (max(1, text_bytes // _BYTES_PER_BUCKET) - 1).bit_length()))
+    bits = max(4, min(16, (max(1, text_bytes // _BYTES_PER_BUCKET) - 1).bit_length()))
     shared = (
         documents.select(F.col("text").alias("_text"))
         .mapInArrow(
@@ -239,7 +247,8 @@ def similar_nodes(documents: DataFrame, how: Similarity, text_bytes: int) -> Dat
     filtered = _fits("size_a", "size_b", how.percent) & (F.least("rest_a", "rest_b") >= needed)
 
     drawn = F.struct(F.xxhash64("group", "shingle").alias("h"), "group", "size", "prefix", "alone", "place")
-    leaders = postings.groupBy("shingle").agg(F.min(drawn).alias("l"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    led = postings.where(F.col("place") >= F.size("prefix") - _LED)
+    leaders = led.groupBy("shingle").agg(F.min(drawn).alias("l"), F.count(F.lit(1)).alias("n")).where("n > 1")
     leaders = leaders.select(
         "shingle", F.col("l.group").alias("a"), F.col("l.size").alias("size_a"),
         (F.col("l.size") - F.col("l.alone") - F.col("l.place")).alias("rest_a"),
