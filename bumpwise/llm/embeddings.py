@@ -33,8 +33,9 @@ from bumpwise.llm.graph import components
 
 COSINE = 0.9
 BLOCK_DIMENSIONS = 8
-TILE = 2048
+TILE = 8192
 _SLACK = 1e-9  # covers rounding of the rotated distances; the cosine itself decides
+_ROUGH = 1e-4  # the same for the first look, in single precision
 
 
 def _units(flat: np.ndarray) -> np.ndarray:
@@ -79,19 +80,19 @@ def blocks_of(variances: np.ndarray, dimensions: int) -> list[np.ndarray]:
 
 
 def _cells(width: int, axes: np.ndarray, blocks: list[np.ndarray], radii: np.ndarray) -> Callable:
-    """(node, block, cell) of each node and block."""
+    """(node, copies, vector, block, cell) of each node and block."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             turned = _units(_matrix(batch.column("vector"), width)) @ axes
-            node, vector = batch.column("node"), batch.column("vector")
+            given = [batch.column(name) for name in ("node", "copies", "vector")]
             for number, block in enumerate(blocks):
                 cell = np.floor(turned[:, block[0]] / radii[number]).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [node, pa.array(np.full(len(cell), number, np.int32)), pa.array(cell), vector],
-                    ["node", "block", "cell", "vector"],
+                    [*given, pa.array(np.full(len(cell), number, np.int32)), pa.array(cell)],
+                    ["node", "copies", "vector", "block", "cell"],
                 )
 
     return work
@@ -120,17 +121,20 @@ def _compare(
             return i
 
         block = turned[:, blocks[number]]
-        for start in range(0, len(left), 512):
-            some = left[start : start + 512]
-            squared = (
-                (block[some] ** 2).sum(axis=1)[:, None]
-                + (block[right] ** 2).sum(axis=1)[None, :]
-                - 2 * block[some] @ block[right].T
-            )
-            i, j = np.nonzero(squared <= budgets[number] + _SLACK)
-            i, j = some[i], right[j]
+        # one product gives the squared distances: (x, |x|^2, 1) and (-2y, 1, |y|^2)
+        norms, one = (block**2).sum(axis=1)[:, None], np.ones((len(block), 1))
+        rows = np.hstack((block, norms, one)).astype(np.float32)
+        columns = np.ascontiguousarray(np.hstack((-2 * block, one, norms)).astype(np.float32)[right].T)
+        for start in range(0, len(left), 256):
+            some = left[start : start + 256]
+            first = start if within else 0  # of a tile with itself, each pair once
+            near = np.flatnonzero(rows[some] @ columns[:, first:] <= budgets[number] + _ROUGH)
+            i, j = np.divmod(near, len(right) - first)
+            i, j = some[i], right[j + first]
             if within:
                 i, j = i[i < j], j[i < j]
+            apart = ((block[i] - block[j]) ** 2).sum(axis=1)
+            i, j = i[apart <= budgets[number] + _SLACK], j[apart <= budgets[number] + _SLACK]
             good = np.empty(len(i), bool)
             for at in range(0, len(i), 65_536):
                 part = slice(at, at + 65_536)
@@ -162,13 +166,16 @@ def near_duplicates(
     vectors: DataFrame, id_column: str, vector_column: str, cosine: float = COSINE
 ) -> DataFrame:
     """`vec_id, n_links, component_id, kept` for each row of `vectors`."""
-    rows = vectors.select(F.col(id_column).alias("vec_id"), F.col(vector_column).cast("array<double>").alias("vector"))
+    rows = vectors.select(F.col(id_column).alias("vec_id"), F.col(vector_column).alias("vector"))
+    if dict(rows.dtypes)["vector"] != "array<float>":
+        rows = rows.withColumn("vector", F.col("vector").cast("array<double>"))
+    zero = F.lit(0).cast("float" if dict(rows.dtypes)["vector"] == "array<float>" else "double")
     lengths = rows.groupBy(F.size("vector").alias("n")).count().where("n > 0")
     usual = lengths.orderBy(F.desc("count"), "n").first()
     width = usual["n"] if usual else 0
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     usable = (F.size("vector") == width) & finite & F.exists("vector", lambda x: x != 0)
-    named = F.when(F.coalesce(usable, F.lit(False)), F.transform("vector", lambda x: x + F.lit(0.0)))
+    named = F.when(F.coalesce(usable, F.lit(False)), F.transform("vector", lambda x: x + zero))
     # equal vectors are one node, named by a 64-bit hash of the components (0.0 for -0.0)
     rows = rows.select("vec_id", named.alias("vector"))
     rows = stored(rows.withColumn("node", F.when(F.col("vector").isNotNull(), F.xxhash64("vector"))), "vectors")
@@ -187,8 +194,9 @@ def near_duplicates(
     shares = np.array([variances[block].sum() for block in blocks]) + 1e-12 * max(variances.sum(), 1e-300)
     budgets = (2 - 2 * cosine) * shares / shares.sum()
     radii = np.sqrt(budgets + _SLACK)
-    celled = nodes.mapInArrow(
-        _cells(width, axes, blocks, radii), "node long, block int, cell long, vector array<double>"
+    kind = dict(nodes.dtypes)["vector"]
+    celled = nodes.select("node", "copies", "vector").mapInArrow(
+        _cells(width, axes, blocks, radii), f"node long, copies long, vector {kind}, block int, cell long"
     )
     crowd = stored(celled.groupBy("block", "cell").count(), "vector-cells")
     tiles = crowd.select("block", "cell", F.ceil(F.col("count") / TILE).cast("int").alias("tiles"))
@@ -197,7 +205,6 @@ def near_duplicates(
     shape = tiles.join(after, ["block", "cell"], "left").join(before, ["block", "cell"], "left")
     placed = (
         celled.join(shape, ["block", "cell"])
-        .join(nodes.select("node", "copies"), "node")
         .withColumn("tile", F.pmod(F.xxhash64(F.lit("tile"), "node"), F.col("tiles")).cast("int"))
     )
     # roles: with the own tile (2), with other tiles of the cell (0 or 1), with tiles of the next
