@@ -2,39 +2,46 @@
 
 Each round links the neighbours of a node to the smallest of them: first the larger ones (large
 star), then the smaller ones (small star). The distances to the smallest node of a component shrink
-until every node is linked to it. Each round is a few group-bys whose results are stored in the
-shared folder; no links come to the driver.
+until every node is linked to it and a round changes nothing. A round is one job whose result is
+stored in the shared folder; no links come to the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from bumpwise.llm.common import stored
-from bumpwise.session import store
+from bumpwise.session import work_path
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
     """Links (a, b) with a < b -> the links of one star step.
 
-    The neighbourhood of a node is never held together: its minimum is aggregated and joined back.
+    The neighbourhood of a node is never held together: its minimum is aggregated and joined back,
+    over rows that are dealt out by node once.
     """
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    side = both if large else links.select(F.col("b").alias("a"), F.col("a").alias("b"))
-    if not large:
-        least = side.groupBy("a").agg(F.min("b").alias("m"))
+    turned = links.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    side = (links.unionByName(turned) if large else turned).repartition("a")
+    least = side.groupBy("a").agg(F.min("b").alias("m"))
     kept = side.join(least, "a")
     if large:
-        made = kept.where(F.col("b") > F.col("a")).select(F.col("m").alias("a"), "b")
+        made = kept.where(F.col("b") > F.col("a")).select(F.least("m", "a").alias("a"), "b")
     else:
-        made = kept.select(F.col("m").alias("a"), "b").unionByName(
-            least.select(F.col("m").alias("a"), F.col("a").alias("b"))
-        )
+        # the smaller neighbours and the node itself go to the smallest of them
+        own = F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b"))
+        made = kept.select(F.col("m").alias("a"), own.alias("b"))
     return made.where("a < b").distinct()
 
 
+def _marked(links: DataFrame) -> tuple[DataFrame, dict]:
+    """A stored copy, and its number of rows and a hash of them, taken while it was written."""
+    seen, path = Observation(), work_path(links.sparkSession, "links")
+    hashed = F.bit_xor(F.xxhash64("a", "b")).alias("hash")
+    links.observe(seen, F.count(F.lit(1)).alias("n"), hashed).write.parquet(path)
+    return links.sparkSession.read.schema(links.schema).parquet(path), dict(seen.get)
+
+
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """`node, component` of all nodes in `links` (columns a, b, comparable values, no nulls).
 
@@ -42,19 +49,16 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """
     ordered = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     own = ordered.where("a = b").select(F.col("a").alias("node")).distinct()
-    now, size = store(ordered.where("a < b").distinct(), "links")
     own = stored(own, "alone")
-    if size:
-        for _ in range(most_rounds):
-            after, _ = store(_star(_star(now, True), False), "links")
-            # converged when every node has one link, to a node that has no smaller neighbour
-            tops = after.select("a").distinct().join(after.select(F.col("b").alias("a")).distinct(), "a", "left_semi")
-            done = tops.isEmpty()
-            now = after
-            if done:
-                break
-        else:
-            raise RuntimeError("components did not settle")
+    now, mark = _marked(ordered.where("a < b").distinct())
+    for _ in range(most_rounds):
+        last = mark
+        if last["n"]:
+            now, mark = _marked(_star(_star(now, True), False))
+        if mark == last:  # a round that changes nothing
+            break
+    else:
+        raise RuntimeError("components did not settle")
     found = now.select(F.col("b").alias("node"), F.col("a").alias("component"))
     tops = now.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()
     known = found.unionByName(tops)
