@@ -26,6 +26,10 @@ HEADLINES = (
     "mart_daily_summary",
     "mart_repair_priority_by_segment",
     "merge_additive",
+    "merge_stored",
+    "bbox_filter_many",
+    "split_links",
+    "stream_ingest",
     "segment_endpoints",
     "repair_priorities_end_to_end",
 )
