@@ -2,10 +2,9 @@
 
 Lines (split at \\n, ASCII white space trimmed) are compared by the Jaccard similarity of their
 character shingles. Equal lines are one node, named by a 64-bit hash. A node's signature is the
-minima of `BANDS * ROWS` permutations (rotations and exclusive ors of one hash) over its shingles;
-in lines of `ANCHORED` characters and more, over the shingles at word starts, of which an edit
-touches as large a part. Signatures are aggregated from exploded shingles, so they run in generated
-code. Nodes that agree on a band are candidates.
+minima of `BANDS * ROWS` permutations (rotations and exclusive ors of one hash) over all its
+shingles, by one rule for lines of any length and script. Signatures are aggregated from exploded
+shingles, so they run in generated code. Nodes that agree on a band are candidates.
 
 Candidates are verified exactly on all their shingles. A band's nodes are not joined with each
 other at once: first each is compared with one of them, links give components by distributed
@@ -32,7 +31,6 @@ from bumpwise.session import store
 SHINGLE = 9
 PERCENT = 80
 BANDS, ROWS = 8, 4
-ANCHORED = 64
 SEED = 7
 SPACES = " \t\x0b\x0c\r"
 BROADCAST_ROWS = 1_000_000  # of one or two numbers each
@@ -44,15 +42,6 @@ def shingles(line: Column) -> Column:
     return F.when(F.char_length(line) < SHINGLE, F.array(line)).otherwise(every)
 
 
-def _sampled(line: Column) -> Column:
-    """The shingles of the signature: those at word starts in long lines, else all.
-
-    At the end of a line a shingle may be shorter.
-    """
-    starts = F.regexp_extract_all(line, F.lit(rf"(?s)(?:^|[\x20\x09-\x0D])(?=(.{{1,{SHINGLE}}}))"), F.lit(1))
-    return F.when(F.char_length(line) >= ANCHORED, starts).otherwise(shingles(line))
-
-
 def _minima(hashed: Column) -> list[Column]:
     """One minimum per permutation; the rows of a band use rotations that are far apart."""
     draw, minima = random.Random(SEED), []
@@ -108,7 +97,7 @@ def line_clusters(documents: DataFrame) -> DataFrame:
     """`node, component` of the lines that are similar to another, different line."""
     lines = _lines(documents)
     signed = (
-        lines.select("node", F.explode(_sampled(F.col("line"))).alias("shingle"))
+        lines.select("node", F.explode(shingles(F.col("line"))).alias("shingle"))
         .select("node", F.xxhash64("shingle").alias("h"))
         .groupBy("node")
         .agg(*_minima(F.col("h")))

@@ -347,6 +347,15 @@ def test_lines_equal_brute_force(documents):
     assert different <= 0.02 * len(rows) and len(gone) > 20  # MinHash may miss one of a hundred
 
 
+def test_lines_of_60_to_80_characters(documents):
+    draw, rows = random.Random(3), []
+    for length in [*range(60, 80), *[64] * 10, *[66] * 10]:
+        line = (f"{draw.randrange(10**6)} " + prose(2000 + len(rows), 30))[:length].strip() + "."
+        rows += [(len(rows), line), (len(rows) + 1, line[: -1 - len(rows) // 2 % 3])]
+    removed = {r["doc_id"]: r["_n_removed"] for r in lines.without_repeats(documents(rows)).collect()}
+    assert removed == {i: i % 2 for i in range(len(rows))}
+
+
 def test_lines_awkward(awkward):
     rows = lines.without_repeats(awkward).collect()
     assert len(rows) == awkward.count()
