@@ -356,6 +356,19 @@ def test_lines_of_60_to_80_characters(documents):
     assert removed == {i: i % 2 for i in range(len(rows))}
 
 
+def test_lines_without_blanks(documents):
+    draw, rows = random.Random(4), []
+    for alphabet in (range(0x4E00, 0x5200), range(0x0E01, 0x0E2F), range(0x61, 0x7B)):
+        for _ in range(8):
+            line = "".join(chr(draw.choice(alphabet)) for _ in range(200))
+            rows += [(len(rows), line), (len(rows) + 1, chr(draw.choice(alphabet)) + "#" + line[2:])]
+    links = ["https://w" + "".join(draw.choice("abcdefgh/-") for _ in range(90)) for _ in range(30)]
+    rows += [(len(rows) + i, line) for i, line in enumerate(links)]
+    docs = documents(rows)
+    removed = {r["doc_id"]: r["_n_removed"] for r in lines.without_repeats(docs).collect()}
+    assert removed == {i: i % 2 if i < 48 else 0 for i in range(len(rows))}
+
+
 def test_lines_awkward(awkward):
     rows = lines.without_repeats(awkward).collect()
     assert len(rows) == awkward.count()
