@@ -4,7 +4,8 @@
 2. lines       of similar lines one stays; documents that lose every word go
 3. near copies of the documents whose shingles are similar one stays
 4. mixing      documents that the mix of the sources does not take go
-5. tokens      byte-level BPE ids, and the text decoded from them
+5. tokens      byte-level BPE ids, and the text decoded from them; a row per document, with the
+               number of its `copies`: how many times the mix takes it
 
 Nulls and empty texts: a null text has no language and goes in the first stage. Each stage takes an
 empty table to an empty table. Extra columns are dropped by `run`: it starts from the columns of
@@ -25,6 +26,8 @@ from bumpwise.session import store, work_path
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 # a cosine from which another language than the stated one is believed
 SURE = 0.5
+# the metadata of doc_id that names the table of copies
+COPIES = "copies"
 FIVE_WORDS = jaccard.Similarity(words=5, percent=80)
 
 
@@ -51,15 +54,23 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(*COLUMNS, F.xxhash64(*COLUMNS).alias("row_hash"))
 
 
-def _join(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+def _join(docs: DataFrame, keys: DataFrame, how: str, *also: str) -> DataFrame:
     """Keyed documents joined on (doc_id, row_hash) with keys that are counted, then broadcast if
-    they are few; else both sides are shuffled."""
-    copy, n_keys = store(keys.select(F.col("doc_id").alias("key_id"), F.col("row_hash").alias("key_hash")), "pipeline-keys")
+    they are few; else both sides are shuffled. `also` names more columns of the keys."""
+    copy, n_keys = store(keys.select(F.col("doc_id").alias("key_id"), F.col("row_hash").alias("key_hash"), *also), "pipeline-keys")
     copy = F.broadcast(copy) if n_keys <= lines.BROADCAST_ROWS else copy
     same = F.col("doc_id").eqNullSafe(F.col("key_id")) & (F.col("row_hash") == F.col("key_hash"))
     return docs.join(copy, same, how)
 
 
+def _once(keyed: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Keyed documents, of those named in `repeated` one of each."""
+    if repeated.isEmpty():
+        return keyed
+    once = _join(keyed, repeated, "left_semi").dropDuplicates(["doc_id", "row_hash"])
+    return _join(keyed, repeated, "left_anti").unionByName(once)
+
+
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id stays; among rows with that id, the first by content.
 
@@ -76,27 +87,40 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     kept = _join(keyed, dropped.select("doc_id", "row_hash").distinct(), "left_anti")
     # rows that are equal in all columns have one name; they are few, and one of each stays
     repeated = stored(found.groupBy("doc_id", "row_hash").count().where("count > 1"), "pipeline-repeated")
-    if repeated.isEmpty():
-        return kept.select(*COLUMNS)
-    once = _join(kept, repeated, "left_semi").dropDuplicates(["doc_id", "row_hash"])
-    return _join(kept, repeated, "left_anti").unionByName(once).select(*COLUMNS)
+    return _once(kept, repeated).select(*COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats are for the trainer to make: a document that is taken stays as one row."""
+    """A document that is taken is one row. Those taken several times are named, with the number of
+    their copies, in a stored table; the metadata of doc_id holds its path, for the next stage.
+
+    Rows that are equal in all columns have one name; one of them stays, for the copies of all.
+    """
     keyed = _keyed(docs)
     sized = mixing.mix(keyed, word_count(F.col("text")), carry=("doc_id", "row_hash"))
-    left_out = sized.groupBy("doc_id", "row_hash").agg(F.max("taken").alias("taken")).where("taken = 0")
-    return _join(keyed, left_out, "left_anti").select(*COLUMNS)
+    times = F.when(F.col("size") > 0, F.expr("taken div size")).otherwise(0)
+    named = stored(
+        sized.groupBy("doc_id", "row_hash").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(times).alias("copies")),
+        "pipeline-mix",
+    )
+    path = work_path(spark, "pipeline-copies")
+    named.where("copies > 1").select("doc_id", "row_hash", "copies").write.parquet(path)
+    kept = _once(_join(keyed, named.where("copies = 0"), "left_anti"), named.where("n_rows > 1"))
+    return kept.select(F.col("doc_id").alias("doc_id", metadata={COPIES: path}), *COLUMNS[1:])
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A document that no mix has taken several times has one copy."""
     ranks, pattern = bpe.public_vocabulary()
-    return bpe.encode_documents(
-        docs, ranks, pattern, {c: F.col(c) for c in ("doc_id", "lang", "source")}, texts_back=True
-    ).select(
+    path = docs.schema["doc_id"].metadata.get(COPIES)
+    if path:
+        docs = _join(_keyed(docs), spark.read.parquet(path), "left", "copies")
+    else:
+        docs = docs.withColumn("copies", F.lit(1))
+    kept = {c: F.col(c) for c in ("doc_id", "lang", "source")} | {"copies": F.coalesce("copies", F.lit(1)).cast("long")}
+    return bpe.encode_documents(docs, ranks, pattern, kept, texts_back=True).select(
         "doc_id", "lang", "source", "ids", F.decode("decoded", "UTF-8").alias("text"),
-        "n_tokens", "ids_sha256", "decoded_sha256",
+        "n_tokens", "ids_sha256", "decoded_sha256", "copies",
     )
 
 

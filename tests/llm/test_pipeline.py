@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import corpus_pipeline
 from conftest import SMALL
@@ -37,3 +38,22 @@ def test_copies_go_and_nulls_do_no_harm(spark, documents, tmp_path):
     assert len(found) > 20
     documents([]).write.parquet(f"{tmp_path}/none/documents.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_copies_give_the_mix_its_weights(spark, documents, path_for):
+    draw = random.Random(2)
+    text = lambda: " ".join(f"w{draw.randrange(999)}" for _ in range(draw.randrange(20, 60)))
+    rows = [(i, text(), "en", f"s{i % 3}") for i in range(300)]
+    rows += [(300, "one two three", "en", "s2"), (300, "one two three", "en", "s2"), (None, "one two", "en", "s2")]
+    folder = path_for("mixed")
+    corpus_pipeline.mixed(spark, documents(rows), SMALL).write.parquet(folder)
+    told = corpus_pipeline.tokens(spark, spark.read.parquet(folder), SMALL).collect()
+    sizes, found = Counter(), Counter()
+    for _, words, _, source in rows:
+        sizes[source] += len(words.split())
+    for row in told:
+        found[row["source"]] += row["copies"] * len(row["text"].split())
+    for place in range(3):  # weights 1, 2, 3
+        assert abs(found[f"s{place}"] - sum(sizes.values()) * (place + 1) / 6) <= 1
+    assert len({r["doc_id"] for r in told}) == len(told) and {1, 2} <= {r["copies"] for r in told}
+    assert {r["copies"] for r in corpus_pipeline.tokens(spark, documents(rows), SMALL).collect()} == {1}
