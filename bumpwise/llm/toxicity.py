@@ -6,7 +6,15 @@ contexts: in how many different (preceding word, word) pairs a class has a begin
 repeats and copies weigh nothing. A class takes a discount from its counts and adds `BACKOFF`
 counts spread by one shared model, the pooled counts of both classes, which in turn back off to the
 letters alone. An expression that is rare in a class is thus judged by shared counts and says
-next to nothing. What a word says is log p(word | toxic) - log p(word | ordinary); a document's
+next to nothing.
+
+A word is read to its end, however long: after `LONGEST` letters, or once neither class has a word
+that begins so, the letters so far give way to a sliding history of up to `LONGEST` - 1 letters, as
+in compounds and in scripts without blanks. There a class backs off from the longest history to
+its own shorter ones, of one letter at least: a letter says nothing there without the one before
+it, and nothing more by a history after which neither class has it.
+
+What a word says is log p(word | toxic) - log p(word | ordinary); a document's
 ratio is the sum of what exceeds `EVIDENCE`, divided by the number of its words.
 
 The model is fitted on a bounded sample: labelled documents with the smallest seeded hashes, with
@@ -33,22 +41,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bumpwise.llm.common import fold, table
+from bumpwise.llm.common import fold, stored, table
 
 SAMPLE_PER_CLASS = 4000
 SEED = "toxic-1"
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
-LONGEST = 8  # letters (and the end of the word) that are told apart
+LONGEST = 8  # letters (and the end of the word) that are told apart at once
 DISCOUNT = 0.75
 BACKOFF = 100.0
 EVIDENCE = 1.5
 PRIOR_WORDS = 30.0  # words without evidence that each text is taken to have
-END = "\x03"
+START, END = "\x02", "\x03"
 _WORD = re.compile(r"[^\W\d_]+")
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _CACHED_WORDS = 300_000
 _CHUNK_CHARS = 1 << 21
+_PIECE = 1 << 18
 
 
 def words_of(text: str | None) -> list[str]:
@@ -69,10 +78,14 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def beginnings(chosen: DataFrame) -> DataFrame:
-    """`beginning, ordinary, toxic`: in how many pairs of each class words begin so."""
+def vocabulary(chosen: DataFrame) -> DataFrame:
+    """`word, toxic, n`: in how many different pairs a class has a word."""
     pairs = chosen.select("text", "toxic").mapInArrow(_pairs, "toxic int, before string, word string")
-    words = pairs.distinct().groupBy("word", "toxic").agg(F.count(F.lit(1)).alias("n"))
+    return pairs.distinct().groupBy("word", "toxic").agg(F.count(F.lit(1)).alias("n"))
+
+
+def beginnings(words: DataFrame) -> DataFrame:
+    """`beginning, ordinary, toxic`: in how many pairs of each class words begin so."""
     spelled = F.concat("word", F.lit(END))
     sizes = F.sequence(F.lit(1), F.least(F.char_length(spelled), F.lit(LONGEST)))
     parts = words.select("toxic", "n", F.explode(F.transform(sizes, lambda k: F.substring(spelled, 1, k))).alias("beginning"))
@@ -80,6 +93,53 @@ def beginnings(chosen: DataFrame) -> DataFrame:
     return parts.groupBy("beginning").agg(of(0).alias("ordinary"), of(1).alias("toxic"))
 
 
+def _spelled(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The symbols of all words with their starts and ends; of each its place in its word, and the
+    word's number."""
+    text = "".join([f"{START}{word}{END}" for word in words])
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    lengths = np.fromiter((len(word) + 2 for word in words), np.int64, len(words))
+    owner = np.repeat(np.arange(len(words)), lengths)
+    return codes, np.arange(len(codes)) - (np.cumsum(lengths) - lengths)[owner], owner
+
+
+def _slides(codes: np.ndarray, depth: np.ndarray, places: np.ndarray) -> Iterator[tuple]:
+    """By size from 2: which of `places` have size - 1 symbols before them in their word, hashes of
+    these symbols, and hashes of them and the place's own."""
+    which, history, power = np.arange(len(places)), np.zeros(len(places), np.uint64), 1
+    for size in range(2, LONGEST + 1):
+        far = depth[places] >= size - 1
+        which, places = which[far], places[far]
+        history = history[far] + codes[places - size + 1] * np.uint64(power)
+        power = power * int(_MULTIPLIER) & 0xFFFFFFFFFFFFFFFF
+        yield size, which, history, history * _MULTIPLIER + codes[places]
+
+
+def _slid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The histories and letters of each batch of words, with their counts."""
+    for batch in batches:
+        codes, depth, owner = _spelled(batch.column("word").to_pylist())
+        n, toxic = batch.column("n").to_numpy(), batch.column("toxic").to_numpy() == 1
+        every = np.flatnonzero(depth > 0)
+        for start in range(0, len(every), _PIECE):
+            places = every[start : start + _PIECE]
+            for size, which, history, gram in _slides(codes, depth, places):
+                word = owner[places[which]]
+                keys, first, at = np.unique(gram, return_index=True, return_inverse=True)
+                of = lambda chosen: np.bincount(at, n[word] * chosen[word], len(keys)).astype(np.int64)  # noqa: B023, E731
+                columns = [np.full(len(keys), size, np.int32), keys.view(np.int64), history[first].view(np.int64), of(~toxic), of(toxic)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["size", "gram", "history", "ordinary", "toxic"])
+
+
+def slides(words: DataFrame) -> DataFrame:
+    """`size, gram, history, ordinary, toxic`: how often, over the pairs of each class, a letter
+    (or the end) comes after the size - 1 symbols before it; both as hashes."""
+    parts = words.mapInArrow(_slid, "size int, gram long, history long, ordinary long, toxic long")
+    return parts.groupBy("size", "gram").agg(
+        F.min("history").alias("history"), F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")
+    )
+
+
 def _hashes(texts: list[str]) -> np.ndarray:
     """Polynomial hash of texts of one length."""
     if not texts:
@@ -109,10 +169,28 @@ class Level:
 class Model:
     levels: tuple[Level, ...]  # by length, from 1
     letters: dict[int, float]  # share of the different beginnings that end in a letter
+    slides: tuple[Level, ...]  # of sliding histories, by size from 2; (ordinary, toxic) only
 
 
-def build(counts: pd.DataFrame) -> Model:
-    """The model, from `beginning, ordinary, toxic`."""
+def _sliding(counts: pa.Table) -> tuple[Level, ...]:
+    """From `size, gram, history, ordinary, toxic`."""
+    size, gram, history = (counts.column(name).to_numpy() for name in ("size", "gram", "history"))
+    by_class = np.column_stack([counts.column(name).to_numpy() for name in ("ordinary", "toxic")]).astype(np.float32)
+    levels = []
+    for each in range(2, LONGEST + 1):
+        of = np.flatnonzero(size == each)
+        keys, given = gram[of].view(np.uint64), by_class[of]
+        histories, at = np.unique(history[of].view(np.uint64), return_inverse=True)
+        totals, types = (
+            np.column_stack([np.bincount(at, x[:, k], len(histories)) for k in (0, 1)]).astype(np.float32) for x in (given, given > 0)
+        )
+        order = np.argsort(keys)
+        levels.append(Level(keys[order], given[order], histories, totals, types))
+    return tuple(levels)
+
+
+def build(counts: pd.DataFrame, slid: pa.Table) -> Model:
+    """The model, from `beginning, ordinary, toxic` and the counts of `slides`."""
     last = counts["beginning"].str[-1].value_counts(normalize=True)
     levels = []
     for size in range(1, LONGEST + 1):
@@ -126,7 +204,7 @@ def build(counts: pd.DataFrame) -> Model:
         levels.append(
             Level(keys[a], by_class[a], histories[b], totals.to_numpy(float)[b], types.to_numpy(float)[b])
         )
-    return Model(tuple(levels), {ord(letter): float(share) for letter, share in last.items()})
+    return Model(tuple(levels), {ord(letter): float(share) for letter, share in last.items()}, _sliding(slid))
 
 
 def _found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -137,12 +215,30 @@ def _found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarr
     return np.where((keys[at] == wanted)[:, None], values[at], 0.0)
 
 
+def _alone(model: Model, letters: np.ndarray) -> np.ndarray:
+    different, place = np.unique(letters, return_inverse=True)
+    return np.maximum(np.array([model.letters.get(int(code), 0.0) for code in different])[place], 1e-6)
+
+
+def _slid_ratios(model: Model, codes: np.ndarray, depth: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """What the symbols at `places` say after their sliding histories."""
+    chance = np.repeat(_alone(model, codes[places])[:, None], 2, axis=1)
+    for (_, which, history, gram), level in zip(_slides(codes, depth, places), model.slides, strict=True):
+        counts = _found(level.keys, level.counts, gram)
+        seen = counts.sum(axis=1) > 0
+        which, counts, history = which[seen], counts[seen], history[seen]
+        totals, types = (_found(level.histories, x, history) for x in (level.totals, level.types))
+        backed = (DISCOUNT * types + BACKOFF) * chance[which]
+        chance[which] = (np.maximum(counts - DISCOUNT, 0) + backed) / (totals + BACKOFF)
+    return np.log(chance[:, 1]) - np.log(chance[:, 0])
+
+
 def word_ratios(model: Model, words: list[str]) -> np.ndarray:
     """log p(word | toxic) - log p(word | ordinary) of each word."""
-    lengths = np.fromiter((len(word) + 1 for word in words), np.int64, len(words))
-    starts = np.cumsum(lengths) - lengths
-    text = END.join([*words, ""])
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    codes, depth, owner = _spelled(words)
+    starts = np.flatnonzero(depth == 0) + 1
+    lengths = np.diff(np.append(starts, len(codes) + 1)) - 1
+    told = np.zeros(len(words), np.int64)  # letters of each word that a known beginning precedes
     ratio, rows, before = np.zeros(len(words)), np.arange(len(words)), np.zeros(len(words), np.uint64)
     for size, level in enumerate(model.levels, start=1):
         longer = lengths[rows] >= size
@@ -151,16 +247,19 @@ def word_ratios(model: Model, words: list[str]) -> np.ndarray:
         totals = _found(level.histories, level.totals, before)
         seen = totals[:, 2] > 0  # a beginning that neither class has says nothing more
         rows, before, letter, totals = rows[seen], before[seen], letter[seen], totals[seen]
+        told[rows] = size
         types = _found(level.histories, level.types, before)
-        before = before * _MULTIPLIER + letter.astype(np.uint64)
+        before = before * _MULTIPLIER + letter
         counts = _found(level.keys, level.counts, before)
-        different, place = np.unique(letter, return_inverse=True)
-        alone = np.array([model.letters.get(int(code), 0.0) for code in different])[place]
-        both = np.maximum(counts.sum(axis=1) - DISCOUNT, 0) + DISCOUNT * types[:, 2] * np.maximum(alone, 1e-6)
+        both = np.maximum(counts.sum(axis=1) - DISCOUNT, 0) + DISCOUNT * types[:, 2] * _alone(model, letter)
         shared = (both / totals[:, 2])[:, None]
         chance = np.maximum(counts - DISCOUNT, 0) + (DISCOUNT * types[:, :2] + BACKOFF) * shared
         chance = np.log(chance / (totals[:, :2] + BACKOFF))
         ratio[rows] += chance[:, 1] - chance[:, 0]
+    beyond = np.flatnonzero(depth > told[owner])
+    for start in range(0, len(beyond), _PIECE):
+        places = beyond[start : start + _PIECE]
+        ratio += np.bincount(owner[places], _slid_ratios(model, codes, depth, places), len(words))
     return ratio
 
 
@@ -247,10 +346,11 @@ def learn(
     sample = F.broadcast(part(0).unionByName(part(1)))
     chosen = documents.select("doc_id", "text").join(sample, "doc_id")
     fitting = F.pmod(F.xxhash64(F.lit("part"), F.col("doc_id")), F.lit(4)) != 0
-    counts = beginnings(chosen.where(fitting)).toPandas()
+    words = stored(vocabulary(chosen.where(fitting)), "toxicity-words")
+    counts = beginnings(words).toArrow().to_pandas()
     if counts.empty or not counts["ordinary"].sum() or not counts["toxic"].sum():
         return None, None
-    model = build(counts)
+    model = build(counts, slides(words).toArrow())
     told = rate(chosen.where(~fitting), model, None, {"toxic": F.col("toxic")}).select("toxic", "ratio").toPandas()
     if told["toxic"].nunique() < 2:
         return model, (100.0, -2.0)

@@ -200,6 +200,29 @@ def test_toxic_words_are_learned_and_rare_ones_are_neutral(spark, documents):
     assert abs(toxicity.word_ratios(model, ["zzyzx"])[0]) < 0.5
 
 
+@pytest.mark.parametrize("script", ["compounds", "unspaced"])
+def test_toxic_parts_after_the_eighth_letter_are_found(spark, documents, script):
+    draw = random.Random(6)
+    letters = [chr(c) for c in range(0x4E00, 0x4F00)] if script == "unspaced" else list("abcdefghijklmnopqrst")
+    some = lambda n: "".join(draw.choice(letters) for _ in range(n))
+    bad = [some(6 if script == "compounds" else 3) for _ in range(3)]
+    first = [some(9) for _ in range(60)]
+    rows, labels = [], []
+    for i in range(240):
+        words = [(draw.choice(first) if script == "compounds" else some(12)) + some(6) for _ in range(40)]
+        if i % 2:
+            for at in draw.sample(range(40), 6):
+                words[at] = words[at][: draw.randrange(9, 13)] + draw.choice(bad) + some(2)
+        rows.append((i, " ".join(words)))
+        labels.append((i, i % 2))
+    docs, labels = documents(rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model, curve = toxicity.learn(docs.where("doc_id < 180"), labels.where("doc_id < 180"))
+    told = toxicity.rate(docs.where("doc_id >= 180"), model, curve, {"doc_id": F.col("doc_id")}).collect()
+    right = sum((r["score"] >= toxicity.THRESHOLD) == (r["doc_id"] % 2 == 1) for r in told)
+    assert right >= 57
+    assert min(toxicity.word_ratios(model, [some(15) + b for b in bad])) > toxicity.EVIDENCE
+
+
 def test_toxicity_awkward(spark, awkward):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     model, curve = toxicity.learn(awkward, none)
