@@ -1,4 +1,4 @@
-"""Inverse transverse Mercator as column arithmetic (Krueger's series, order 4)."""
+"""Transverse Mercator both ways as column arithmetic (Krueger's series, order 4; latitudes to order 5)."""
 
 from __future__ import annotations
 
@@ -28,6 +28,11 @@ class TransverseMercator:
         f = 1 / self.inverse_flattening
         return f / (2 - f)
 
+    @property
+    def eccentricity(self) -> float:
+        f = 1 / self.inverse_flattening
+        return math.sqrt(f * (2 - f))
+
     @property
     def radius(self) -> float:
         """Scaled radius of the rectifying sphere."""
@@ -64,17 +69,17 @@ class TransverseMercator:
         n = self.n
         # fixed values: series coefficients
         return (
-            2 * n - 2 * n**2 / 3 - 2 * n**3 + 116 * n**4 / 45,
-            7 * n**2 / 3 - 8 * n**3 / 5 - 227 * n**4 / 45,
-            56 * n**3 / 15 - 136 * n**4 / 35,
-            4279 * n**4 / 630,
+            2 * n - 2 * n**2 / 3 - 2 * n**3 + 116 * n**4 / 45 + 26 * n**5 / 45,
+            7 * n**2 / 3 - 8 * n**3 / 5 - 227 * n**4 / 45 + 2704 * n**5 / 315,
+            56 * n**3 / 15 - 136 * n**4 / 35 - 1262 * n**5 / 105,
+            4279 * n**4 / 630 - 332 * n**5 / 35,
+            4174 * n**5 / 315,
         )
 
     @property
     def origin_arc(self) -> float:
         """Rectifying latitude of the origin parallel, in radians."""
-        f = 1 / self.inverse_flattening
-        e = math.sqrt(f * (2 - f))
+        e = self.eccentricity
         phi = math.radians(self.lat_origin)
         conformal = math.atan(
             math.sinh(math.asinh(math.tan(phi)) - e * math.atanh(e * math.sin(phi)))
@@ -97,3 +102,24 @@ class TransverseMercator:
             lat = lat + F.lit(d) * F.sin(conformal * float(2 * j))
         lon = F.atan2(F.sinh(eta_sphere), F.cos(xi_sphere))
         return F.degrees(lon) + self.lon_origin, F.degrees(lat)
+
+    def to_grid(self, lon: Column, lat: Column) -> tuple[Column, Column]:
+        """Degrees to grid metres; NULL for what is no place on the globe or too far from the grid.
+
+        The series holds within some 30 degrees of the central meridian; beyond a right angle from
+        it a place has no image at all.
+        """
+        e = self.eccentricity
+        phi, away = F.radians(lat), F.radians(lon - self.lon_origin)
+        on_globe = (F.abs(lat) < 90) & (F.abs(lon) <= 360) & (F.cos(away) > 0)
+        tangent = F.sinh(F.asinh(F.tan(phi)) - F.lit(e) * F.atanh(F.lit(e) * F.sin(phi)))
+        xi_sphere = F.atan2(tangent, F.cos(away))
+        eta_sphere = F.asinh(F.sin(away) / F.hypot(tangent, F.cos(away)))
+        xi, eta = xi_sphere, eta_sphere
+        for j, a in enumerate(self.alpha, 1):
+            angle, stretch = xi_sphere * float(2 * j), eta_sphere * float(2 * j)
+            xi = xi + F.lit(a) * F.sin(angle) * F.cosh(stretch)
+            eta = eta + F.lit(a) * F.cos(angle) * F.sinh(stretch)
+        x = eta * self.radius + self.false_easting
+        y = (xi - self.origin_arc) * self.radius + self.false_northing
+        return F.when(on_globe, x), F.when(on_globe, y)

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from bumpwise.operators.facts import coerce_fact
 from bumpwise.operators.keyed import attach_by_key
-from bumpwise.operators.roads import parse_geojson, parse_wkt
+from bumpwise.operators.roads import parse_geojson_parts, parse_wkt_parts
 from bumpwise.schema import ANOMALY_BY_DAY, SEGMENT, SENSOR_BY_DAY, STORED_FACT
 from bumpwise.session import store
 
@@ -110,13 +110,18 @@ def read_links(
     form: str = "wkt",
     file_format: str = "csv",
 ) -> DataFrame:
-    """Road links with their line as `pts`; the other attributes stay as they are."""
+    """Road links with their lines as `parts`, and all points of these as `pts`.
+
+    A link is a single line or several (MULTILINESTRING); both columns are NULL where it could not
+    be read. The other attributes stay as they are.
+    """
     if file_format == "csv":
         links = spark.read.csv(path, header=True, encoding=encoding, multiLine=False)
     else:
         links = spark.read.format(file_format).load(path)
-    parse = {"wkt": parse_wkt, "geojson": parse_geojson}[form]
-    return links.withColumn("pts", parse(F.col(geometry))).withColumnRenamed(link_id, "link_id")
+    parse = {"wkt": parse_wkt_parts, "geojson": parse_geojson_parts}[form]
+    read = links.withColumn("parts", parse(F.col(geometry))).withColumn("pts", F.flatten("parts"))
+    return read.withColumnRenamed(link_id, "link_id")
 
 
 def load_fact(

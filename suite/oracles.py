@@ -187,6 +187,62 @@ def _geographic(source: str, x: str, y: str, name: str, keep: str) -> dict[str,
     }
 
 
+def _plane(source: str, lon: str, lat: str, name: str, keep: str) -> dict[str, str]:
+    """Steps that take degrees to metres of the central belt."""
+    a, f = 6378137.0, 1 / 298.257222101
+    n, e = f / (2 - f), math.sqrt(f * (2 - f))
+    radius = a / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    alpha = [
+        n / 2 - 2 / 3 * n**2 + 5 / 16 * n**3 + 41 / 180 * n**4,
+        13 / 48 * n**2 - 3 / 5 * n**3 + 557 / 1440 * n**4,
+        61 / 240 * n**3 - 103 / 140 * n**4,
+        49561 / 161280 * n**4,
+    ]
+    chi = 2 * math.atan(math.tan(math.radians(64)) * ((1 - e * math.sin(math.radians(38))) / (1 + e * math.sin(math.radians(38)))) ** (e / 2)) - math.pi / 2
+    arc = chi + sum(c * math.sin(2 * j * chi) for j, c in enumerate(alpha, 1))
+
+    def series(shape: str) -> str:
+        return " + ".join(f"({c!r}::DOUBLE) * {shape.format(2 * j)}" for j, c in enumerate(alpha, 1))
+
+    def atanh(value: str) -> str:
+        return f"(0.5::DOUBLE * ln((1 + ({value})) / (1 - ({value}))))"
+
+    return {
+        f"{name}_chi": f"SELECT *, radians({lon} - 127) AS away, "
+        f"sinh(asinh(tan(radians({lat}))) - {e!r}::DOUBLE * {atanh(f'{e!r}::DOUBLE * sin(radians({lat}))')}) AS tangent FROM {source}",
+        f"{name}_ball": f"SELECT *, atan2(tangent, cos(away)) AS xs, "
+        f"asinh(sin(away) / sqrt(tangent * tangent + cos(away) * cos(away))) AS es FROM {name}_chi",
+        name: f"SELECT {keep}, 200000 + {radius!r}::DOUBLE * (es + {series('cos({0} * xs) * sinh({0} * es)')}) AS {name}_x, "
+        f"600000 + {radius!r}::DOUBLE * (xs + {series('sin({0} * xs) * cosh({0} * es)')} - {arc!r}::DOUBLE) AS {name}_y FROM {name}_ball",
+    }
+
+
+def _degree_segments() -> str:
+    steps = {"ends": "SELECT link_id, x0, y0, x0 + len - 0.5::DOUBLE AS x1 FROM links"}
+    steps |= _geographic("ends", "x0", "y0", "from_", "link_id, x1, y0")
+    steps |= _geographic("from_", "x1", "y0", "to_", "link_id, from__lon, from__lat")
+    steps |= _plane("to_", "from__lon", "from__lat", "a", "link_id, to__lon, to__lat")
+    steps |= _plane("a", "to__lon", "to__lat", "b", "link_id, a_x, a_y")
+    steps["long"] = "SELECT *, sqrt((b_x - a_x) * (b_x - a_x) + (b_y - a_y) * (b_y - a_y)) AS size FROM b"
+    steps["marks"] = "SELECT *, unnest(range(CAST(ceil(size / 50) AS BIGINT))) AS k FROM long"
+    steps["cut"] = """SELECT link_id, printf('%s_%04d', link_id, k) AS s_id,
+  a_x + (b_x - a_x) * k * 50 / size AS px, a_y + (b_y - a_y) * k * 50 / size AS py,
+  a_x + (b_x - a_x) * least(1, (k + 1) * 50 / size) AS qx, a_y + (b_y - a_y) * least(1, (k + 1) * 50 / size) AS qy FROM marks"""
+    steps |= _geographic("cut", "px", "py", "start", "s_id, link_id, qx, qy")
+    steps |= _geographic("start", "qx", "qy", "end_", "s_id, link_id, start_lon, start_lat")
+    names = (("start_lon", "start_lon"), ("start_lat", "start_lat"), ("end_lon", "end__lon"), ("end_lat", "end__lat"))
+    ends = ", ".join(f"{_r(column, 6)} AS {name}" for name, column in names)
+    return _with("links", **steps) + f"SELECT s_id, link_id, {ends} FROM end_"
+
+
+# two lines with 1000 m between them: a place along both, and its x
+_MULTI = {
+    "two": "SELECT link_id, x0, y0, len, floor(len / 3) AS brk FROM links",
+    "multi": """SELECT *, k * 50.0::DOUBLE AS p, least(len, (k + 1) * 50.0::DOUBLE) AS q
+FROM (SELECT *, unnest(range(CAST(ceil(len / 50) AS BIGINT))) AS k FROM two)""",
+}
+
+
 def _segments_sql(where: str = "") -> str:
     steps = {"pieces": f"SELECT * FROM ({_PIECES}) {where}"}
     steps |= _geographic("pieces", "x1", "y1", "start", "s_id, link_id, x2, y2")
@@ -348,6 +404,18 @@ FROM segments GROUP BY link_id""",
     + f"SELECT link_id, {_r('place_lon', 9)} AS lon, {_r('place_lat', 9)} AS lat FROM place",
     "segment_endpoints": _segments_sql(),
     "build_road_segments": _segments_sql("WHERE road_no = '3'"),
+    "project_points": _with("sensor", **_plane("sensor", "lon", "lat", "place", "event_id"))
+    + f"SELECT event_id, {_r('place_x', 3)} AS x, {_r('place_y', 3)} AS y FROM place",
+    "links_in_degrees": _degree_segments(),
+    "split_multi_links": _with("links", **_MULTI)
+    + f"""SELECT form, printf('%s_%04d', link_id, k) AS s_id, link_id,
+  CAST(CASE WHEN p < brk AND q > brk THEN 4 ELSE 2 END AS INT) AS n_points,
+  {_r('x0 + p + CASE WHEN p >= brk THEN 1000 ELSE 0 END', 6)} AS x1,
+  {_r('x0 + q + CASE WHEN q > brk THEN 1000 ELSE 0 END', 6)} AS x2, y0 AS y2
+FROM multi, (SELECT unnest(['wkt', 'geojson']) AS form)""",
+    "segments_in_order": _with("segments")
+    + """SELECT link_id, printf('%s_%04d', link_id, CAST(s_id AS BIGINT) * 53) AS s_id,
+  row_number() OVER (PARTITION BY link_id ORDER BY CAST(s_id AS BIGINT)) - 1 AS place FROM segments""",
     "stream_ingest": _with("sensor", blocks=_BLOCKS, kept=_KEPT)
     + f"SELECT {_SENSOR_LIST}, dt FROM kept",
     "stream_restart": _with("sensor", blocks=_BLOCKS, kept=_KEPT)

@@ -8,6 +8,7 @@ from functools import cache
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from bumpwise.functions.geodesy import TransverseMercator
 from bumpwise.functions.predicates import valid_reading
 from bumpwise.functions.scoring import impact_score as impact_score_of
 from bumpwise.operators import facts, ingest, lookups, marts, roads
@@ -536,6 +537,59 @@ def build_road_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_segments(adapters.links(spark, sf_dir), "road_no", "3")
 
 
+@query
+def project_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Degrees to grid metres, to the millimetre."""
+    x, y = TransverseMercator().to_grid(F.col("lon"), F.col("lat"))
+    points = adapters.sensor(spark, sf_dir).select("event_id", x.alias("x"), y.alias("y"))
+    return _rounded(points, "x", "y", digits=3)
+
+
+@query
+def links_in_degrees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links written as text in degrees, read, brought to metres, cut, and brought back."""
+    path, grid = work_path(spark, "links-degrees"), TransverseMercator()
+    ends = (("x0", F.col("x0")), ("x1", F.col("x0") + F.col("len") - 0.5))
+    places = [[part.cast("string") for part in grid.to_lon_lat(x, F.col("y0"))] for _, x in ends]
+    line = F.concat(F.lit("LINESTRING ("), F.concat_ws(", ", *(F.concat_ws(" ", *place) for place in places)), F.lit(")"))
+    links = adapters.links(spark, sf_dir)
+    links.select("link_id", line.alias("geometry")).write.csv(path, header=True)
+    return build_segments(sources.read_links(spark, path), in_degrees=True)
+
+
+@query
+def split_multi_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of two lines with a gap between them, from WKT and from GeoJSON."""
+    links = adapters.links(spark, sf_dir)
+    middle, after = F.col("x0") + F.floor(F.col("len") / 3), F.col("x0") + F.floor(F.col("len") / 3) + 1000
+    end = F.col("x0") + F.col("len") + 1000
+    texts = [x.cast("string") for x in (F.col("x0"), middle, after, end)]
+    wkt = F.format_string("MULTILINESTRING ((%s %s, %s %s), (%s %s, %s %s))", *(c for x in texts for c in (x, F.col("y0").cast("string"))))
+    pairs = [F.array(x, "y0") for x in (F.col("x0"), middle, after, end)]
+    geojson = F.to_json(F.struct(F.lit("MultiLineString").alias("type"), F.array(F.array(*pairs[:2]), F.array(*pairs[2:])).alias("coordinates")))
+    pieces = []
+    for form, text in (("wkt", wkt), ("geojson", geojson)):
+        path = work_path(spark, f"links-{form}")
+        links.select("link_id", text.alias("geometry")).write.parquet(path)
+        cut = roads.split_links(sources.read_links(spark, path, form=form, file_format="parquet"))
+        pieces.append(cut.withColumn("form", F.lit(form)))
+    first, last = F.element_at("pts", 1), F.element_at("pts", -1)
+    rows = pieces[0].unionByName(pieces[1]).select(
+        "form", "s_id", "link_id", F.size("pts").alias("n_points"),
+        first["x"].alias("x1"), last["x"].alias("x2"), last["y"].alias("y2"),
+    )
+    return _rounded(rows, "x1", "x2")
+
+
+@query
+def segments_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All segments and their place in their link, with pieces beyond 9999."""
+    segments = adapters.segments(spark, sf_dir).withColumn(
+        "s_id", roads.segment_id(F.col("link_id"), F.col("s_id").cast("bigint") * 53)
+    )
+    return roads.with_place(segments).select("link_id", "s_id", "place")
+
+
 # streams
 
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import math
 import random
 
@@ -8,7 +9,17 @@ from pyspark.sql import functions as F
 
 from bumpwise.functions.geodesy import TransverseMercator
 from bumpwise.operators import roads
+from bumpwise.operators.roads import (
+    links_in_metres,
+    ordered_by_link,
+    parse_geojson_parts,
+    parse_wkt_parts,
+    segments_by_link,
+    split_links,
+    with_place,
+)
 from bumpwise.plans.network import build_segments
+from bumpwise.schema import SEGMENT
 from bumpwise.sinks.tables import write_segments
 from bumpwise.sources.tables import read_links, read_segments_csv
 
@@ -167,3 +178,140 @@ def test_segments_by_link(spark):
     got = {row["link_id"]: row for row in roads.segments_by_link(table).collect()}
     assert (got["a"]["n_segments"], got["a"]["first"]["s_id"], got["a"]["last"]["s_id"]) == (2, "a_0", "a_1")
     assert [row["s_id"] for row in roads.ordered_by_link(table).collect()] == ["a_0", "a_1", "b_0"]
+
+
+# degrees, links of several lines, places of segments
+
+
+def test_grid_round_trip_over_the_country(spark):
+    grid = TransverseMercator()
+    points = spark.range(0, 4000).select(
+        (F.rand(3) * 8 + 124).alias("lon"), (F.rand(4) * 10 + 33).alias("lat")
+    )
+    x, y = grid.to_grid(F.col("lon"), F.col("lat"))
+    there = points.select("lon", "lat", x.alias("x"), y.alias("y"))
+    lon, lat = grid.to_lon_lat(F.col("x"), F.col("y"))
+    back = there.select("lon", "lat", "x", "y", lon.alias("lon2"), lat.alias("lat2"))
+    again = grid.to_grid(F.col("lon2"), F.col("lat2"))
+    worst = back.agg(
+        F.max(F.abs(F.col("lon") - F.col("lon2"))), F.max(F.abs(F.col("lat") - F.col("lat2"))),
+        F.max(F.abs(again[0] - F.col("x"))), F.max(F.abs(again[1] - F.col("y"))),
+    ).first()
+    assert worst[0] < 1e-9 and worst[1] < 1e-9
+    assert worst[2] < 1e-6 and worst[3] < 1e-6
+
+
+def test_grid_round_trip_from_metres_near_the_road(spark):
+    grid = TransverseMercator()
+    points = spark.range(0, 2000).select((F.rand(5) * 1e5 + 2e5).alias("x"), (F.rand(6) * 1e5 + 2e5).alias("y"))
+    lon, lat = grid.to_lon_lat(F.col("x"), F.col("y"))
+    x2, y2 = grid.to_grid(lon, lat)
+    worst = points.agg(F.max(F.abs(x2 - F.col("x"))), F.max(F.abs(y2 - F.col("y")))).first()
+    assert max(worst) < 1e-6
+
+
+def test_the_origin_and_places_without_an_image(spark):
+    grid = TransverseMercator()
+    rows = [(127.0, 38.0), (127.0, 90.5), (-60.0, 10.0), (float("nan"), 38.0), (None, 38.0), (487.0, 38.0)]
+    x, y = grid.to_grid(F.col("lon"), F.col("lat"))
+    found = spark.createDataFrame(rows, "lon double, lat double").select(x, y).collect()
+    assert found[0][0] == pytest.approx(200000, abs=1e-6) and found[0][1] == pytest.approx(600000, abs=1e-6)
+    assert [tuple(row) for row in found[1:]] == [(None, None)] * 5
+
+
+def test_links_in_degrees_are_cut_in_metres(spark):
+    grid = TransverseMercator()
+    metres = [(200000.0, 250000.0), (200120.0, 250000.0), (200120.0, 250090.0)]
+    frame = spark.createDataFrame([(i, *p) for i, p in enumerate(metres)], "i int, x double, y double")
+    lon, lat = grid.to_lon_lat(F.col("x"), F.col("y"))
+    corners = [tuple(r) for r in frame.select(lon, lat).orderBy("i").collect()]
+    text = json.dumps({"type": "LineString", "coordinates": corners})
+    links = spark.createDataFrame([("a", text)], "link_id string, geometry string")
+    read = links.withColumn("parts", parse_geojson_parts(F.col("geometry"))).withColumn("pts", F.flatten("parts"))
+    pieces = {r["s_id"]: r["pts"] for r in split_links(links_in_metres(read)).collect()}
+    assert len(pieces) == 5  # 210 m
+    ends = [(p["x"], p["y"]) for p in pieces["a_0002"]]
+    wanted = [(200100.0, 250000.0), (200120.0, 250000.0), (200120.0, 250030.0)]
+    assert all(a == pytest.approx(b, abs=1e-5) for a, b in zip(ends, wanted, strict=True))
+    segments = build_segments(read, in_degrees=True).collect()
+    assert len(segments) == 5 and all(124 < s["start_lon"] < 132 for s in segments)
+
+
+def test_degrees_without_an_image_are_unreadable(spark):
+    links = spark.createDataFrame([("a", "LINESTRING (127 38, 127 95)")], "link_id string, geometry string")
+    read = links.withColumn("parts", parse_wkt_parts(F.col("geometry"))).withColumn("pts", F.flatten("parts"))
+    assert links_in_metres(read).filter("pts IS NULL AND parts IS NULL").count() == 1
+    assert build_segments(read, in_degrees=True, skip_unreadable=True).count() == 0
+    with pytest.raises(Exception, match="no readable line: link a"):
+        build_segments(read, in_degrees=True).collect()
+
+
+MULTI = [
+    ("MULTILINESTRING ((0 0, 30 0), (100 0, 130 0, 130 40))", [2, 3]),
+    ("multilinestring z((0 0 1,30 0 2) , (100 0 1,130 0 2))", [2, 2]),
+    ("LINESTRING (0 0, 1 1)", [2]),
+    ("MULTILINESTRING ((0 0, 30 0), (100 0))", None),
+    ("MULTILINESTRING ((0 0, 30 0), (100 0, x 0))", None),
+    ("MULTILINESTRING EMPTY", None),
+    ("MULTILINESTRING ((0 0, 30 0), EMPTY)", None),
+    ("POINT (1 1)", None),
+    (None, None),
+]
+
+
+def test_wkt_of_several_lines(spark):
+    frame = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(MULTI)], "i int, t string")
+    rows = frame.select("i", parse_wkt_parts(F.col("t")).alias("parts")).orderBy("i").collect()
+    assert [r["parts"] and [len(p) for p in r["parts"]] for r in rows] == [sizes for _, sizes in MULTI]
+
+
+def test_geojson_of_several_lines(spark):
+    texts = [
+        '{"type":"MultiLineString","coordinates":[[[0,0],[30,0]],[[100,0],[130,0],[130,40]]]}',
+        '{"type":"LineString","coordinates":[[0,0],[1,1]]}',
+        '{"type":"MultiLineString","coordinates":[[[0,0],[30,0]],[[1,1]]]}',
+        '{"type":"MultiLineString","coordinates":[]}',
+        '{"type":"Point","coordinates":[0,0]}',
+        "no json",
+    ]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    rows = frame.select("i", parse_geojson_parts(F.col("t")).alias("parts")).orderBy("i").collect()
+    assert [r["parts"] and [len(p) for p in r["parts"]] for r in rows] == [[2, 3], [2], None, None, None, None]
+
+
+def test_several_lines_are_cut_under_one_running_length(spark):
+    links = spark.createDataFrame([("m", MULTI[0][0]), ("z", "MULTILINESTRING ((5 5, 5 5), (0 0, 60 0), (60 0, 70 0))")], "link_id string, t string")
+    read = links.withColumn("parts", parse_wkt_parts(F.col("t"))).withColumn("pts", F.flatten("parts"))
+    pieces = {r["s_id"]: [(p["x"], p["y"]) for p in r["pts"]] for r in split_links(read).collect()}
+    assert pieces == {
+        # 100 m in all: the first piece ends one line and begins the next, both ends of the gap stay
+        "m_0000": [(0, 0), (30, 0), (100, 0), (120, 0)],
+        "m_0001": [(120, 0), (130, 0), (130, 40)],
+        "z_0000": [(0, 0), (50, 0)],
+        "z_0001": [(50, 0), (60, 0), (70, 0)],
+    }
+
+
+def test_pieces_beyond_four_digits_stay_in_order(spark):
+    names = [f"a_{n:04d}" for n in (9998, 9999, 10000, 10001, 0)] + ["b", "a", None]
+    rows = [(n, "L" if n != "b" else None, 0.0, 0.0, 0.0, 0.0) for n in names]
+    frame = spark.createDataFrame(rows, SEGMENT)
+    found = {(r["link_id"], r["s_id"]): r["place"] for r in with_place(frame).collect()}
+    assert found == {
+        (None, "b"): 0, ("L", None): 0, ("L", "a"): 1, ("L", "a_0000"): 2, ("L", "a_9998"): 3,
+        ("L", "a_9999"): 4, ("L", "a_10000"): 5, ("L", "a_10001"): 6,
+    }
+    ordered = [r["s_id"] for r in ordered_by_link(frame.filter("s_id LIKE 'a\\_%'")).collect()]
+    assert ordered == ["a_0000", "a_9998", "a_9999", "a_10000", "a_10001"]
+    last = segments_by_link(frame.filter("link_id = 'L'")).first()["last"]
+    assert last["s_id"] == "a_10001"
+
+
+def test_a_link_that_lies_in_many_tasks(spark, shuffled_joins):
+    frame = spark.range(0, 30_000).select(
+        F.format_string("L_%04d", F.col("id")).alias("s_id"), F.lit("L").alias("link_id"),
+        *(F.lit(0.0).alias(n) for n in ("start_lon", "start_lat", "end_lon", "end_lat")),
+    )
+    placed = with_place(frame.repartition(7))
+    assert placed.filter(F.col("place") != F.substring_index("s_id", "_", -1).cast("long")).count() == 0
+    assert placed.count() == 30_000
