@@ -1,4 +1,8 @@
-"""The dashboard's lookups on the daily facts; each is a filter Parquet can prune by."""
+"""The dashboard's lookups on the daily facts.
+
+Each is a plain filter. On the stored table a range of days reads its months only; a segment, a
+viewport or a range of counts skips the row groups that cannot have any (see `write_fact`).
+"""
 
 from __future__ import annotations
 

@@ -81,7 +81,19 @@ class RiskLevels:
 
 @dataclass(frozen=True)
 class OutputFiles:
-    """Upper bound of data files written per day."""
+    """Data files of a day: as many as its bytes ask for, within an upper bound."""
 
     # fixed value
     per_day: int = 16
+    file_bytes: int = 64 << 20
+
+
+@dataclass(frozen=True)
+class FactLayout:
+    """Size of the fact table's files and of the row groups that lookups can skip.
+
+    Bytes are those of the plain rows; Parquet makes less of them.
+    """
+
+    file_bytes: int = 128 << 20
+    row_group_bytes: int = 8 << 20

@@ -5,8 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def build_session(
@@ -61,3 +62,35 @@ def store(frame: DataFrame, name: str) -> tuple[DataFrame, int]:
     spark, path, counted = frame.sparkSession, work_path(frame.sparkSession, name), Observation()
     frame.observe(counted, F.count(F.lit(1)).alias("n")).write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path), counted.get["n"]
+
+
+def row_bytes(frame: DataFrame) -> Column:
+    """About how many bytes a row takes: the length of its texts, and 8 for any other value."""
+    texts = [field.name for field in frame.schema if isinstance(field.dataType, (T.StringType, T.BinaryType))]
+    width = F.lit(8 * (len(frame.columns) - len(texts))).cast("long")
+    for name in texts:
+        width = width + F.coalesce(F.octet_length(name), F.lit(0))
+    return width
+
+
+def store_measured(frame: DataFrame, name: str) -> tuple[DataFrame, int, int]:
+    """As `store`, with the bytes of the rows (`row_bytes`) too, counted while they are written."""
+    spark, path, counted = frame.sparkSession, work_path(frame.sparkSession, name), Observation()
+    measures = [F.count(F.lit(1)).alias("n"), F.sum(row_bytes(frame)).alias("bytes")]
+    frame.observe(counted, *measures).write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path), counted.get["n"], counted.get["bytes"] or 0
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Remove a folder and all in it, in whatever file system it lies; False if it was not there."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """The names of the folders in `path`; none if it does not exist."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        return []
+    return sorted(entry.getPath().getName() for entry in files.listStatus(place) if entry.isDirectory())

@@ -5,16 +5,18 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from bumpwise.functions.curve import place_on_curve
 from bumpwise.operators import marts
 from bumpwise.operators.facts import append_conflicts, merge_additive
 from bumpwise.operators.ingest import readings
-from bumpwise.options import OutputFiles
+from bumpwise.options import FactLayout, OutputFiles, RiskLevels
 from bumpwise.schema import ANOMALY_COLUMNS, FACT_COLUMNS, FACT_KEY, SENSOR_COLUMNS, STORED_FACT
-from bumpwise.session import store, work_path
+from bumpwise.session import row_bytes, store, store_measured
 from bumpwise.sources.tables import read_fact
 
 _SHOWN_KEYS = 10
@@ -30,14 +32,14 @@ def write_by_day(
     """Snappy Parquet under `dt=<day>/`, replacing the partitions that have rows.
 
     Rows of a day are brought together and split by size, so a long day becomes several files of
-    a fair size. With `files`, a day has at most `files.per_day` of them, by a hash of the row.
+    a fair size. With `files`, the number of a day's files follows from its measured bytes, up to
+    `files.per_day`; the rows are dealt among them by a hash.
     """
     wanted = rows.select(*columns, *partitions)
     if files is None:
         gathered = wanted.hint("rebalance", *partitions)
     else:
-        part = F.pmod(F.xxhash64(*columns), F.lit(files.per_day))
-        gathered = wanted.repartition(*partitions, part)
+        gathered = _in_few_files(wanted, columns, partitions, files)
     (
         gathered.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -47,6 +49,25 @@ def write_by_day(
     )
 
 
+def _in_few_files(
+    rows: DataFrame, columns: Sequence[str], partitions: Sequence[str], files: OutputFiles
+) -> DataFrame:
+    """`rows` dealt out so that each partition is as many tasks, and so files, as its bytes ask for."""
+    copy, _ = store(rows, "days")
+    wanted = F.least(F.ceil(F.sum(row_bytes(copy)) / files.file_bytes), F.lit(files.per_day))
+    sizes = copy.groupBy(*partitions).agg(F.greatest(wanted, F.lit(1)).cast("int").alias("_files"))
+    # a row per day: the tasks of a day come after those of the days before it
+    before = Window.orderBy(*partitions).rowsBetween(Window.unboundedPreceding, -1)
+    first = F.coalesce(F.sum("_files").over(before), F.lit(0)).cast("int").alias("_first")
+    sizes, _ = store(sizes.select("*", first), "day-sizes")
+    tasks = sizes.agg(F.sum("_files").alias("n")).first()["n"] or 1
+    renamed = sizes.select("_files", "_first", *(F.col(name).alias(f"_{name}") for name in partitions))
+    same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in partitions]
+    joined = copy.join(F.broadcast(renamed), reduce(Column.__and__, same))
+    task = F.col("_first") + F.pmod(F.xxhash64(*columns), F.col("_files")).cast("int")
+    return joined.repartitionById(tasks, task).select(*rows.columns)
+
+
 def write_anomalies(
     anomalies: DataFrame, path: str, day: str | None = None, files: OutputFiles = OutputFiles()
 ) -> None:
@@ -55,9 +76,11 @@ def write_anomalies(
         write_by_day(anomalies, path, ANOMALY_COLUMNS, files=files)
         return
     one_day = anomalies.filter(F.col("dt") == day).select(*ANOMALY_COLUMNS)
-    one_day.repartition(
-        files.per_day, F.xxhash64(*ANOMALY_COLUMNS)
-    ).write.mode("overwrite").option("compression", "snappy").parquet(f"{path}/dt={day}")
+    copy, _, size = store_measured(one_day, "day")
+    tasks = max(1, min(files.per_day, -(-size // files.file_bytes)))
+    copy.repartition(tasks, F.xxhash64(*ANOMALY_COLUMNS)).write.mode("overwrite").option(
+        "compression", "snappy"
+    ).parquet(f"{path}/dt={day}")
 
 
 def write_raw(trips: DataFrame, path: str, batch: int | str) -> None:
@@ -79,14 +102,40 @@ def write_segments(segments: DataFrame, path: str, file_format: str = "csv") ->
     segments.write.mode("overwrite").format(file_format).options(**options).save(path)
 
 
-def write_fact(fact: DataFrame, path: str, mode: str = "append") -> None:
-    """Facts by month. Stamps are added where the rows have none."""
-    months = with_stamps(fact).withColumn("month", F.trunc("date", "MM"))
+def write_fact(fact: DataFrame, path: str, mode: str = "append", layout: FactLayout = FactLayout()) -> None:
+    """Facts by month, clustered for lookups. Stamps are added where the rows have none."""
+    months = with_stamps(fact).withColumn("month", F.trunc("date", "MM")).select(*STORED_FACT.names)
+    copy, _, size = store_measured(months, "facts")
+    _write_clustered(copy, size, path, mode, layout)
+
+
+def _write_clustered(
+    months: DataFrame, size: int, path: str, mode: str, layout: FactLayout, levels: RiskLevels = RiskLevels()
+) -> None:
+    """A month's rows in the order of risk level, place on the curve, segment and day.
+
+    Rows are dealt out by ranges of this order, into as many tasks as their bytes ask for, so a
+    large month is written by many tasks and small months share one. Row groups then cover small
+    areas of one risk level: a viewport or a range of counts skips the others by their minima and
+    maxima. A segment lies in one place, so its rows lie in few row groups too; a Bloom filter
+    tells which.
+    """
+    count = F.col("impact_count")
+    band = F.when(count > levels.critical_above, 2).when(count > levels.warning_above, 1).otherwise(0)
+    placed = months.withColumns(
+        {"_band": band, "_place": place_on_curve(F.col("centroid_lon"), F.col("centroid_lat"))}
+    )
+    order = ["month", "_band", "_place", "s_id", "date"]
+    tasks = max(1, -(-size // layout.file_bytes))
     (
-        months.select(*STORED_FACT.names)
-        .repartition("month", F.pmod(F.xxhash64(*FACT_KEY), F.lit(OutputFiles().per_day)))
+        placed.repartitionByRange(tasks, *order)
+        .sortWithinPartitions(*order)
+        .select(*STORED_FACT.names)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
+        .option("parquet.block.size", layout.row_group_bytes)
+        .option("parquet.bloom.filter.enabled#s_id", "true")
+        .option("parquet.bloom.filter.adaptive.enabled", "true")
         .partitionBy("month")
         .parquet(path)
     )
@@ -105,6 +154,7 @@ def merge_into_fact(
     mode: str = "add",
     now: Column | None = None,
     days: Sequence[dt.date | str] | None = None,
+    layout: FactLayout = FactLayout(),
 ) -> None:
     """Merge counts into the stored facts (`merge_additive`), rewriting the months they touch.
 
@@ -120,13 +170,12 @@ def merge_into_fact(
     months = _months(delta) | {dt.date.fromisoformat(str(day)).replace(day=1) for day in days or ()}
     touched = stored.filter(F.col("month").isin(sorted(months)))
     before = _months(touched) if mode == "replace" else set()
-    staged = work_path(spark, "merged-months")
-    write_fact(merge_additive(touched.drop("month"), delta, mode, now, days), staged)
-    merged = read_fact(spark, staged)
-    left = set()
-    if merged is not None:
-        left = _months(merged)
-        write_fact(merged, path, mode="overwrite")
+    merged = with_stamps(merge_additive(touched.drop("month"), delta, mode, now, days), now)
+    merged = merged.withColumn("month", F.trunc("date", "MM")).select(*STORED_FACT.names)
+    staged, rows, size = store_measured(merged, "merged-months")
+    left = _months(staged)
+    if rows:
+        _write_clustered(staged, size, path, "overwrite", layout)
     empty = spark.createDataFrame([], STORED_FACT).drop("month")
     for month in sorted(before - left):
         empty.write.mode("overwrite").parquet(f"{path}/month={month}")

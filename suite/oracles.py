@@ -426,3 +426,5 @@ FROM multi, (SELECT unnest(['wkt', 'geojson']) AS form)""",
     "stream_daily_counts": _daily_counts() + "SELECT * FROM counts",
 }
 ORACLES["monthly_counts"] = ORACLES["fact_month_partition"]
+for _name in ("lookup_segment", "lookup_viewport", "lookup_impact", "lookup_date_range"):
+    ORACLES[f"{_name}_stored"] = ORACLES[_name]

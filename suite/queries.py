@@ -369,6 +369,37 @@ def lookup_impact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookups.with_impacts(adapters.fact(spark, sf_dir), 4)
 
 
+def _stored_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The facts from their table, clustered for lookups."""
+    path = work_path(spark, "fact")
+    sinks.write_fact(adapters.fact(spark, sf_dir), path)
+    return sources.read_fact(spark, path)
+
+
+_STORED_ONLY = ("created_at", "updated_at", "month")
+
+
+@query
+def lookup_segment_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookups.by_segment(_stored_fact(spark, sf_dir), "7").drop(*_STORED_ONLY)
+
+
+@query
+def lookup_viewport_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookups.in_viewport(_stored_fact(spark, sf_dir), VIEW).drop(*_STORED_ONLY)
+
+
+@query
+def lookup_impact_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookups.with_impacts(_stored_fact(spark, sf_dir), 4).drop(*_STORED_ONLY)
+
+
+@query
+def lookup_date_range_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lookups.by_date_range(_stored_fact(spark, sf_dir), "1996-03-01", "1996-04-15")
+    return found.drop(*_STORED_ONLY)
+
+
 # ingest
 
 

@@ -1,0 +1,160 @@
+"""How tables lie on disk: what lookups can skip, and how many files writes make."""
+
+from __future__ import annotations
+
+import datetime as dt
+import random
+from pathlib import Path
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from bumpwise.functions.curve import place_on_curve
+from bumpwise.operators import lookups
+from bumpwise.options import Box, FactLayout, OutputFiles
+from bumpwise.schema import ANOMALY_BY_DAY, FACT, STORED_FACT
+from bumpwise.sinks.tables import append_to_fact, merge_into_fact, write_anomalies, write_fact
+from bumpwise.sources.tables import read_anomalies, read_fact
+
+
+def files(path):
+    return list(Path(path).rglob("part-*.parquet"))
+
+
+def month_of_facts(spark, segments=8000, days=25):
+    """Segments all over the country, each on every day of a month; few counts are high."""
+    return spark.range(segments * days).select(
+        F.format_string("S%06d", F.col("id") % segments).alias("s_id"),
+        (F.pmod(F.xxhash64(F.col("id") % segments, F.lit(1)), F.lit(80_000)) / 10_000 + 124).alias("centroid_lon"),
+        (F.pmod(F.xxhash64(F.col("id") % segments, F.lit(2)), F.lit(100_000)) / 10_000 + 33).alias("centroid_lat"),
+        F.date_add(F.lit("2026-01-01").cast("date"), (F.col("id") / segments).cast("int")).alias("date"),
+        F.when(F.pmod(F.xxhash64("id"), F.lit(1000)) < 5, 9).otherwise(F.pmod("id", F.lit(3)) + 1).cast("int").alias("impact_count"),
+    )
+
+
+@pytest.fixture(scope="module")
+def month(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("month") / "fact")
+    small = FactLayout(file_bytes=1 << 20, row_group_bytes=64 << 10)
+    write_fact(month_of_facts(spark), path, layout=small)
+    return path
+
+
+def rows_read(frame):
+    """Rows that the scans of a finished query gave on, after row groups were skipped."""
+    plan = frame._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if hasattr(plan, "executedPlan") and "Adaptive" in plan.nodeName() else plan
+    leaves, total = plan.collectLeaves(), 0
+    for at in range(leaves.size()):
+        total += leaves.apply(at).metrics().apply("numOutputRows").value()
+    return total
+
+
+def looked_up(spark, month, lookup):
+    fact = read_fact(spark, month)
+    found = lookup(fact)
+    got = sorted(map(tuple, found.drop("created_at", "updated_at").collect()))
+    wanted = sorted(map(tuple, lookup(month_of_facts(spark).withColumn("month", F.trunc("date", "MM"))).collect()))
+    assert got == wanted and got
+    return rows_read(found) / 200_000
+
+
+def groups_of(month):
+    return sum(pq.ParquetFile(file).num_row_groups for file in files(month))
+
+
+def test_a_viewport_reads_few_row_groups(spark, month):
+    assert groups_of(month) >= 50
+    view = Box("view", 127.5, 127.8, 34.5, 34.9)
+    assert looked_up(spark, month, lambda fact: lookups.in_viewport(fact, view)) < 0.1
+
+
+def test_a_segment_reads_few_row_groups(spark, month):
+    assert looked_up(spark, month, lambda fact: lookups.by_segment(fact, "S004321")) < 0.1
+
+
+def test_a_range_of_counts_reads_few_row_groups(spark, month):
+    assert looked_up(spark, month, lambda fact: lookups.with_impacts(fact, 6)) < 0.1
+
+
+def test_a_large_month_is_written_by_many_tasks(month):
+    sizes = [file.stat().st_size for file in files(month)]
+    assert len(sizes) > 8
+    assert max(sizes) < 5 * sorted(sizes)[len(sizes) // 2]
+
+
+def test_few_facts_make_one_file_a_month(spark, path_for):
+    path = path_for("fact")
+    rows = [("a", 127.0, 35.0, dt.date(2026, 1, day), 2) for day in (1, 2, 3)]
+    append_to_fact(spark.createDataFrame(rows, FACT), path)
+    assert len(files(path)) == 1
+    merge_into_fact(spark.createDataFrame(rows, FACT), path)
+    assert len(files(path)) == 1
+    assert read_fact(spark, path).agg(F.sum("impact_count")).first()[0] == 12
+
+
+def test_facts_without_a_place_are_kept(spark, path_for):
+    path = path_for("fact")
+    rows = [("a", None, 35.0, dt.date(2026, 1, 1), 2), ("b", float("nan"), 400.0, dt.date(2026, 1, 1), None), (None, 1.0, 1.0, None, 7)]
+    write_fact(spark.createDataFrame(rows, FACT), path)
+    got = read_fact(spark, path).drop("created_at", "updated_at", "month").collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, rows))
+
+
+def test_no_facts_make_an_empty_table(spark, path_for):
+    path = path_for("fact")
+    write_fact(spark.createDataFrame([], FACT), path)
+    assert spark.read.schema(STORED_FACT).parquet(path).count() == 0
+
+
+def anomalies(spark, rows_of_day):
+    """A table with so many rows on each day."""
+    names = [name for name in ANOMALY_BY_DAY.names if name not in ("dt", "trip_id", "timestamp")]
+    parts = [
+        spark.range(n).select(
+            F.col("id").alias("timestamp"), F.format_string("T%06d", "id").alias("trip_id"),
+            *(F.lit(1).cast(ANOMALY_BY_DAY[name].dataType).alias(name) for name in names), F.lit(day).alias("dt"),
+        )
+        for day, n in rows_of_day.items()
+    ]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole.select(*ANOMALY_BY_DAY.names)
+
+
+def test_anomaly_files_follow_the_bytes_of_a_day(spark, path_for):
+    path, some = path_for("anomalies"), anomalies(spark, {"2026-01-01": 3, "2026-01-02": 4000, "2026-01-03": 40_000})
+    write_anomalies(some, path, files=OutputFiles(per_day=16, file_bytes=100_000))
+    counts = {day.name: len(files(day)) for day in Path(path).glob("dt=*")}
+    assert counts["dt=2026-01-01"] == 1
+    assert 4 <= counts["dt=2026-01-02"] <= 8
+    assert counts["dt=2026-01-03"] == 16
+    assert read_anomalies(spark, path).groupBy("dt").count().count() == 3
+    assert read_anomalies(spark, path).count() == 44_003
+
+
+@pytest.mark.parametrize(("n", "most"), [(0, 1), (3, 1), (40_000, 16)])
+def test_one_day_of_anomalies(spark, path_for, n, most):
+    path = path_for("anomalies")
+    write_anomalies(anomalies(spark, {"2026-01-01": n, "2026-01-02": 5}), path, "2026-01-01", OutputFiles(16, 100_000))
+    assert 1 <= len(files(path)) <= most
+    assert read_anomalies(spark, path).count() == n
+
+
+def test_the_curve_interleaves_and_keeps_near_places_near(spark):
+    chosen = random.Random(1)
+    rows = [(chosen.uniform(-180, 180), chosen.uniform(-90, 90)) for _ in range(300)]
+    rows += [(180.0, 90.0), (-180.0, -90.0), (181.0, 0.0), (0.0, float("nan")), (None, 0.0)]
+    frame = spark.createDataFrame(rows, "lon double, lat double")
+    got = [row[0] for row in frame.select(place_on_curve(F.col("lon"), F.col("lat"))).collect()]
+
+    def plain(lon, lat):
+        if lon is None or lat is None or not (-180 <= lon <= 180 and -90 <= lat <= 90):
+            return -1
+        x = min(int((lon + 180) / 360 * 2**26), 2**26 - 1)
+        y = min(int((lat + 90) / 180 * 2**26), 2**26 - 1)
+        return sum((x >> i & 1) << (2 * i + 1) | (y >> i & 1) << (2 * i) for i in range(26))
+
+    assert got == [plain(*row) for row in rows]
