@@ -12,6 +12,7 @@ _TYPES = {
     "string": T.StringType(),
     "date": T.DateType(),
     "timestamp": T.TimestampType(),
+    "boolean": T.BooleanType(),
 }
 
 
@@ -61,5 +62,16 @@ STORED_FACT = _fields(
 
 COUNTERS = _fields("total bigint, processed bigint, filtered_out bigint, errors bigint")
 
+# deliveries a stream has stored, and those that came after the watermark
+DELIVERY_BY_DAY = _fields("trip_id string, seq bigint, dt string, batch string")
+LATE_BY_DAY = _fields(_SENSOR_DDL + ", seq bigint, dt string, batch string")
+FIRST_COUNTERS = _fields(
+    "query string, number int, latest_day date, watermark date, messages bigint, "
+    "stored bigint, known bigint, late bigint, undated bigint"
+)
+
+# what a micro-batch of counts came from
+COUNT_LEDGER = _fields("source string, query string, number int, run bigint, rerun boolean, impacts bigint")
+
 # one line of a message source: the payload is base64 text, the number orders redeliveries
 ENVELOPE = _fields("seq bigint, data string")

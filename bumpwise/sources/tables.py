@@ -146,6 +146,16 @@ def load_fact(
     return coerce_fact(raw, date)
 
 
+def read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table as declared; without rows before its first write."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def read_fact(spark: SparkSession, path: str) -> DataFrame | None:
     """The stored fact table; None before its first write."""
     try:

@@ -24,8 +24,9 @@ from bumpwise.operators.ingest import (
     parse_trips,
     readings,
 )
+from bumpwise.operators.keyed import attach_by_key
 from bumpwise.options import DEFAULT_BOXES, Box, ContextLimits, ImpactRule, Ranges
-from bumpwise.schema import ANOMALY_COLUMNS, COUNTERS
+from bumpwise.schema import ANOMALY_COLUMNS, COUNT_LEDGER, COUNTERS
 from bumpwise.sinks.tables import merge_into_fact, write_batch, write_raw
 from bumpwise.sources.tables import deliveries_path
 
@@ -50,7 +51,7 @@ def stream_ingest(
             counters = batch.sparkSession.createDataFrame([counted.get], COUNTERS)
             counters.write.mode("overwrite").parquet(f"{counters_path}/batch={name}")
 
-    return _start(messages, store, checkpoint, trigger)
+    return start_named(messages, store, checkpoint, trigger)
 
 
 def first_deliveries(
@@ -62,7 +63,7 @@ def first_deliveries(
     """Processed trips of a message stream, each only as first delivered.
 
     The other way to treat redeliveries: nothing is replaced later, at the price of state for
-    the trips of the last `delay`. Trips whose `dt` is no date, and trips that arrive later than
+    the trips of the last `delay` (`stream_first_trips` keeps none and loses no trip). Trips whose `dt` is no date, and trips that arrive later than
     `delay`, cannot be told from redeliveries and are left to the raw table and its readers; the
     query's progress shows how many, as `unreadable_dates` of the observed metrics
     `first_deliveries` and as rows dropped by the watermark.
@@ -106,7 +107,12 @@ def stream_detect(
         finally:
             rows.unpersist()
 
-    return _start(messages, store, checkpoint, trigger)
+    return start_named(messages, store, checkpoint, trigger)
+
+
+def ledger_path(counts_path: str) -> str:
+    """Where the micro-batches of the counts at `counts_path` are noted."""
+    return f"{counts_path.rstrip('/')}-ledger"
 
 
 def stream_daily_counts(
@@ -114,59 +120,96 @@ def stream_daily_counts(
     counts_path: str,
     checkpoint: str,
     trigger: dict | None = None,
+    source: str = "",
+    rerun: bool = True,
 ) -> StreamingQuery:
     """Mapped impacts (`s_id`, `dt`, place and time) into counts per segment and day.
 
-    Each micro-batch writes what it adds (`latest_counts` sums it up), so a row counts however late
+    Each micro-batch writes what it adds (`read_counts` sums it up), so a row counts however late
     it comes, and no state grows with the days. Rows whose `dt` is no date are kept as a count
-    without a day. `run` is when the query was started: where a later query has a segment-day, its
-    counts stand for those of earlier ones.
+    without a day.
+
+    `source` names what is counted; several may share a folder and add up. A query with a new
+    checkpoint reads its source from the start, so it stands for the source's earlier queries; with
+    `rerun=False` it goes on where they ended, and adds to them. A ledger notes source, query and
+    number of every micro-batch, also of those without rows.
     """
     run = time.time_ns()
 
     def store(batch: DataFrame, name: str) -> None:
+        query, _, number = name.rpartition("-")
+        counted = Observation()
         first = F.min(F.struct("timestamp", "trip_id", "lon", "lat")).alias("first")
         counts = (
             batch.filter(F.col("s_id").isNotNull())
             .groupBy("s_id", F.col("dt").try_cast("date").alias("date"))
             .agg(F.count(F.lit(1)).cast("int").alias("impact_count"), first)
         )
-        counts.withColumns({"run": F.lit(run), "query": F.lit(name.rpartition("-")[0])}).write.mode(
-            "overwrite"
-        ).parquet(f"{counts_path}/batch={name}")
+        marks = {"run": run, "query": query, "source": source, "rerun": rerun}
+        counts.withColumns({key: F.lit(value) for key, value in marks.items()}).observe(
+            counted, F.sum("impact_count").alias("n")
+        ).write.mode("overwrite").parquet(f"{counts_path}/batch={name}")
+        noted = [(source, query, int(number), run, rerun, counted.get["n"] or 0)]
+        batch.sparkSession.createDataFrame(noted, COUNT_LEDGER).write.mode("overwrite").parquet(
+            f"{ledger_path(counts_path)}/batch={name}"
+        )
 
-    return _start(mapped, store, checkpoint, trigger)
+    return start_named(mapped, store, checkpoint, trigger)
 
 
-def latest_counts(updates: DataFrame) -> DataFrame:
-    """Counts per segment and day from the additions that `stream_daily_counts` wrote.
+def live_queries(ledger: DataFrame) -> DataFrame:
+    """`query`, `n`: the queries whose counts stand, with the micro-batches they have.
 
-    A query that stopped and went on with its checkpoint is one query, dated by its last start.
+    A query is dated by its first start, so one that stopped and went on is one query. Of a source,
+    the last re-run counts and what was started after it.
     """
-    by_query = updates.groupBy("s_id", "date", "query").agg(
-        F.max("run").alias("run"),
-        F.sum("impact_count").cast("int").alias("impact_count"),
-        F.min("first").alias("first"),
+    queries = ledger.groupBy("source", "query").agg(
+        F.min("run").alias("started"), F.bool_or("rerun").alias("rerun"), F.count(F.lit(1)).alias("n")
     )
-    newest = F.max(F.struct("run", "first", "impact_count")).alias("newest")
-    return by_query.filter(F.col("date").isNotNull()).groupBy("s_id", "date").agg(newest).select(
-        "s_id",
-        F.col("newest.first.lon").alias("centroid_lon"),
-        F.col("newest.first.lat").alias("centroid_lat"),
-        "date",
-        "newest.impact_count",
+    opened = queries.filter("rerun").groupBy(F.col("source").alias("_source")).agg(F.max("started").alias("_opened"))
+    joined = queries.join(opened, F.col("source") == F.col("_source"), "left")
+    return joined.filter(F.col("_opened").isNull() | (F.col("started") >= F.col("_opened"))).select("query", "n")
+
+
+def latest_counts(updates: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
+    """Counts per segment and day from the additions that `stream_daily_counts` wrote.
+
+    Without a ledger, the queries are those that have rows in `updates`.
+    """
+    live = live_queries(updates if ledger is None else ledger)
+    # a few queries hold all rows
+    counted = attach_by_key(updates, live, ["query"], "n", how="inner")
+    return (
+        counted.filter(F.col("date").isNotNull())
+        .groupBy("s_id", "date")
+        .agg(F.sum("impact_count").cast("int").alias("impact_count"), F.min("first").alias("first"))
+        .select(
+            "s_id",
+            F.col("first.lon").alias("centroid_lon"),
+            F.col("first.lat").alias("centroid_lat"),
+            "date",
+            "impact_count",
+        )
     )
 
 
-def merge_counts(updates: DataFrame, fact_path: str) -> None:
+def read_counts(spark: SparkSession, counts_path: str) -> DataFrame:
+    """The counts of all sources in a folder, as they stand."""
+    ledger = spark.read.schema(COUNT_LEDGER).parquet(ledger_path(counts_path))
+    return latest_counts(spark.read.parquet(counts_path), ledger)
+
+
+def merge_counts(updates: DataFrame, fact_path: str, ledger: DataFrame | None = None) -> None:
     """The streamed counts into the stored facts: the days they have are replaced as a whole.
 
-    Running it again, or after late rows came, gives the facts of all rows so far.
+    Days that only superseded queries have are replaced too, and so emptied. Running it again, or
+    after late rows came, gives the facts of all rows so far.
     """
-    merge_into_fact(latest_counts(updates), fact_path, mode="replace")
+    days = [row["date"] for row in updates.select("date").distinct().collect() if row["date"]]
+    merge_into_fact(latest_counts(updates, ledger), fact_path, mode="replace", days=sorted(days))
 
 
-def _start(
+def start_named(
     stream: DataFrame,
     store: Callable[[DataFrame, str], None],
     checkpoint: str,

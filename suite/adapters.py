@@ -114,11 +114,13 @@ def links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.withColumn("pts", ends)
 
 
-def messages(spark: SparkSession, sf_dir: str, optional_keys: bool = True) -> DataFrame:
+def messages(
+    spark: SparkSession, sf_dir: str, optional_keys: bool = True, by_day: bool = False
+) -> DataFrame:
     """The sensor table as trip messages: `seq`, `value`.
 
     Trip ids are `<trip>-<block of event ids>`. Without `optional_keys` the records lack speed,
-    hdop and satellites.
+    hdop and satellites. With `by_day` a trip has a message for each of its days.
     """
     gps = {"lng": "lon", "lat": "lat"} | ({"hdop": "hdop", "sat": "satellites"} if optional_keys else {})
     record = F.struct(
@@ -132,7 +134,7 @@ def messages(spark: SparkSession, sf_dir: str, optional_keys: bool = True) -> Da
     block = F.floor(F.col("event_id") / RECORDS_PER_MESSAGE)
     trips = (
         sensor(spark, sf_dir)
-        .groupBy(F.concat_ws("-", "trip_id", block).alias("trip_id"))
+        .groupBy(F.concat_ws("-", "trip_id", block).alias("trip_id"), *(["dt"] if by_day else []))
         .agg(
             F.min("vehicle_id").alias("vin"),
             F.concat(F.min("dt"), F.lit("T00:00:00+09:00")).alias("start_time"),

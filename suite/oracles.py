@@ -426,5 +426,13 @@ FROM multi, (SELECT unnest(['wkt', 'geojson']) AS form)""",
     "stream_daily_counts": _daily_counts() + "SELECT * FROM counts",
 }
 ORACLES["monthly_counts"] = ORACLES["fact_month_partition"]
+ORACLES["stream_two_sources"] = ORACLES["stream_daily_counts"]
+ORACLES["stream_late_trips"] = _with(
+    "sensor",
+    trips=f"""SELECT concat(trip_id, '-', CAST(event_id // {RECORDS_PER_MESSAGE} AS VARCHAR)) AS trip_id, dt, count(*) AS n_rows
+FROM sensor WHERE {_VALID} AND {_IN_BOX} GROUP BY 1, 2""",
+) + f"""SELECT trip_id, dt, n_rows,
+  dt < '{q.LATE_FROM}' AND CAST(dt AS DATE) < (SELECT max(CAST(dt AS DATE)) FROM trips) - INTERVAL 2 DAY AS late
+FROM trips"""
 for _name in ("lookup_segment", "lookup_viewport", "lookup_impact", "lookup_date_range"):
     ORACLES[f"{_name}_stored"] = ORACLES[_name]

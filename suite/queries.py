@@ -30,6 +30,7 @@ from bumpwise.plans.impacts import impact_counts, map_impacts, monitored, repair
 from bumpwise.plans.network import build_segments
 from bumpwise.schema import (
     ANOMALY_COLUMNS,
+    LATE_BY_DAY,
     MAPPED_BY_DAY,
     SENSOR_BY_DAY,
     SENSOR_COLUMNS,
@@ -38,6 +39,7 @@ from bumpwise.session import work_path
 from bumpwise.sinks import tables as sinks
 from bumpwise.sources import messages as message_sources
 from bumpwise.sources import tables as sources
+from bumpwise.streaming import first as firsts
 from bumpwise.streaming import jobs as streams
 from suite import adapters
 
@@ -685,3 +687,40 @@ def stream_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream, counts, work_path(spark, "stream"), trigger=ONCE
     ).awaitTermination()
     return streams.latest_counts(spark.read.parquet(counts))
+
+
+@query
+def stream_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Impacts from two sources into one folder, and one of the sources once more from its start."""
+    counts = work_path(spark, "counts")
+    mapped = map_impacts(_anomalies(spark, sf_dir, LOWER_BAR), network_index(spark, sf_dir))
+    table = work_path(spark, "mapped")
+    odd = F.pmod(F.xxhash64(*MAPPED_BY_DAY.names), F.lit(2)) == 1
+    parts = mapped.select(*MAPPED_BY_DAY.names, F.when(odd, "odd").otherwise("even").alias("side"))
+    parts.write.partitionBy("side").parquet(table)
+    for source, name in (("odd", "a"), ("even", "b"), ("odd", "c")):
+        stream = spark.readStream.schema(MAPPED_BY_DAY).parquet(f"{table}/side={source}")
+        streams.stream_daily_counts(
+            stream, counts, work_path(spark, name), trigger=ONCE, source=source
+        ).awaitTermination()
+    return streams.read_counts(spark, counts)
+
+
+LATE_FROM = "2024-01-15"
+
+
+@query
+def stream_late_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips of later days first, then all: which came in time, and which by the late route."""
+    source, raw, checkpoint = (work_path(spark, name) for name in ("messages", "raw", "stream"))
+    messages = adapters.messages(spark, sf_dir, by_day=True)
+    day = F.substring(F.get_json_object("value", "$.start_time"), 1, 10)
+    again = messages.withColumn("seq", F.col("seq") + (1 << 40))
+    for part in (messages.filter(day >= LATE_FROM), again):
+        adapters.envelopes(part).write.mode("append").json(source)
+        stream = message_sources.message_stream(spark, source)
+        firsts.stream_first_trips(stream, raw, checkpoint, 2, trigger=ONCE).awaitTermination()
+    firsts.merge_late(spark, raw)
+    rows = spark.read.schema(LATE_BY_DAY).parquet(raw)
+    late = F.col("batch").startswith("late-")
+    return rows.groupBy("trip_id", "dt", late.alias("late")).agg(F.count(F.lit(1)).alias("n_rows"))

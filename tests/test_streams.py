@@ -7,14 +7,25 @@ from bumpwise.operators.detect import detect_anomalies
 from bumpwise.operators.facts import daily_segment_counts
 from bumpwise.operators.ingest import parse_trips, readings
 from bumpwise.options import ImpactRule
-from bumpwise.schema import ANOMALY_BY_DAY, MAPPED_BY_DAY, SENSOR_BY_DAY
+from bumpwise.schema import (
+    ANOMALY_BY_DAY,
+    COUNT_LEDGER,
+    FIRST_COUNTERS,
+    LATE_BY_DAY,
+    MAPPED_BY_DAY,
+    SENSOR_BY_DAY,
+)
+from bumpwise.session import remove_path
 from bumpwise.sources.messages import message_stream, read_messages
 from bumpwise.sinks.tables import append_to_fact, merge_into_fact
-from bumpwise.sources.tables import read_fact, read_latest, read_stream_anomalies
+from bumpwise.sources.tables import deliveries_path, read_fact, read_latest, read_stream_anomalies
+from bumpwise.streaming.first import counters_path, late_path, merge_late, stream_first_trips
 from bumpwise.streaming.jobs import (
     first_deliveries,
     latest_counts,
+    ledger_path,
     merge_counts,
+    read_counts,
     stream_daily_counts,
     stream_detect,
     stream_ingest,
@@ -175,3 +186,119 @@ def test_first_deliveries(spark, path_for):
         query.trigger(**ONCE).start(target).awaitTermination()
     rows = readings(spark.read.parquet(target)).groupBy("trip_id").count().collect()
     assert {row["trip_id"]: row["count"] for row in rows} == {"A": 3, "B": 4, "C": 5}
+
+
+def impacts(spark, folder, *rows):
+    """One file of mapped impacts (day, segment)."""
+    table = [(n, "T", 127.0 + n, 34.0, s, d) for n, (d, s) in enumerate(rows)]
+    spark.createDataFrame(table, MAPPED_BY_DAY).coalesce(1).write.mode("append").parquet(folder)
+
+
+def count(spark, folder, counts, checkpoint, **options):
+    stream = spark.readStream.schema(MAPPED_BY_DAY).parquet(folder)
+    stream_daily_counts(stream, counts, checkpoint, trigger=ONCE, **options).awaitTermination()
+    found = read_counts(spark, counts).collect()
+    return {(r["s_id"], str(r["date"])): r["impact_count"] for r in found}
+
+
+def test_sources_add_up_and_a_rerun_replaces_its_own(spark, path_for):
+    a, b, counts = path_for("a"), path_for("b"), path_for("counts")
+    impacts(spark, a, ("2026-03-01", "A"), ("2026-03-01", "A"), ("2026-03-01", "A"), ("2026-03-02", "B"))
+    impacts(spark, b, ("2026-03-01", "A"), ("2026-03-01", "A"))
+    first = path_for("first")
+    assert count(spark, a, counts, first, source="a") == {("A", "2026-03-01"): 3, ("B", "2026-03-02"): 1}
+    both = {("A", "2026-03-01"): 5, ("B", "2026-03-02"): 1}
+    assert count(spark, b, counts, path_for("other"), source="b") == both
+    # the first query goes on with its checkpoint
+    impacts(spark, a, ("2026-03-01", "A"))
+    more = both | {("A", "2026-03-01"): 6}
+    assert count(spark, a, counts, first, source="a") == more
+    # a full re-run of one source changes nothing, and leaves the other alone
+    assert count(spark, a, counts, path_for("again"), source="a") == more
+
+
+def test_a_query_that_goes_on_adds(spark, path_for):
+    old, new, counts = path_for("old"), path_for("new"), path_for("counts")
+    impacts(spark, old, ("2026-03-01", "A"), ("2026-03-01", "A"))
+    impacts(spark, new, ("2026-03-01", "A"))
+    count(spark, old, counts, path_for("c1"), source="a")
+    assert count(spark, new, counts, path_for("c2"), source="a", rerun=False) == {("A", "2026-03-01"): 3}
+
+
+def test_a_rerun_without_rows_empties_its_source(spark, path_for):
+    full, none, counts, table = path_for("full"), path_for("none"), path_for("counts"), path_for("fact")
+    impacts(spark, full, ("2026-03-01", "A"))
+    count(spark, full, counts, path_for("c1"), source="a")
+    merge_counts(spark.read.parquet(counts), table)
+    assert read_fact(spark, table).count() == 1
+    impacts(spark, none, ("2026-03-01", None))
+    assert count(spark, none, counts, path_for("c2"), source="a") == {}
+    ledger = spark.read.schema(COUNT_LEDGER).parquet(ledger_path(counts))
+    merge_counts(spark.read.parquet(counts), table, ledger)
+    assert read_fact(spark, table).count() == 0
+
+
+def first_trips(spark, source, raw, checkpoint):
+    stream = message_stream(spark, source, files_per_batch=1)
+    stream_first_trips(stream, raw, checkpoint, 2, trigger=ONCE).awaitTermination()
+
+
+def stored(spark, path):
+    rows = spark.read.schema(LATE_BY_DAY).parquet(path).groupBy("dt", "trip_id", "seq").count().collect()
+    return {(r["dt"], r["trip_id"], r["seq"]): r["count"] for r in rows}
+
+
+def test_no_trip_is_lost_to_the_watermark(spark, path_for):
+    source, raw, checkpoint = path_for("in"), path_for("raw"), path_for("checkpoint")
+    deliver(spark, source, (1, trip("A", 3, day="2025-02-12")), (2, trip("A", 4, day="2025-02-12")), (3, "{bad"))
+    deliver(spark, source, (4, trip("B", 4, day="2025-02-20")), (5, trip("A", 9, day="2025-02-12")))
+    first_trips(spark, source, raw, checkpoint)
+    deliver(
+        spark, source, (6, trip("A", 5, day="2025-02-12")), (7, trip("C", 6, day="2025-02-17")),
+        (8, trip("D", 7, day="2025-02-18")), (9, trip("B", 8, day="2025-02-20")), (10, trip("E", 3, day="20-02-2025")),
+        (11, trip("C", 2, day="2025-02-17")),
+    )
+    first_trips(spark, source, raw, checkpoint)
+    in_time = {("2025-02-12", "A", 1): 3, ("2025-02-20", "B", 4): 4, ("2025-02-18", "D", 8): 7}
+    assert stored(spark, raw) == in_time
+    late = {("2025-02-12", "A", 6): 5, ("2025-02-17", "C", 7): 6, ("20-02-2025", "E", 10): 3, ("2025-02-17", "C", 11): 2}
+    assert stored(spark, late_path(raw)) == late
+    totals = spark.read.schema(FIRST_COUNTERS).parquet(counters_path(raw)).selectExpr(
+        "sum(messages)", "sum(stored)", "sum(known)", "sum(late)", "sum(undated)"
+    ).first()
+    # A's second delivery in one batch and later ones, and B's, are known; the bad message is in none
+    assert tuple(totals) == (11, 3, 3, 3, 1)
+
+    assert merge_late(spark, raw) == {"new": 2, "known": 1}
+    whole = in_time | {("2025-02-17", "C", 7): 6, ("20-02-2025", "E", 10): 3}
+    assert stored(spark, raw) == whole
+    assert merge_late(spark, raw) == {"new": 0, "known": 3}
+    assert stored(spark, raw) == whole
+    assert read_latest(spark, raw, SENSOR_BY_DAY).count() == sum(whole.values())
+
+    # the whole source again under a new checkpoint: every trip is known, or late
+    first_trips(spark, source, raw, path_for("checkpoint"))
+    merge_late(spark, raw)
+    assert stored(spark, raw) == whole
+
+
+def test_a_merge_that_broke_off_runs_again(spark, path_for):
+    source, raw, checkpoint = path_for("in"), path_for("raw"), path_for("checkpoint")
+    deliver(spark, source, (1, trip("A", 3, day="2025-02-20")))
+    first_trips(spark, source, raw, checkpoint)
+    deliver(spark, source, (2, trip("B", 4, day="2025-02-01")))
+    first_trips(spark, source, raw, checkpoint)
+    merge_late(spark, raw)
+    whole = stored(spark, raw)
+    # as if the merge had ended before it noted its deliveries
+    remove_path(spark, f"{deliveries_path(raw)}/dt=2025-02-01/batch=late-1")
+    assert merge_late(spark, raw) == {"new": 1, "known": 0}
+    assert stored(spark, raw) == whole
+
+
+def test_an_empty_stream_of_first_trips(spark, path_for):
+    source, raw = path_for("in"), path_for("raw")
+    deliver(spark, source, (1, "{bad"))
+    first_trips(spark, source, raw, path_for("checkpoint"))
+    assert merge_late(spark, raw) == {"new": 0, "known": 0}
+    assert spark.read.schema(FIRST_COUNTERS).parquet(counters_path(raw)).first()["messages"] == 1
