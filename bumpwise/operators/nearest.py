@@ -7,7 +7,8 @@ The network is indexed once (`build_segment_index`) as two tables:
 * `blocks`: for each grid cell with a midpoint in it or next to it, the midpoints of its 3 x 3
   cells. A nearest midpoint found there closer than a cell edge is the nearest of all.
 * `nodes`: the grid at ever coarser levels as a tree. A node with few midpoints lists them, any
-  other lists its child cells with the exact bounds of their midpoints.
+  other lists its child cells with the exact bounds of their midpoints. Where a cell of the
+  finest common level is crowded, it alone is parted further, until its leaves are short.
 
 A point first looks up its block, one equi-join. Positions this does not settle (far from the
 network, or in crowded cells) are made distinct and descend the tree: each round opens the cells
@@ -26,16 +27,17 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from bumpwise.operators.keyed import attach_by_key
-from bumpwise.session import work_path
+from bumpwise.session import store, work_path
 
 BLOCK_BITS = 10  # block cells have an edge of 2**-10 degrees, about 100 m
-FINEST_BITS = 16  # midpoints have 6 to 7 decimals: so small a cell has at most 1,000 positions
+FINEST_BITS = 16  # common to all midpoints: cells of about 1.5 m
+DEEPEST_BITS = 52  # of crowded cells; distinct coordinates in degrees lie apart here
 STEP_BITS = 3  # a cell has at most 64 children
 LIST_LIMIT = 64  # midpoints a node lists itself; more are split among its children
 FAN_OUT = 1 << (2 * STEP_BITS)
 ROOT = -1000  # the level of the root, whose children are the (at most FAN_OUT) coarsest cells
 
-_CELL_LIMIT = 1 << 40
+_CELL_LIMIT = 1 << 60
 _BLOCK_EDGE_SQUARED = 2.0 ** (-2 * BLOCK_BITS)
 
 _ENTRY = (
@@ -91,7 +93,7 @@ def build_segment_index(segments: DataFrame, path: str | None = None) -> Segment
     positions = located.groupBy("mid_lon", "mid_lat").agg(F.min("s_id").alias("s_id"))
 
     bits = FINEST_BITS
-    _write_nodes(_finest_nodes(positions), path, bits)
+    _write_nodes(_finest_level(positions, path), path, bits)
     while True:
         level = _read_nodes(spark, path, bits)
         cells = level.count()
@@ -113,8 +115,10 @@ def open_segment_index(spark: SparkSession, path: str) -> SegmentIndex:
     rounds, parent = 0, ROOT
     if ROOT in fullest:
         rounds = 1
-        while fullest[parent] > LIST_LIMIT and parent != FINEST_BITS:
+        while fullest[parent] > LIST_LIMIT:
             parent = top_bits if parent == ROOT else parent + STEP_BITS
+            if parent not in fullest:
+                break
             rounds += 1
     return SegmentIndex(path, top_bits, rounds)
 
@@ -301,7 +305,37 @@ def _nearest_of(midpoints: str) -> str:
     return f"array_min(transform({midpoints}, e -> struct({distance} AS d2, e.s_id AS s_id)))"
 
 
-def _finest_nodes(positions: DataFrame) -> DataFrame:
+def _finest_level(positions: DataFrame, path: str) -> DataFrame:
+    """The nodes of the finest common level; crowded ones are written with the levels below them.
+
+    The positions of crowded cells are parted on a finer grid until no cell of it has more than
+    LIST_LIMIT of them. They stay dealt out by rows: a cell may hold most of them.
+    """
+    spark = positions.sparkSession
+    x, y = (_cell(F.col(name), FINEST_BITS).alias(alias) for name, alias in (("mid_lon", "cx"), ("mid_lat", "cy")))
+    counts = positions.groupBy(x, y).agg(F.count(F.lit(1)).alias("crowd"))
+    crowded, n_crowded = store(counts.filter(F.col("crowd") > LIST_LIMIT), "crowded-cells")
+    if n_crowded == 0:
+        return _leaves(positions, FINEST_BITS)
+    marked = attach_by_key(positions.select("*", x, y), crowded, ["cx", "cy"], "crowd")
+    marked, _ = store(marked.drop("cx", "cy"), "marked-positions")
+    inside = marked.filter(F.col("crowd").isNotNull())
+    bits = FINEST_BITS
+    while True:
+        bits += STEP_BITS
+        cells = inside.groupBy(_cell(F.col("mid_lon"), bits), _cell(F.col("mid_lat"), bits)).count()
+        if bits >= DEEPEST_BITS or (cells.agg(F.max("count")).first()[0] or 0) <= LIST_LIMIT:
+            break
+    _write_nodes(_leaves(inside, bits), path, bits)
+    while bits > FINEST_BITS + STEP_BITS:
+        bits -= STEP_BITS
+        _write_nodes(_parents(_read_nodes(spark, path, bits + STEP_BITS), bits), path, bits)
+    above = _parents(_read_nodes(spark, path, bits), FINEST_BITS)
+    return _leaves(marked.filter(F.col("crowd").isNull()), FINEST_BITS).unionByName(above.select("cx", "cy", "n", "x1", "x2", "y1", "y2", "entries"))
+
+
+def _leaves(positions: DataFrame, bits: int) -> DataFrame:
+    """Cells with at most LIST_LIMIT positions, which they list."""
     entry = F.struct(
         F.col("mid_lon").alias("x1"), F.col("mid_lon").alias("x2"),
         F.col("mid_lat").alias("y1"), F.col("mid_lat").alias("y2"),
@@ -310,8 +344,8 @@ def _finest_nodes(positions: DataFrame) -> DataFrame:
     )
     return (
         positions.groupBy(
-            _cell(F.col("mid_lon"), FINEST_BITS).alias("cx"),
-            _cell(F.col("mid_lat"), FINEST_BITS).alias("cy"),
+            _cell(F.col("mid_lon"), bits).alias("cx"),
+            _cell(F.col("mid_lat"), bits).alias("cy"),
         )
         .agg(
             F.count(F.lit(1)).alias("n"),

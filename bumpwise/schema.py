@@ -70,6 +70,8 @@ FIRST_COUNTERS = _fields(
     "stored bigint, known bigint, late bigint, undated bigint"
 )
 
+MART_POINTER = _fields("mart string, version string, n_rows bigint")
+
 # what a micro-batch of counts came from
 COUNT_LEDGER = _fields("source string, query string, number int, run bigint, rerun boolean, impacts bigint")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
@@ -15,9 +16,9 @@ from bumpwise.operators import marts
 from bumpwise.operators.facts import append_conflicts, merge_additive
 from bumpwise.operators.ingest import readings
 from bumpwise.options import FactLayout, OutputFiles, RiskLevels
-from bumpwise.schema import ANOMALY_COLUMNS, FACT_COLUMNS, FACT_KEY, SENSOR_COLUMNS, STORED_FACT
+from bumpwise.schema import ANOMALY_COLUMNS, FACT_COLUMNS, FACT_KEY, MART_POINTER, SENSOR_COLUMNS, STORED_FACT
 from bumpwise.session import row_bytes, store, store_measured
-from bumpwise.sources.tables import read_fact
+from bumpwise.sources.tables import pointers_path, read_fact
 
 _SHOWN_KEYS = 10
 
@@ -232,18 +233,23 @@ def refresh_marts(
 ) -> DataFrame:
     """Rebuild the marts, each in a new folder; one that fails does not stop the others.
 
-    Returns a row per mart: `mart`, `status` (ok or failed), `n_rows`, `location`, `error`.
+    A version is published last, by a row that names it (`read_mart` follows the newest), so until
+    then, and if its refresh fails, the version before it is what readers see. Returns a row per
+    mart: `mart`, `status` (ok or failed), `n_rows`, `location`, `error`.
     """
-    version = uuid.uuid4().hex
+    spark = fact.sparkSession
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
     outcome = []
     for name, build in (chosen or standard_marts(as_of)).items():
         location = f"{path}/{name}/{version}"
         written = Observation()
         try:
             build(fact).observe(written, F.count(F.lit(1)).alias("n")).write.parquet(location)
+            pointer = spark.createDataFrame([(name, version, written.get["n"])], MART_POINTER)
+            pointer.coalesce(1).write.mode("append").parquet(pointers_path(path))
             outcome.append((name, "ok", written.get["n"], location, None))
         except Exception as error:  # noqa: BLE001
             outcome.append((name, "failed", None, None, str(error)))
-    return fact.sparkSession.createDataFrame(
+    return spark.createDataFrame(
         outcome, "mart string, status string, n_rows bigint, location string, error string"
     )

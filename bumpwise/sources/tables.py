@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from bumpwise.operators.facts import coerce_fact
 from bumpwise.operators.keyed import attach_by_key
 from bumpwise.operators.roads import parse_geojson_parts, parse_wkt_parts
-from bumpwise.schema import ANOMALY_BY_DAY, SEGMENT, SENSOR_BY_DAY, STORED_FACT
+from bumpwise.schema import ANOMALY_BY_DAY, MART_POINTER, SEGMENT, SENSOR_BY_DAY, STORED_FACT
 from bumpwise.session import store
 
 
@@ -61,6 +61,7 @@ def read_latest(
     schema: T.StructType,
     day: str | None = None,
     deliveries: str | None = None,
+    keep_seq: bool = False,
 ) -> DataFrame:
     """A table written in batches, each trip as last delivered.
 
@@ -69,6 +70,7 @@ def read_latest(
     one without rows. A `day` lists and reads that partition alone. The trips delivered
     more than once are found when this is called, from the key columns, and stored: they are
     few, so the rows themselves need no shuffle, and no join at all where there are none.
+    `keep_seq` adds the number of the delivery.
     """
     marks = [T.StructField("seq", T.LongType()), T.StructField("batch", T.StringType())]
     table = T.StructType(schema.fields + marks)
@@ -87,12 +89,13 @@ def read_latest(
         F.count(F.lit(1)).alias("_rows"),
     )
     repeated, n_repeated = store(counted.filter("_first < _last").drop("_first"), "repeated")
+    wanted = [*schema.names, *(["seq"] if keep_seq else [])]
     if n_repeated == 0:
-        return rows.select(*schema.names)
+        return rows.select(*wanted)
     return (
         attach_by_key(rows, repeated, keys, weight="_rows")
         .filter(F.col("_last").isNull() | (F.col("_delivery") == F.col("_last")))
-        .select(*schema.names)
+        .select(*wanted)
     )
 
 
@@ -166,6 +169,26 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def pointers_path(path: str) -> str:
+    """Where the published versions of the marts under `path` are noted."""
+    return f"{path.rstrip('/')}-current"
+
+
+def current_versions(spark: SparkSession, path: str) -> DataFrame:
+    """`mart`, `version`, `n_rows`: the version of each mart that was published last."""
+    noted = read_if_there(spark, pointers_path(path), MART_POINTER)
+    newest = F.max(F.struct("version", "n_rows")).alias("newest")
+    return noted.groupBy("mart").agg(newest).select("mart", "newest.version", "newest.n_rows")
+
+
+def read_mart(spark: SparkSession, path: str, mart: str) -> DataFrame:
+    """A mart as last published; a refresh that failed or is under way does not show."""
+    row = current_versions(spark, path).filter(F.col("mart") == mart).first()
+    if row is None:
+        raise FileNotFoundError(f"no version of {mart} was published in {path}")
+    return spark.read.parquet(f"{path}/{mart}/{row['version']}")
+
+
 def union_by_name(parts: Sequence[DataFrame]) -> DataFrame:
     """All rows of all parts, columns matched by name, absent ones NULL."""
     if not parts:

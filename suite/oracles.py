@@ -426,6 +426,8 @@ FROM multi, (SELECT unnest(['wkt', 'geojson']) AS form)""",
     "stream_daily_counts": _daily_counts() + "SELECT * FROM counts",
 }
 ORACLES["monthly_counts"] = ORACLES["fact_month_partition"]
+ORACLES["compact_raw"] = ORACLES["write_raw_idempotent"]
+ORACLES["mart_published"] = ORACLES["mart_daily_summary"]
 ORACLES["stream_two_sources"] = ORACLES["stream_daily_counts"]
 ORACLES["stream_late_trips"] = _with(
     "sensor",

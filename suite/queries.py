@@ -27,6 +27,7 @@ from bumpwise.operators.nearest import (
 )
 from bumpwise.options import Box, ImpactRule
 from bumpwise.plans.impacts import impact_counts, map_impacts, monitored, repair_priorities
+from bumpwise.plans import upkeep
 from bumpwise.plans.network import build_segments
 from bumpwise.schema import (
     ANOMALY_COLUMNS,
@@ -346,6 +347,19 @@ def refresh_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status.select("mart", "status", "n_rows")
 
 
+@query
+def mart_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily summary that readers see when the refresh after it has failed."""
+    path, fact = work_path(spark, "marts"), adapters.fact(spark, sf_dir)
+    only = {"daily_summary": marts.daily_summary}
+    sinks.refresh_marts(fact.limit(10), path, chosen=only)
+    sinks.refresh_marts(fact, path, chosen=only)
+    broken = {"daily_summary": lambda rows: marts.daily_summary(rows.withColumn("impact_count", F.raise_error(F.lit("x")).cast("int")))}
+    sinks.refresh_marts(fact, path, chosen=broken)
+    upkeep.remove_old_marts(spark, path)
+    return sources.read_mart(spark, path, "daily_summary")
+
+
 @query
 def lookup_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookups.by_date_range(adapters.fact(spark, sf_dir), "1996-03-01", "1996-04-15")
@@ -443,6 +457,18 @@ def write_raw_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_latest(spark, path, SENSOR_BY_DAY)
 
 
+@query
+def compact_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw table after its days, with redelivered trips, were rewritten as one batch each."""
+    path = work_path(spark, "raw")
+    messages = adapters.messages(spark, sf_dir)
+    for batch in range(3):
+        part = messages.filter(F.pmod("seq", F.lit(3)) >= batch).withColumn("seq", F.col("seq") + (batch << 40))
+        sinks.write_raw(ingest.parse_trips(part), path, batch)
+    upkeep.compact_raw(spark, path)
+    return sources.read_latest(spark, path, SENSOR_BY_DAY)
+
+
 @query
 def scan_raw_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "raw-days")

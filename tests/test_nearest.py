@@ -3,7 +3,9 @@ from __future__ import annotations
 import math
 import random
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from bumpwise.operators import nearest
 from bumpwise.operators.nearest import (
@@ -171,3 +173,52 @@ def test_a_cell_opened_in_vain_keeps_the_midpoint_found_before(spark, monkeypatc
     index = build_segment_index(network(spark, midpoints))
     got = mapped(nearest_segment(points(spark, places), index))
     assert got == brute_force(midpoints, places)
+
+
+def test_a_crowd_within_a_metre(spark):
+    """Far more midpoints in one cell of the finest common level than a node may list."""
+    n = 100_000
+    crowd = spark.range(n).select(
+        F.format_string("c%06d", "id").alias("s_id"), F.lit("L").alias("link_id"),
+        (F.lit(127.5) + F.pmod(F.xxhash64("id", F.lit(1)), F.lit(10**9)) * 1e-14).alias("start_lon"),
+        (F.lit(34.5) + F.pmod(F.xxhash64("id", F.lit(2)), F.lit(10**9)) * 1e-14).alias("start_lat"),
+    )
+    crowd = crowd.select("*", F.col("start_lon").alias("end_lon"), F.col("start_lat").alias("end_lat"))
+    rng = random.Random(4)
+    others = [(f"o{i:03d}", 127.5 + rng.uniform(-0.01, 0.01), 34.5 + rng.uniform(-0.01, 0.01)) for i in range(200)]
+    whole = crowd.unionByName(network(spark, others)).repartition(6)
+    index = build_segment_index(whole)
+    longest = index.nodes(spark).agg(F.max(F.size("entries"))).first()[0]
+    assert longest <= nearest.LIST_LIMIT
+    places = [(127.5 + rng.uniform(0, 1e-5), 34.5 + rng.uniform(0, 1e-5)) for _ in range(60)]
+    places += [(127.5 + rng.uniform(-0.02, 0.02), 34.5 + rng.uniform(-0.02, 0.02)) for _ in range(40)]
+    places += [(127.0, 30.0), (127.5, 34.5), (float("nan"), 1.0)]
+    mids = whole.select("s_id", "start_lon", "start_lat").collect()
+    order = sorted((row[0], row[1], row[2]) for row in mids)
+    ids, xs, ys = zip(*order, strict=True)
+    xs, ys = np.array(xs), np.array(ys)
+    wanted = {}
+    for at, (lon, lat) in enumerate(places):
+        distance = (xs - lon) * (xs - lon) + (ys - lat) * (ys - lat)
+        wanted[at] = ids[int(distance.argmin())] if math.isfinite(lon) else None
+    assert mapped(nearest_segment(points(spark, places), index)) == wanted
+    reopened = open_segment_index(spark, index.path)
+    assert reopened == index and mapped(nearest_segment(points(spark, places), reopened)) == wanted
+
+
+def test_a_crowd_of_copies_is_one_position(spark):
+    same = [(f"{i:04d}", 127.5, 34.5) for i in range(500)] + [("x", 127.500001, 34.5)]
+    index = build_segment_index(network(spark, same))
+    assert mapped(nearest_segment(points(spark, [(127.5, 34.5), (128.0, 34.5)]), index)) == {0: "0000", 1: "x"}
+
+
+def test_two_crowds_of_different_depth(spark):
+    rng = random.Random(8)
+    wide = [(f"a{i:03d}", 10.0 + rng.random() * 1e-5, 20.0 + rng.random() * 1e-5) for i in range(300)]
+    deep = [(f"b{i:03d}", -10.0 - i * 2.0**-48, -20.0) for i in range(300)]
+    mids = wide + deep
+    index = build_segment_index(network(spark, mids))
+    assert index.nodes(spark).agg(F.max(F.size("entries"))).first()[0] <= nearest.LIST_LIMIT
+    places = [(10.0 + rng.random() * 1e-5, 20.0 + rng.random() * 1e-5) for _ in range(30)]
+    places += [(-10.0 - i * 2.0**-48, -20.0) for i in range(0, 300, 17)] + [(0.0, 0.0)]
+    assert mapped(nearest_segment(points(spark, places), index)) == brute_force(mids, places)
