@@ -127,23 +127,26 @@ def _packed(words: int, bits: int) -> Callable:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _pieces(batches, "_text"):
             sets = {_name(s): s for s in shingle_sets(batch.column("_text"), words) if len(s)}
-            edges = (np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else np.empty(0, np.uint64)
-            cuts = [np.concatenate(([0], np.searchsorted(s, edges), [len(s)])) for s in sets.values()]
             names, sizes = np.array(list(sets), np.int64), np.array([len(s) for s in sets.values()], np.int64)
-            rows: list[tuple] = []
-            for bucket in range(1 << bits):
-                spans = [(cut[bucket], cut[bucket + 1]) for cut in cuts]
-                counts = np.array([end - start for start, end in spans], np.int64)
-                if not counts.sum():
-                    continue
-                some = counts > 0
-                parts = [s[start:end] for s, (start, end) in zip(sets.values(), spans, strict=True)]
-                told = (np.concatenate(parts) << np.uint64(bits)) >> np.uint64(64 - 8 * _KEPT_BYTES)
-                told = told.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_KEPT_BYTES]
-                rows.append(
-                    (bucket, names[some].tobytes(), sizes[some].astype("<i4").tobytes(),
-                     counts[some].astype("<i4").tobytes(), told.tobytes())
-                )
+            shingles = np.concatenate([np.empty(0, np.uint64), *sets.values()])
+            # in the order of bucket and owner; the cost does not depend on the number of buckets
+            bucket = shingles >> np.uint64(64 - bits)
+            order = np.argsort(bucket, kind="stable")
+            shingles, bucket = shingles[order], bucket[order]
+            owner = np.repeat(np.arange(len(names)), sizes)[order]
+            told = (shingles << np.uint64(bits)) >> np.uint64(64 - _kept_bits(bits))
+            told = told.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_KEPT_BYTES]
+            new_bucket = np.concatenate(([True], bucket[1:] != bucket[:-1]))[: len(bucket)]
+            runs = np.flatnonzero(new_bucket | np.concatenate(([True], owner[1:] != owner[:-1]))[: len(bucket)])
+            counts = np.diff(np.concatenate((runs, [len(bucket)])))
+            starts = np.flatnonzero(new_bucket)
+            ends = np.concatenate((starts[1:], [len(bucket)]))[: len(starts)]
+            spans = np.searchsorted(runs, starts), np.searchsorted(runs, ends)
+            rows = [
+                (int(bucket[start]), names[owner[runs[a:b]]].tobytes(), sizes[owner[runs[a:b]]].astype("<i4").tobytes(),
+                 counts[a:b].astype("<i4").tobytes(), told[start:end].tobytes())
+                for start, end, a, b in zip(starts.tolist(), ends.tolist(), *(x.tolist() for x in spans), strict=True)
+            ]
             columns = list(zip(*rows, strict=True)) or [()] * 5
             kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
@@ -154,33 +157,42 @@ def _packed(words: int, bits: int) -> Callable:
     return work
 
 
-def _shared(bucket: pa.Table) -> pa.Table:
+def _kept_bits(bits: int) -> int:
+    """Of a hash, the bits that are kept after the `bits` that tell the bucket."""
+    return min(8 * _KEPT_BYTES, 64 - bits)
+
+
+def _shared(bits: int) -> Callable:
     """(node, size, shingle, df) of a bucket's shingles that at least two nodes have."""
-    joined = lambda name, kind: np.frombuffer(b"".join(bucket.column(name).to_pylist()), kind)
-    nodes, sizes, counts = joined("nodes", np.int64), joined("sizes", "<i4"), joined("counts", "<i4")
-    packed = joined("shingles", np.uint8).reshape(-1, _KEPT_BYTES)
-    shingles = np.zeros((len(packed), 8), np.uint8)
-    shingles[:, :_KEPT_BYTES] = packed
-    shingles = shingles.view("<u8").ravel()
-    first = np.zeros(len(nodes), bool)  # a node that came from several pieces counts once
-    first[np.unique(nodes, return_index=True)[1]] = True
-    kept = np.repeat(first, counts)
-    shingles, owner = shingles[kept], np.repeat(np.flatnonzero(first), counts[first])
-    order = np.argsort(shingles)
-    shingles, owner = shingles[order], owner[order]
-    starts = np.flatnonzero(np.concatenate(([True], shingles[1:] != shingles[:-1])))
-    df = np.diff(np.concatenate((starts, [len(shingles)])))
-    several = np.repeat(df, df) > 1
-    owner = owner[several]
-    shingles |= np.uint64(bucket.column("bucket")[0].as_py()) << np.uint64(8 * _KEPT_BYTES)
-    return pa.table(
-        {
-            "node": pa.array(nodes[owner]),
-            "size": pa.array(sizes[owner].astype(np.int32)),
-            "shingle": pa.array(shingles[several].view(np.int64)),
-            "df": pa.array(np.repeat(df, df)[several].astype(np.int32)),
-        }
-    )
+
+    def work(bucket: pa.Table) -> pa.Table:
+        joined = lambda name, kind: np.frombuffer(b"".join(bucket.column(name).to_pylist()), kind)
+        nodes, sizes, counts = joined("nodes", np.int64), joined("sizes", "<i4"), joined("counts", "<i4")
+        packed = joined("shingles", np.uint8).reshape(-1, _KEPT_BYTES)
+        shingles = np.zeros((len(packed), 8), np.uint8)
+        shingles[:, :_KEPT_BYTES] = packed
+        shingles = shingles.view("<u8").ravel()
+        first = np.zeros(len(nodes), bool)  # a node that came from several pieces counts once
+        first[np.unique(nodes, return_index=True)[1]] = True
+        kept = np.repeat(first, counts)
+        shingles, owner = shingles[kept], np.repeat(np.flatnonzero(first), counts[first])
+        order = np.argsort(shingles)
+        shingles, owner = shingles[order], owner[order]
+        starts = np.flatnonzero(np.concatenate(([True], shingles[1:] != shingles[:-1])))
+        df = np.diff(np.concatenate((starts, [len(shingles)])))
+        several = np.repeat(df, df) > 1
+        owner = owner[several]
+        shingles |= np.uint64(bucket.column("bucket")[0].as_py()) << np.uint64(_kept_bits(bits))
+        return pa.table(
+            {
+                "node": pa.array(nodes[owner]),
+                "size": pa.array(sizes[owner].astype(np.int32)),
+                "shingle": pa.array(shingles[several].view(np.int64)),
+                "df": pa.array(np.repeat(df, df)[several].astype(np.int32)),
+            }
+        )
+
+    return work
 
 
 def _prefix(size: Column, percent: int) -> Column:
@@ -203,7 +215,7 @@ def _linked(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 def similar_nodes(documents: DataFrame, how: Similarity, text_bytes: int) -> DataFrame:
     """`node, component` of the nodes that link with another one."""
-    bits = max(4, min(16, (max(1, text_bytes // _BYTES_PER_BUCKET) - 1).bit_length()))
+    bits = max(4, (max(1, text_bytes // _BYTES_PER_BUCKET) - 1).bit_length())
     shared = (
         documents.select(F.col("text").alias("_text"))
         .mapInArrow(
@@ -211,7 +223,7 @@ def similar_nodes(documents: DataFrame, how: Similarity, text_bytes: int) -> Dat
             "bucket int, nodes binary, sizes binary, counts binary, shingles binary",
         )
         .groupBy("bucket")
-        .applyInArrow(_shared, "node long, size int, shingle long, df int")
+        .applyInArrow(_shared(bits), "node long, size int, shingle long, df int")
     )
     # a node's list is as long as its document at most
     listed = shared.groupBy("node", "size").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("ordered"))
