@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from bumpwise.llm.common import stored
-from bumpwise.session import work_path
+from bumpwise.session import remove_path, work_path
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -34,12 +34,12 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     return made.where("a < b").distinct()
 
 
-def _marked(links: DataFrame) -> tuple[DataFrame, dict]:
-    """A stored copy, and its number of rows and a hash of them, taken while it was written."""
+def _marked(links: DataFrame) -> tuple[DataFrame, dict, str]:
+    """A stored copy, its number of rows and a hash of them, taken while it was written, and its path."""
     seen, path = Observation(), work_path(links.sparkSession, "links")
     hashed = F.bit_xor(F.xxhash64("a", "b")).alias("hash")
     links.observe(seen, F.count(F.lit(1)).alias("n"), hashed).write.parquet(path)
-    return links.sparkSession.read.schema(links.schema).parquet(path), dict(seen.get)
+    return links.sparkSession.read.schema(links.schema).parquet(path), dict(seen.get), path
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -50,11 +50,12 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     ordered = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     own = ordered.where("a = b").select(F.col("a").alias("node")).distinct()
     own = stored(own, "alone")
-    now, mark = _marked(ordered.where("a < b").distinct())
+    now, mark, path = _marked(ordered.where("a < b").distinct())
     for _ in range(most_rounds):
-        last = mark
+        last, done = mark, path
         if last["n"]:
-            now, mark = _marked(_star(_star(now, True), False))
+            now, mark, path = _marked(_star(_star(now, True), False))
+            remove_path(links.sparkSession, done)  # its round is over
         if mark == last:  # a round that changes nothing
             break
     else:

@@ -37,11 +37,13 @@ from pyspark.sql import functions as F
 from bumpwise.llm.common import stored, table
 from bumpwise.llm.graph import components
 from bumpwise.llm.texts import lowered_texts
+from bumpwise.session import store
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _CHUNK_BYTES = 1 << 23
 _BYTES_PER_BUCKET = 1 << 23
 _KEPT_BYTES = 6  # of a shingle's hash, after the bits that its bucket tells
+_BROADCAST_ROWS = 1_000_000  # of one number each
 _LED = 4  # most frequent shingles of a prefix whose lists are compared with one member first
 
 
@@ -205,8 +207,16 @@ def _fits(a: str, b: str, percent: int) -> Column:
 
 
 def _linked(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets are similar enough, by exact intersection."""
-    side = lambda to: nodes.select(F.col("node").alias(to), F.col("size").alias(f"size_{to}"), F.col("shared").alias(f"shared_{to}"))
+    """The pairs (a, b) of nodes whose sets are similar enough, by exact intersection.
+
+    Only the sets of nodes in a pair are moved, and dealt out once for both sides.
+    """
+    pairs = stored(pairs, "jaccard-pairs")
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+    involved, n_involved = store(ends.distinct(), "jaccard-involved")
+    involved = F.broadcast(involved) if n_involved <= _BROADCAST_ROWS else involved
+    sets = nodes.select("node", "size", "shared").join(involved, "node", "left_semi").repartition("node")
+    side = lambda to: sets.select(F.col("node").alias(to), F.col("size").alias(f"size_{to}"), F.col("shared").alias(f"shared_{to}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     common = F.size(F.array_intersect("shared_a", "shared_b")).cast("long")
     union = F.col("size_a") + F.col("size_b") - common
@@ -258,7 +268,7 @@ def similar_nodes(documents: DataFrame, how: Similarity, text_bytes: int) -> Dat
     needed = F.floor((total * how.percent + 99 + how.percent) / F.lit(100 + how.percent))
     filtered = _fits("size_a", "size_b", how.percent) & (F.least("rest_a", "rest_b") >= needed)
 
-    drawn = F.struct(F.xxhash64("group", "shingle").alias("h"), "group", "size", "prefix", "alone", "place")
+    drawn = F.struct(F.xxhash64("group", "shingle").alias("h"), "group", "size", "alone", "place")
     led = postings.where(F.col("place") >= F.size("prefix") - _LED)
     leaders = led.groupBy("shingle").agg(F.min(drawn).alias("l"), F.count(F.lit(1)).alias("n")).where("n > 1")
     leaders = leaders.select(
@@ -288,7 +298,8 @@ def similar_nodes(documents: DataFrame, how: Similarity, text_bytes: int) -> Dat
     spans = placed.groupBy("group").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     spread = postings.join(spans, "group")
     open_lists = spread.groupBy("shingle").agg(F.min("low").alias("l"), F.max("high").alias("h")).where("l < h").select("shingle")
-    left = stored(spread.join(open_lists, "shingle"), "jaccard-open")
+    # dealt out once for both sides
+    left = spread.join(open_lists, "shingle").repartition("shingle")
     ends = lambda to: left.select(
         "shingle", F.col("group").alias(to), F.col("size").alias(f"size_{to}"), F.col("prefix").alias(f"prefix_{to}"),
         (F.col("size") - F.col("alone") - F.col("place")).alias(f"rest_{to}"),
