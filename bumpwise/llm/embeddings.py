@@ -13,8 +13,10 @@ Equal vectors are one node with a multiplicity before any comparison. A cell wit
 into tiles by hash, and tiles meet in pairs: one task holds two tiles at most. A task returns the
 number of links of each node and a spanning forest of the links, never the pairs.
 
-Nulls: vectors that are null, zero, of another length than most, or hold null or non-finite
-components link with nothing. A null id takes part; its component is the smallest id that is not
+Vectors of different lengths cannot be alike; each length that several different vectors have is
+joined by itself, with a rotation of its own.
+
+Nulls: vectors that are null, zero, or hold null or non-finite components link with nothing. A null id takes part; its component is the smallest id that is not
 null. Repeated rows are vectors of their own, linked with each other. An empty table gives an
 empty result.
 """
@@ -162,33 +164,8 @@ def _compare(
     return work
 
 
-def near_duplicates(
-    vectors: DataFrame, id_column: str, vector_column: str, cosine: float = COSINE
-) -> DataFrame:
-    """`vec_id, n_links, component_id, kept` for each row of `vectors`."""
-    rows = vectors.select(F.col(id_column).alias("vec_id"), F.col(vector_column).alias("vector"))
-    if dict(rows.dtypes)["vector"] != "array<float>":
-        rows = rows.withColumn("vector", F.col("vector").cast("array<double>"))
-    zero = F.lit(0).cast("float" if dict(rows.dtypes)["vector"] == "array<float>" else "double")
-    lengths = rows.groupBy(F.size("vector").alias("n")).count().where("n > 0")
-    usual = lengths.orderBy(F.desc("count"), "n").first()
-    width = usual["n"] if usual else 0
-    finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    usable = (F.size("vector") == width) & finite & F.exists("vector", lambda x: x != 0)
-    named = F.when(F.coalesce(usable, F.lit(False)), F.transform("vector", lambda x: x + zero))
-    # equal vectors are one node, named by a 64-bit hash of the components (0.0 for -0.0)
-    rows = rows.select("vec_id", named.alias("vector"))
-    rows = stored(rows.withColumn("node", F.when(F.col("vector").isNotNull(), F.xxhash64("vector"))), "vectors")
-    if not width:
-        return rows.select(
-            "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")
-        )
-    nodes = stored(
-        rows.where("node is not null").groupBy("node").agg(
-            F.first("vector").alias("vector"), F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("least")
-        ),
-        "vector-nodes",
-    )
+def _links(nodes: DataFrame, width: int, cosine: float) -> DataFrame:
+    """(node, to, links) of vectors of one length, stored: number of links and a spanning forest."""
     axes, variances = rotation(nodes, width)
     blocks = blocks_of(variances, BLOCK_DIMENSIONS)
     shares = np.array([variances[block].sum() for block in blocks]) + 1e-12 * max(variances.sum(), 1e-300)
@@ -233,12 +210,40 @@ def near_duplicates(
         ),
     ).otherwise(none)
     roles = placed.select("node", "block", "copies", "vector", F.explode(F.concat(own, following, leading)).alias("r"))
-    met = stored(
+    return stored(
         roles.select("node", "block", "copies", "vector", "r.*")
         .groupBy("block", "at", "step", "first", "second")
         .applyInArrow(_compare(width, axes, blocks, budgets, cosine), "node long, to long, links long"),
         "vector-links",
     )
+
+
+def near_duplicates(
+    vectors: DataFrame, id_column: str, vector_column: str, cosine: float = COSINE
+) -> DataFrame:
+    """`vec_id, n_links, component_id, kept` for each row of `vectors`."""
+    rows = vectors.select(F.col(id_column).alias("vec_id"), F.col(vector_column).alias("vector"))
+    if dict(rows.dtypes)["vector"] != "array<float>":
+        rows = rows.withColumn("vector", F.col("vector").cast("array<double>"))
+    zero = F.lit(0).cast("float" if dict(rows.dtypes)["vector"] == "array<float>" else "double")
+    finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    usable = finite & F.exists("vector", lambda x: x != 0)
+    named = F.when(F.coalesce(usable, F.lit(False)), F.transform("vector", lambda x: x + zero))
+    # equal vectors are one node, named by a 64-bit hash of the components (0.0 for -0.0)
+    rows = rows.select("vec_id", named.alias("vector"))
+    name = F.xxhash64(F.size("vector"), "vector")
+    rows = stored(rows.withColumn("node", F.when(F.col("vector").isNotNull(), name)), "vectors")
+    nodes = stored(
+        rows.where("node is not null").groupBy("node").agg(
+            F.first("vector").alias("vector"), F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("least")
+        ),
+        "vector-nodes",
+    )
+    lengths = nodes.groupBy(F.size("vector").alias("n")).count().orderBy("n").collect()  # a row per length
+    met = rows.sparkSession.createDataFrame([], "node long, to long, links long")
+    for width in (row["n"] for row in lengths if row["count"] > 1):
+        same = nodes if len(lengths) == 1 else nodes.where(F.size("vector") == width)
+        met = met.unionByName(_links(same, width, cosine))
     counts = met.groupBy("node").agg(F.sum("links").alias("links"))
     clusters = stored(components(met.select(F.col("node").alias("a"), F.col("to").alias("b"))), "vector-components")
     ends = (
