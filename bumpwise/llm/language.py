@@ -13,6 +13,8 @@ Nulls: a null text, or one without a letter, is `und` with score 0. Rows with a
 nothing, and with nothing taught every text is `und`. Ties go to the language first by code point.
 Repeated rows count and are answered each time. Texts are read whole. An empty table gives an
 empty result. Columns of the input other than those asked for play no part.
+
+Memory: a text is never cut, but the vectors of its trigrams are made some thousands at a time.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ SEED = 863
 UNKNOWN = "und"
 FOLDS, HELD_OUT = 4, 2
 _CHUNK_CHARS = 1 << 19
+_KEPT_TRIGRAMS = 1 << 16  # vectors kept of a chunk; of more distinct trigrams they are made in slices
+_AT_ONCE = 4096
 
 
 @lru_cache(maxsize=1)
@@ -58,11 +62,36 @@ def _chunks(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
         yield first, chunk
 
 
-def trigrams(texts: list[str], groups: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(group, row of `vectors`, count) of the texts' trigrams and the trigrams' vectors.
+class Bound:
+    """The vectors of distinct trigrams, made for those asked for, or kept if there are few."""
+
+    def __init__(self, letters: np.ndarray, first: np.ndarray, second: np.ndarray, third: np.ndarray):
+        self.rolled = [np.roll(letters, turn, axis=1) for turn in (2, 1)] + [letters]
+        self.places = (first, second, third)
+        self.kept = self._made(slice(None)) if len(first) <= _KEPT_TRIGRAMS else None
+
+    def _made(self, rows) -> np.ndarray:
+        parts = [vectors[places[rows]] for vectors, places in zip(self.rolled, self.places, strict=True)]
+        return parts[0] * parts[1] * parts[2]
+
+    def bundle(self, counts: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """The sum of the trigrams' vectors, each as often as counted, some thousands at a time."""
+        total = np.zeros(DIMENSIONS)
+        for start in range(0, len(rows), _AT_ONCE):
+            some = rows[start : start + _AT_ONCE]
+            vectors = self._made(some) if self.kept is None else self.kept[some]
+            # counts and sums are whole numbers; a slice's sums stay far below 2**24
+            weights = counts[start : start + _AT_ONCE]
+            kind = np.float32 if weights.sum() < 1 << 24 else np.float64
+            total += weights.astype(kind) @ vectors.astype(kind)
+        return total
+
+
+def trigrams(texts: list[str], groups: np.ndarray) -> tuple[np.ndarray, np.ndarray, Bound]:
+    """(group, trigram, count) of the texts' trigrams and the trigrams' vectors.
 
-    `groups` says which group each text counts for. Returns groups and counts aligned with
-    `rows`: three arrays packed as (2 x n of group and count, rows, vectors).
+    `groups` says which group each text counts for. Returns groups and counts, aligned with the
+    trigrams' rows in the vectors: (2 x n of group and count, rows, vectors).
     """
     lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
     codes = np.frombuffer(("\n".join(texts) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -87,8 +116,7 @@ def trigrams(texts: list[str], groups: np.ndarray) -> tuple[np.ndarray, np.ndarr
     # the boundary's vector is drawn from code point 0, which is no letter
     vectors = np.stack([_letter_vector(int(code)) for code in (0, *letters)])
     first, second, third = different // base**2, different // base % base, different % base
-    bound = np.roll(vectors, 2, axis=1)[first] * np.roll(vectors, 1, axis=1)[second] * vectors[third]
-    return np.stack((group, counts)), row, bound
+    return np.stack((group, counts)), row, Bound(vectors, first, second, third)
 
 
 def _teach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,8 +131,7 @@ def _teach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             (group, counts), rows, bound = trigrams(chunk, groups)
             for at, name in enumerate(names):
                 mine = group == at
-                weight = counts[mine].astype(np.float64)
-                total = np.rint(weight @ bound[rows[mine]].astype(np.float64)).astype(np.int64)
+                total = np.rint(bound.bundle(counts[mine], rows[mine])).astype(np.int64)
                 sums[name] = sums.get(name, 0) + total
     names = [name for name in sums for _ in range(DIMENSIONS)]
     places = np.tile(np.arange(DIMENSIONS, dtype=np.int32), len(sums))
@@ -144,13 +171,12 @@ def _answer(
             names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
             for first, chunk in _chunks(texts) if languages else ():
                 (group, counts), rows, bound = trigrams(chunk, np.arange(len(chunk)))
-                bound = bound.astype(np.float32)
                 edges = np.searchsorted(group, np.arange(len(chunk) + 1))
                 for at in range(len(chunk)):
                     start, end = edges[at], edges[at + 1]
                     if start == end:
                         continue
-                    vector = (counts[start:end].astype(np.float32) @ bound[rows[start:end]]).astype(np.float64)
+                    vector = bound.bundle(counts[start:end], rows[start:end])
                     cosines = vector @ units / max(np.linalg.norm(vector), 1e-300)
                     best = int(np.argmax(cosines))
                     names[first + at] = languages[best]
