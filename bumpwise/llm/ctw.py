@@ -370,12 +370,13 @@ def _add_up(keep: list[str], total: float, vocabulary: float) -> Callable:
         word, uses = word[order], uses[order]
         n = block.num_rows
         score, base = np.zeros(n), np.zeros(n)
-        n_tokens, n_known = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        n_tokens, n_known, n_bytes = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
         for row, texts in _slices(block.column("_text")):
             some, here = _Texts(texts), slice(row, row + len(texts))
             for found, begin, owner in some.windows():
                 each = np.repeat(chance[np.searchsorted(window, found)], np.diff(np.append(begin, len(owner))))
                 score[here] += np.bincount(owner, each, minlength=len(texts))
+                n_bytes[here] += np.bincount(owner, minlength=len(texts))
             hashes, tokens, owner = some.words()
             used = uses[np.searchsorted(word, hashes)]
             worth = np.log10((used + 0.5) / (total + 0.5 * (vocabulary + 1)))
@@ -386,6 +387,7 @@ def _add_up(keep: list[str], total: float, vocabulary: float) -> Callable:
         columns |= {
             "n_tokens": pa.array(n_tokens), "n_known": pa.array(n_known),
             "train_tokens": pa.array(np.full(n, int(total))), "base_score": pa.array(base), "score": pa.array(score),
+            "n_bytes": pa.array(n_bytes), "bits_per_byte": pa.array(-score * math.log2(10) / np.maximum(n_bytes, 1)),
         }
         return pa.table(columns)
 
@@ -395,6 +397,7 @@ def _add_up(keep: list[str], total: float, vocabulary: float) -> Callable:
 def score(documents: DataFrame, taught: Column, keep: dict[str, Column]) -> DataFrame:
     """`keep` (name -> expression) with the counts and scores of each row's text.
 
+    `bits_per_byte` is the code length per byte, over the text's bytes and its end mark (`n_bytes`).
     `taught` says which rows the model learns from.
     """
     size = documents.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
@@ -435,7 +438,8 @@ def score(documents: DataFrame, taught: Column, keep: dict[str, Column]) -> Data
         .cogroup(replies.groupBy("_block"))
         .applyInArrow(
             _add_up(list(keep), total, vocabulary),
-            f"{shape}n_tokens long, n_known long, train_tokens long, base_score double, score double",
+            f"{shape}n_tokens long, n_known long, train_tokens long, base_score double, score double, "
+            "n_bytes long, bits_per_byte double",
         )
     )
 
