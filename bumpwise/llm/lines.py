@@ -24,7 +24,7 @@ import random
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bumpwise.llm.common import WORD, stored, table, with_fixed
+from bumpwise.llm.common import WORD, fresh, stored, table, with_fixed
 from bumpwise.llm.graph import components
 from bumpwise.session import store
 
@@ -148,25 +148,32 @@ def removed_lines(documents: DataFrame) -> DataFrame:
 
 
 def without_repeats(documents: DataFrame) -> DataFrame:
-    """`documents` with their repeated lines removed, and `_n_lines`, `_n_removed`."""
+    """`documents` with their repeated lines removed, and `_n_lines`, `_n_removed`.
+
+    Where `documents` has columns of these names, the new ones have one more underscore in front.
+    """
     places, n_places = store(removed_lines(documents), "line-removed")
+    taken = documents.columns
+    key_id, key_hash, places_, split_ = (fresh(name, taken) for name in ("_key_id", "_key_hash", "_gone", "_split"))
     # a document's list is as long as its lines at most
-    gone = places.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(
-        F.collect_list("place").alias("gone")
+    gone = places.groupBy(F.col("doc_id").alias(key_id), F.col("text_hash").alias(key_hash)).agg(
+        F.collect_list("place").alias(places_)
     )
     gone = F.broadcast(gone) if n_places <= BROADCAST_ROWS else gone
     joined = documents.join(
-        gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left"
+        gone, F.col("doc_id").eqNullSafe(F.col(key_id)) & (F.xxhash64("text") == F.col(key_hash)), "left"
     )
-    lines = F.split("text", "\n")
-    worded = F.size(F.filter(lines, lambda line: line.rlike(WORD)))
-    kept = F.filter(lines, lambda line, place: ~F.array_contains("gone", place))
-    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    columns = [text.alias("text") if name == "text" else F.col(f"`{name}`") for name in documents.columns]
+    joined = with_fixed(joined, {split_: F.split("text", "\n")})
+    worded = F.size(F.filter(split_, lambda line: line.rlike(WORD)))
+    # linear in the lines, however many go
+    kept = F.array_except(F.sequence(F.lit(0), F.size(split_) - 1), places_)
+    kept = F.array_join(F.transform(kept, lambda place: F.get(split_, place)), "\n")
+    text = F.when(F.col(places_).isNull(), F.col("text")).otherwise(kept)
+    columns = [text.alias("text") if name == "text" else F.col(f"`{name}`") for name in taken]
     return joined.select(
         *columns,
-        F.when(F.col("text").isNull(), 0).otherwise(worded).alias("_n_lines"),
-        F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).alias("_n_removed"),
+        F.when(F.col("text").isNull(), 0).otherwise(worded).alias(fresh("_n_lines", taken)),
+        F.when(F.col(places_).isNull(), 0).otherwise(F.size(places_)).alias(fresh("_n_removed", taken)),
     )
 
 
