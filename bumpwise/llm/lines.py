@@ -3,14 +3,21 @@
 Lines (split at \\n, ASCII white space trimmed) are compared by the Jaccard similarity of their
 character shingles. Equal lines are one node, named by a 64-bit hash. A node's signature is the
 minima of `BANDS * ROWS` permutations (rotations and exclusive ors of one hash) over all its
-shingles, by one rule for lines of any length and script. Signatures are aggregated from exploded
-shingles, so they run in generated code. Nodes that agree on a band are candidates.
+shingles, by one rule for lines of any length and script. The shingles are dealt to `CLASSES` by
+their hash, and a band's permutations put one class before all others, so a shingle counts for the
+bands of its class alone; a line without shingles of a class has no bands of it. Different lines
+are signed once each, from exploded shingles in generated code. Nodes that agree on a band are
+candidates.
 
-Candidates are verified exactly on all their shingles. A band's nodes are not joined with each
-other at once: first each is compared with one of them, links give components by distributed
-union-find, then the rest is compared across components. Of each component one line stays: that of
-the smallest (doc_id, place), ids that are null coming last. Every other line of it is removed,
-also within a document.
+A band's nodes are not joined with each other at once: first each is compared with one of them,
+links give components by distributed union-find, then the rest is compared across components. Two
+nodes are first compared by sketches, bitmaps of their shingles' hashes: bits that only one of two
+sketches has are shingles that the other lacks, which bounds the similarity from above. That loses
+no link. What the bound leaves is verified exactly on all shingles. Across components the pairs
+of a band are still met one by one, though only those within the bound become rows.
+
+Of each component one line stays: that of the smallest (doc_id, place), ids that are null coming
+last. Every other line of it is removed, also within a document.
 
 Nulls: a null text has no lines and stays null. Lines without a word are never compared and stay.
 Rows with equal id and text are one document and get one result. Texts are read whole. An empty
@@ -31,21 +38,39 @@ from bumpwise.session import store
 SHINGLE = 9
 PERCENT = 80
 BANDS, ROWS = 8, 4
+CLASSES = 4  # a power of two that divides BANDS
+SKETCH_WORDS = 16  # of 64 bits
 SEED = 7
 SPACES = " \t\x0b\x0c\r"
 BROADCAST_ROWS = 1_000_000  # of one or two numbers each
 
 
-def shingles(line: Column) -> Column:
-    """All overlapping shingles of a line; a shorter line is one shingle."""
-    every = F.regexp_extract_all(line, F.lit(rf"(?s)(?=(.{{{SHINGLE}}}))"), F.lit(1))
-    return F.when(F.char_length(line) < SHINGLE, F.array(line)).otherwise(every)
+def _wide(line: Column) -> Column:
+    """The line in four bytes a character, so that a shingle is cut out in constant time."""
+    return F.encode(line, "UTF-32")
+
+
+def _starts(wide: Column) -> Column:
+    """The starts of all overlapping shingles; a shorter line is one shingle."""
+    return F.sequence(F.lit(0), F.greatest(F.expr("0"), (F.octet_length(wide) / 4).cast("int") - SHINGLE))
+
+
+def _hashed(wide: Column, start: Column) -> Column:
+    return F.xxhash64(F.substring(wide, start * 4 + 1, F.lit(4 * SHINGLE)))
+
+
+def _exploded(lines: DataFrame) -> DataFrame:
+    """`node, h`: the hashes of all shingles of each line."""
+    wide = lines.select("node", _wide(F.col("line")).alias("wide"))
+    return wide.select("node", "wide", F.explode(_starts(F.col("wide"))).alias("start")).select(
+        "node", _hashed(F.col("wide"), F.col("start")).alias("h")
+    )
 
 
 def _minima(hashed: Column) -> list[Column]:
     """One minimum per permutation; the rows of a band use rotations that are far apart."""
     draw, minima = random.Random(SEED), []
-    for band in range(BANDS):
+    for band in range(BANDS // CLASSES):
         for row in range(ROWS):
             turn, mask = 2 * band + 64 // ROWS * row, draw.getrandbits(31)
             turned = hashed
@@ -56,6 +81,42 @@ def _minima(hashed: Column) -> list[Column]:
     return minima
 
 
+def bands(lines: DataFrame) -> DataFrame:
+    """`node, band` of lines (node, line), of which each node has one."""
+    # classes by bits in the middle of the hash, sketches by its lowest ones
+    signed = _exploded(lines).groupBy("node", F.shiftright("h", 20).bitwiseAND(F.lit(CLASSES - 1)).alias("class")).agg(*_minima(F.col("h")))
+    keys = [
+        F.xxhash64("class", F.lit(band), *[F.col(f"m{band}_{row}") for row in range(ROWS)])
+        for band in range(BANDS // CLASSES)
+    ]
+    return signed.select("node", F.explode(F.array(*keys)).alias("band"))
+
+
+def sketches(lines: DataFrame) -> DataFrame:
+    """`node, n, w0, w1, ...`: the number of shingles, repeats counted, and a bitmap of their hashes."""
+    bit = F.expr("shiftleft(1L, int(h & 63))")
+    word = F.shiftright("h", 6).bitwiseAND(F.lit(SKETCH_WORDS - 1))
+    words = [F.bit_or(F.when(word == k, bit).otherwise(F.lit(0).cast("long"))).alias(f"w{k}") for k in range(SKETCH_WORDS)]
+    return _exploded(lines).groupBy("node").agg(F.count(F.lit(1)).alias("n"), *words)
+
+
+def _sketch(to: str) -> list[Column]:
+    return [F.col(name).alias(f"{name}_{to}") for name in ("n", *[f"w{k}" for k in range(SKETCH_WORDS)])]
+
+
+def _may_link(x: str, y: str) -> Column:
+    """Whether sketches leave two nodes similar enough: each bit that only one of them has is a
+    shingle at least that the other lacks."""
+    of = lambda to, k: F.col(f"w{k}_{to}")
+    only = lambda p, q: sum(
+        (F.bit_count(of(p, k).bitwiseAND(F.bitwise_not(of(q, k)))) for k in range(1, SKETCH_WORDS)),
+        F.bit_count(of(p, 0).bitwiseAND(F.bitwise_not(of(q, 0)))),
+    )
+    only_x, only_y = only(x, y), only(y, x)
+    most = F.least(F.col(f"n_{x}") - only_x, F.col(f"n_{y}") - only_y)
+    return most * 100 >= (most + only_x + only_y) * PERCENT
+
+
 def _lines(documents: DataFrame) -> DataFrame:
     """A row per line with a word: doc_id, the hash of the text, place, node, line."""
     placed = documents.select(
@@ -73,11 +134,24 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes whose shingles are similar enough."""
     side = lambda to: texts.select(F.col("node").alias(to), F.col("line").alias(f"line_{to}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    hashed = lambda to: F.array_distinct(F.transform(shingles(F.col(f"line_{to}")), lambda s: F.xxhash64(s)))
-    both = with_fixed(both.select("a", "b", "line_a", "line_b"), {"s_a": hashed("a"), "s_b": hashed("b")})
+    both = with_fixed(both.select("a", "b", "line_a", "line_b"), {f"wide_{to}": _wide(F.col(f"line_{to}")) for to in "ab"})
+
+    def hashed(to: str) -> Column:
+        # a variable of an outer lambda is read in place; a column of bytes is copied at each reading
+        wide = F.col(f"wide_{to}")
+        every = F.transform(F.array(wide), lambda held: F.transform(_starts(wide), lambda start: _hashed(held, start)))
+        return F.array_distinct(F.get(every, F.lit(0)))
+
+    both = with_fixed(both.select("a", "b", "wide_a", "wide_b"), {f"s_{to}": hashed(to) for to in "ab"})
     common = F.size(F.array_intersect("s_a", "s_b"))
     union = F.size("s_a") + F.size("s_b") - common
-    return both.where(common * 100 >= union * PERCENT).select("a", "b")
+    return both.where(common.cast("long") * 100 >= union.cast("long") * PERCENT).select("a", "b")
+
+
+def _within_bound(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
+    """The pairs (a, b) that their sketches leave possible."""
+    side = lambda to: sketched.select(F.col("node").alias(to), *_sketch(to))
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(_may_link("a", "b")).select("a", "b")
 
 
 def _small(frame: DataFrame, name: str) -> DataFrame:
@@ -96,17 +170,10 @@ def _pair(x: str, y: str) -> tuple[Column, Column]:
 def line_clusters(documents: DataFrame) -> DataFrame:
     """`node, component` of the lines that are similar to another, different line."""
     lines = _lines(documents)
-    signed = (
-        lines.select("node", F.explode(shingles(F.col("line"))).alias("shingle"))
-        .select("node", F.xxhash64("shingle").alias("h"))
-        .groupBy("node")
-        .agg(*_minima(F.col("h")))
-    )
-    keys = [
-        F.xxhash64(F.lit(band), *[F.col(f"m{band}_{row}") for row in range(ROWS)]) for band in range(BANDS)
-    ]
+    # equal lines become one before they move; all that follows is dealt by node already
+    different = lines.groupBy("node").agg(F.min("line").alias("line"))
     # dealt out once, for the count and the join
-    banded = signed.select("node", F.explode(F.array(*keys)).alias("band")).repartition("band")
+    banded = bands(different).repartition("band")
     shared = banded.groupBy("band").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last")
     candidates = stored(banded.join(shared.select("band", "leader"), "band"), "line-bands")
     involved = _small(candidates.select("node").distinct(), "line-involved")
@@ -118,17 +185,20 @@ def line_clusters(documents: DataFrame) -> DataFrame:
         .agg(F.min("line").alias("line")),
         "line-texts",
     )
+    sketched = stored(sketches(texts), "line-sketches")
     first = candidates.where("node != leader").select(*_pair("leader", "node")).distinct()
-    links = stored(_linked(first, texts), "line-links")
+    links = stored(_linked(_within_bound(first, sketched), texts), "line-links")
     labels = stored(components(links), "line-components")
 
     placed = candidates.select("band", "node").join(labels, "node", "left")
     placed = placed.select("band", "node", F.coalesce("component", "node").alias("component"))
     mixed = placed.groupBy("band").agg(F.min("component").alias("l"), F.max("component").alias("h")).where("l < h")
-    left = stored(placed.join(mixed.select("band"), "band"), "line-open")
-    x = left.select("band", F.col("node").alias("x"), F.col("component").alias("cx"))
-    y = left.select("band", F.col("node").alias("y"), F.col("component").alias("cy"))
-    met = x.alias("p").join(y.alias("q"), (F.col("p.band") == F.col("q.band")) & (F.col("cx") < F.col("cy")))
+    left = stored(placed.join(mixed.select("band"), "band").join(sketched, "node"), "line-open")
+    x = left.select("band", F.col("node").alias("x"), F.col("component").alias("cx"), *_sketch("x"))
+    y = left.select("band", F.col("node").alias("y"), F.col("component").alias("cy"), *_sketch("y"))
+    met = x.alias("p").join(
+        y.alias("q"), (F.col("p.band") == F.col("q.band")) & (F.col("cx") < F.col("cy")) & _may_link("x", "y")
+    )
     rest = met.select(*_pair("x", "y")).distinct().join(first, ["a", "b"], "left_anti")
     more = stored(_linked(rest, texts), "line-links")
     if more.isEmpty():

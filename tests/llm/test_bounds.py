@@ -173,3 +173,52 @@ def test_buckets_do_not_change_what_is_shared(spark):
             rows |= set(zip(told["node"], told["size"], told["df"], [x & (2**64 - 1) for x in told["shingle"]]))
         found.append(sorted((node, size, df) for node, size, df, _ in rows))
     assert found[0] == found[1] == found[2] and len(found[0]) > 100
+
+
+def test_similar_lines_are_found_at_every_similarity(documents):
+    """Of pairs that are barely similar, 95 % at least; and none below the threshold."""
+    draw, rows, alike = random.Random(12), [], {}
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    grams = lambda line: {line[k : k + 9] for k in range(len(line) - 8)}
+    for n in range(900):
+        line = [draw.choice(letters) for _ in range(draw.randrange(60, 300))]
+        copy = list(line)
+        for _ in range(max(1, len(line) * draw.randrange(1, 4) // 200)):
+            copy[draw.randrange(len(copy))] = "#"
+        a, b = ("x" + "".join(part) + "x" for part in (line, copy))
+        x, y = grams(a), grams(b)
+        alike[2 * n + 1] = len(x & y) / len(x | y)
+        rows += [(2 * n, a), (2 * n + 1, b)]
+    found = {r["doc_id"]: r["_n_removed"] for r in lines.without_repeats(documents(rows)).collect()}
+    assert not any(found[i] for i, j in alike.items() if j < 0.8)
+    for low, high in ((0.8, 0.85), (0.85, 0.9), (0.9, 1.01)):
+        of = [found[i] for i, j in alike.items() if low <= j < high]
+        assert len(of) >= 50 and sum(of) >= 0.95 * len(of)
+
+
+def test_families_below_the_threshold_stay_and_sketches_lose_no_link(spark):
+    draw = random.Random(13)
+    base = [draw.choice("abcdefghijklmnop ") for _ in range(150)]
+    family = []
+    for _ in range(60):
+        copy = list(base)
+        for _ in range(draw.randrange(0, 5)):
+            copy[draw.randrange(len(copy))] = draw.choice("0123456789")
+        family.append("".join(copy))
+    texts = spark.createDataFrame(list(enumerate(family)), "node long, line string")
+    pairs = texts.select(F.col("node").alias("a")).crossJoin(texts.select(F.col("node").alias("b"))).where("a < b")
+    grams = [{line[k : k + 9] for k in range(len(line) - 8)} for line in family]
+    near = {
+        (a, b) for a in range(60) for b in range(a + 1, 60)
+        if 100 * len(grams[a] & grams[b]) >= 80 * len(grams[a] | grams[b])
+    }
+    within = lines._within_bound(pairs, lines.sketches(texts))
+    left = {tuple(r) for r in within.collect()}
+    assert near <= left and len(left) < 0.5 * (len(near) + 1770)
+    assert {tuple(r) for r in lines._linked(within, texts).collect()} == near
+
+
+def test_a_line_of_millions_of_characters(documents):
+    line = "".join(random.Random(14).choices("abcdefgh ", k=2_000_000))
+    rows = {r["doc_id"]: r for r in lines.without_repeats(documents([(1, line), (2, line + "!"), (3, "short")])).collect()}
+    assert [rows[i]["_n_removed"] for i in (1, 2, 3)] == [0, 1, 0]
