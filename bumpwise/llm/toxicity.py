@@ -14,15 +14,18 @@ in compounds and in scripts without blanks. There a class backs off from the lon
 its own shorter ones, of one letter at least: a letter says nothing there without the one before
 it, and nothing more by a history after which neither class has it.
 
-What a word says is log p(word | toxic) - log p(word | ordinary); a document's
-ratio is the sum of what exceeds `EVIDENCE`, divided by the number of its words.
+What a word says is log p(word | toxic) - log p(word | ordinary). A document's ratio is the sum of
+what all its words say, for either class, divided by their number. Beside it stands `telling`, the
+same sum over what single words say beyond `EVIDENCE`: few strong words in a long text. To either,
+`PRIOR_WORDS` words that say nothing are added, so that a short text is not judged by one word.
 
 The model is fitted on a bounded sample: labelled documents with the smallest seeded hashes, with
-their whole texts, as many of either class and at most `SAMPLE_PER_CLASS`. Three quarters of it give
-the counts, one quarter fits the logistic curve that turns a ratio into a score. Every text is
-scored.
+their whole texts, as many of either class and at most `SAMPLE_PER_CLASS`, as far as a class has
+`SAMPLE_CHARS` characters; a document of more than an eighth of these is not learned from. Three
+quarters of the sample give the counts, one quarter fits the logistic curve that turns both figures
+into a score. Every text is scored.
 
-Nulls: a null text is an empty one; a text without a letter has ratio 0. Labels that are null are
+Nulls: a null text is an empty one; a text without a letter has figures of 0. Labels that are null are
 ignored; a document with several labels is toxic if one of them is. Without labels of both classes
 every score is 0. Repeated rows are scored each. An empty table gives an empty result. Labels,
 language, source and id are no inputs of a score.
@@ -38,24 +41,26 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bumpwise.llm.common import fold, stored, table
 
 SAMPLE_PER_CLASS = 4000
+SAMPLE_CHARS = 1 << 24  # of a class
 SEED = "toxic-1"
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
 LONGEST = 8  # letters (and the end of the word) that are told apart at once
 DISCOUNT = 0.75
-BACKOFF = 100.0
+BACKOFF = 30.0
 EVIDENCE = 1.5
-PRIOR_WORDS = 30.0  # words without evidence that each text is taken to have
+PRIOR_WORDS = 30.0  # words that say nothing, which each text is taken to have
+TOWARDS = (0.0, 2.0)  # where few labels leave the curve: slopes by standard deviation of the figures
 START, END = "\x02", "\x03"
 _WORD = re.compile(r"[^\W\d_]+")
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-_CACHED_WORDS = 300_000
+_CACHED_WORDS, _CACHED_CHARS = 300_000, 1 << 23
 _CHUNK_CHARS = 1 << 21
 _PIECE = 1 << 18
 
@@ -263,41 +268,50 @@ def word_ratios(model: Model, words: list[str]) -> np.ndarray:
     return ratio
 
 
-def _rate(model: Model | None, curve: tuple[float, float] | None, keep: list[str]) -> Callable:
+Curve = tuple[float, float, float]  # slopes of ratio and telling, offset
+
+
+def _rate(model: Model | None, curve: Curve | None, keep: list[str]) -> Callable:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, float] = {}
+        cached = 0
         for batch in batches:
-            texts, ratios = batch.column("_text").to_pylist(), []
+            figures: list[tuple[float, float]] = []
             chunk: list[list[str]] = []
             chars = 0
 
             def settle() -> None:
-                nonlocal chars
-                missing = list(set().union(*chunk).difference(known)) if chunk else []
-                if len(known) + len(missing) > _CACHED_WORDS:
+                nonlocal chars, cached
+                words = set().union(*chunk)
+                missing = list(words.difference(known))
+                if len(known) + len(missing) > _CACHED_WORDS or cached + chars > _CACHED_CHARS:
                     known.clear()
-                    missing = list(set().union(*chunk))
+                    cached, missing = 0, list(words)
                 if missing:
-                    said = np.maximum(word_ratios(model, missing) - EVIDENCE, 0)
-                    known.update(zip(missing, said.tolist(), strict=True))
+                    known.update(zip(missing, word_ratios(model, missing).tolist(), strict=True))
+                    cached += sum(map(len, missing))
                 for words in chunk:
-                    ratios.append(math.fsum(map(known.__getitem__, words)) / (len(words) + PRIOR_WORDS))
+                    said = list(map(known.__getitem__, words))
+                    telling = math.fsum([each - EVIDENCE for each in said if each > EVIDENCE])
+                    figures.append((math.fsum(said) / (len(words) + PRIOR_WORDS), telling / (len(words) + PRIOR_WORDS)))
                 chunk.clear()
                 chars = 0
 
-            for text in texts:
+            for text in batch.column("_text").to_pylist():
                 chunk.append(words_of(text) if model else [])
                 chars += len(text or "")
                 if chars > _CHUNK_CHARS:
                     settle()
             settle()
-            ratio = np.array(ratios)
+            both = np.array(figures).reshape(-1, 2)
             if curve is None:
-                score = np.zeros(len(ratio))
+                score = np.zeros(len(both))
             else:
-                score = 1 / (1 + np.exp(-np.clip(curve[0] * ratio + curve[1], -50, 50)))
+                score = 1 / (1 + np.exp(-np.clip(both @ np.array(curve[:2]) + curve[2], -50, 50)))
             kept = [batch.column(name) for name in keep]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(ratio), pa.array(score)], [*keep, "ratio", "score"])
+            yield pa.RecordBatch.from_arrays(
+                [*kept, pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(score)], [*keep, "ratio", "telling", "score"]
+            )
 
     return work
 
@@ -305,37 +319,45 @@ def _rate(model: Model | None, curve: tuple[float, float] | None, keep: list[str
 def rate(
     documents: DataFrame,
     model: Model | None,
-    curve: tuple[float, float] | None,
+    curve: Curve | None,
     keep: dict[str, Column],
 ) -> DataFrame:
-    """`keep` (name -> expression) with `ratio` and `score` for each row of `documents`."""
+    """`keep` (name -> expression) with `ratio`, `telling` and `score` for each row of `documents`."""
     rows = documents.select(F.col("text").alias("_text"), *[c.alias(n) for n, c in keep.items()])
     shape = "".join(f"`{n}` {t}, " for n, t in rows.dtypes if n != "_text")
-    return rows.mapInArrow(_rate(model, curve, list(keep)), f"{shape}ratio double, score double")
+    return rows.mapInArrow(_rate(model, curve, list(keep)), f"{shape}ratio double, telling double, score double")
 
 
-def fit_curve(ratios: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve, slightly drawn to zero, by Newton's method."""
-    scale = max(float(np.std(ratios)), 1e-9)
-    x = np.column_stack((ratios / scale, np.ones(len(ratios))))
+def fit_curve(figures: np.ndarray, toxic: np.ndarray) -> Curve:
+    """Slopes and offset of a logistic curve over two figures, slightly drawn to `TOWARDS`, by
+    Newton's method in short steps. A figure that is the same everywhere, or that would lower a
+    score by speaking for toxic, gets no slope."""
+    scale, towards = figures.std(axis=0), np.array(TOWARDS)
     weight = np.where(toxic == 1, 0.5 / max(1, (toxic == 1).sum()), 0.5 / max(1, (toxic == 0).sum()))
     weight *= len(toxic)
-    coefficients = np.zeros(2)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ coefficients, -50, 50)))
-        slope = x.T @ (weight * (p - toxic)) + 0.1 * coefficients
-        bend = (x * (weight * p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(2)
-        step = np.linalg.solve(bend, slope)
-        coefficients -= step
-        if np.abs(step).max() < 1e-9:
+    used = np.flatnonzero(scale > 1e-9)
+    while True:
+        x = np.column_stack((figures[:, used] / scale[used], np.ones(len(figures))))
+        goal = np.append(towards[used], -towards[used] @ x[:, :-1].mean(axis=0))
+        drawn, coefficients = np.diag([1.0] * len(used) + [0.1]), np.zeros(len(used) + 1)
+        for _ in range(100):
+            p = 1 / (1 + np.exp(-np.clip(x @ coefficients, -50, 50)))
+            slope = x.T @ (weight * (p - toxic)) + drawn @ (coefficients - goal)
+            bend = (x * (weight * p * (1 - p))[:, None]).T @ x + drawn
+            step = np.clip(np.linalg.solve(bend, slope), -1, 1)
+            coefficients -= step
+            if np.abs(step).max() < 1e-9:
+                break
+        if (coefficients[:-1] >= 0).all():
             break
-    return float(coefficients[0] / scale), float(coefficients[1])
+        used = used[coefficients[:-1] >= 0]
+    slopes = np.zeros(2)
+    slopes[used] = coefficients[:-1] / scale[used]
+    return float(slopes[0]), float(slopes[1]), float(coefficients[-1])
 
 
-def learn(
-    documents: DataFrame, labels: DataFrame
-) -> tuple[Model | None, tuple[float, float] | None]:
-    """Fit on documents (doc_id, text) and labels (doc_id, toxic)."""
+def sample(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """`doc_id, text, toxic` of the documents to learn from, stored."""
     drawn = F.xxhash64(F.lit(SEED), F.col("doc_id"))
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -343,18 +365,29 @@ def learn(
     most = min(SAMPLE_PER_CLASS, sizes.get(0, 0), sizes.get(1, 0))
     part = lambda toxic: known.where(F.col("toxic") == toxic).orderBy(drawn, "doc_id").limit(most)
     # bounded: 2 * SAMPLE_PER_CLASS rows of two numbers
-    sample = F.broadcast(part(0).unionByName(part(1)))
-    chosen = documents.select("doc_id", "text").join(sample, "doc_id")
+    drawn_rows = F.broadcast(part(0).unionByName(part(1)))
+    chosen = documents.select("doc_id", "text").where(F.char_length(F.coalesce("text", F.lit(""))) <= SAMPLE_CHARS // 8)
+    chosen = stored(chosen.join(drawn_rows, "doc_id"), "toxicity-sample")
+    chars = chosen.groupBy("doc_id", "toxic").agg(F.sum(F.char_length("text")).alias("chars"))
+    # the rows of `drawn_rows`, so bounded too
+    so_far = F.sum("chars").over(Window.partitionBy("toxic").orderBy(drawn, "doc_id"))
+    fitting = chars.withColumn("so_far", F.coalesce(so_far, F.lit(0))).where(F.col("so_far") <= SAMPLE_CHARS)
+    return chosen.join(F.broadcast(fitting.select("doc_id")), "doc_id")
+
+
+def learn(documents: DataFrame, labels: DataFrame) -> tuple[Model | None, Curve | None]:
+    """Fit on documents (doc_id, text) and labels (doc_id, toxic)."""
+    chosen = sample(documents, labels)
     fitting = F.pmod(F.xxhash64(F.lit("part"), F.col("doc_id")), F.lit(4)) != 0
     words = stored(vocabulary(chosen.where(fitting)), "toxicity-words")
     counts = beginnings(words).toArrow().to_pandas()
     if counts.empty or not counts["ordinary"].sum() or not counts["toxic"].sum():
         return None, None
     model = build(counts, slides(words).toArrow())
-    told = rate(chosen.where(~fitting), model, None, {"toxic": F.col("toxic")}).select("toxic", "ratio").toPandas()
+    told = rate(chosen.where(~fitting), model, None, {"toxic": F.col("toxic")}).drop("score").toPandas()
     if told["toxic"].nunique() < 2:
-        return model, (100.0, -2.0)
-    return model, fit_curve(told["ratio"].to_numpy(float), told["toxic"].to_numpy(float))
+        return model, (100.0, 100.0, -2.0)
+    return model, fit_curve(told[["ratio", "telling"]].to_numpy(float), told["toxic"].to_numpy(float))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -363,5 +396,5 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, curve = learn(documents, known)
     keep = {"doc_id": F.col("doc_id"), "held_out": fold("doc_id", FOLDS) == HELD_OUT}
     return rate(documents, model, curve, keep).select(
-        "doc_id", "held_out", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "ratio"
+        "doc_id", "held_out", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "ratio", "telling"
     )
