@@ -177,25 +177,25 @@ class Model:
     slides: tuple[Level, ...]  # of sliding histories, by size from 2; (ordinary, toxic) only
 
 
-def _sliding(counts: pa.Table) -> tuple[Level, ...]:
-    """From `size, gram, history, ordinary, toxic`."""
-    size, gram, history = (counts.column(name).to_numpy() for name in ("size", "gram", "history"))
-    by_class = np.column_stack([counts.column(name).to_numpy() for name in ("ordinary", "toxic")]).astype(np.float32)
-    levels = []
-    for each in range(2, LONGEST + 1):
-        of = np.flatnonzero(size == each)
-        keys, given = gram[of].view(np.uint64), by_class[of]
-        histories, at = np.unique(history[of].view(np.uint64), return_inverse=True)
-        totals, types = (
-            np.column_stack([np.bincount(at, x[:, k], len(histories)) for k in (0, 1)]).astype(np.float32) for x in (given, given > 0)
-        )
-        order = np.argsort(keys)
-        levels.append(Level(keys[order], given[order], histories, totals, types))
-    return tuple(levels)
-
-
-def build(counts: pd.DataFrame, slid: pa.Table) -> Model:
-    """The model, from `beginning, ordinary, toxic` and the counts of `slides`."""
+def _sliding(counts: pa.Table) -> Level:
+    """From `gram, history, ordinary, toxic` of one size."""
+    keys, given = counts.column("gram").to_numpy().view(np.uint64), np.empty((counts.num_rows, 2), np.float32)
+    given[:, 0], given[:, 1] = counts.column("ordinary").to_numpy(), counts.column("toxic").to_numpy()
+    histories, at = np.unique(counts.column("history").to_numpy().view(np.uint64), return_inverse=True)
+    totals, types = np.empty((len(histories), 2), np.float32), np.empty((len(histories), 2), np.float32)
+    for k in (0, 1):
+        totals[:, k] = np.bincount(at, given[:, k], len(histories))
+        types[:, k] = np.bincount(at, given[:, k] > 0, len(histories))
+    order = np.argsort(keys)
+    return Level(keys[order], given[order], histories, totals, types)
+
+
+def build(words: DataFrame) -> Model | None:
+    """The model, from a stored `vocabulary`; None without words of both classes. The sizes of
+    `slides` come to the driver one after another."""
+    counts = beginnings(words).toArrow().to_pandas()
+    if counts.empty or not counts["ordinary"].sum() or not counts["toxic"].sum():
+        return None
     last = counts["beginning"].str[-1].value_counts(normalize=True)
     levels = []
     for size in range(1, LONGEST + 1):
@@ -209,7 +209,11 @@ def build(counts: pd.DataFrame, slid: pa.Table) -> Model:
         levels.append(
             Level(keys[a], by_class[a], histories[b], totals.to_numpy(float)[b], types.to_numpy(float)[b])
         )
-    return Model(tuple(levels), {ord(letter): float(share) for letter, share in last.items()}, _sliding(slid))
+    letters = {ord(letter): float(share) for letter, share in last.items()}
+    del counts, given, history
+    slid = stored(slides(words), "toxicity-slides")
+    sliding = [_sliding(slid.where(F.col("size") == size).drop("size").toArrow()) for size in range(2, LONGEST + 1)]
+    return Model(tuple(levels), letters, tuple(sliding))
 
 
 def _found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -380,10 +384,9 @@ def learn(documents: DataFrame, labels: DataFrame) -> tuple[Model | None, Curve
     chosen = sample(documents, labels)
     fitting = F.pmod(F.xxhash64(F.lit("part"), F.col("doc_id")), F.lit(4)) != 0
     words = stored(vocabulary(chosen.where(fitting)), "toxicity-words")
-    counts = beginnings(words).toArrow().to_pandas()
-    if counts.empty or not counts["ordinary"].sum() or not counts["toxic"].sum():
+    model = build(words)
+    if model is None:
         return None, None
-    model = build(counts, slides(words).toArrow())
     told = rate(chosen.where(~fitting), model, None, {"toxic": F.col("toxic")}).drop("score").toPandas()
     if told["toxic"].nunique() < 2:
         return model, (100.0, 100.0, -2.0)

@@ -64,7 +64,7 @@ def plain_ratio(texts, word):
 def model(spark):
     chosen = spark.createDataFrame(TEXTS, "text string, toxic int")
     words = toxicity.vocabulary(chosen)
-    return toxicity.build(toxicity.beginnings(words).toArrow().to_pandas(), toxicity.slides(words).toArrow())
+    return toxicity.build(words)
 
 
 WORDS = ["vile", "friend", "you", "worm", "unendlichlangeswort", "unendlichkurzes", "langeswort", "viler", "zz", "a", "f"]
