@@ -115,12 +115,24 @@ class TransverseMercator:
         The series holds within some 30 degrees of the central meridian; beyond a right angle from
         it a place has no image at all.
         """
+        return self.from_sphere(*self.to_sphere(lon, lat))
+
+    def to_sphere(self, lon: Column, lat: Column) -> tuple[Column, Column]:
+        """The first step of `to_grid`: where a place lies on the conformal sphere.
+
+        `from_sphere` reads both numbers many times. Where Spark does not share equal parts of an
+        expression, as within the function of a `transform`, they should be made first.
+        """
         e = self.eccentricity
         phi, away = F.radians(lat), F.radians(lon - self.lon_origin)
         on_globe = (F.abs(lat) < 90) & (F.abs(lon) <= 360) & (F.cos(away) > 0)
         tangent = F.sinh(F.asinh(F.tan(phi)) - F.lit(e) * F.atanh(F.lit(e) * F.sin(phi)))
         xi_sphere = F.atan2(tangent, F.cos(away))
         eta_sphere = F.asinh(F.sin(away) / F.hypot(tangent, F.cos(away)))
+        return F.when(on_globe, xi_sphere), F.when(on_globe, eta_sphere)
+
+    def from_sphere(self, xi_sphere: Column, eta_sphere: Column) -> tuple[Column, Column]:
+        """The second step of `to_grid`: to metres; NULL stays NULL."""
         xi, eta = xi_sphere, eta_sphere
         for j, a in enumerate(self.alpha, 1):
             angle, stretch = xi_sphere * float(2 * j), eta_sphere * float(2 * j)
@@ -128,4 +140,4 @@ class TransverseMercator:
             eta = eta + F.lit(a) * F.cos(angle) * F.sinh(stretch)
         x = eta * self.radius + self.false_easting
         y = (xi - self.origin_arc) * self.radius + self.false_northing
-        return F.when(on_globe, x), F.when(on_globe, y)
+        return x, y

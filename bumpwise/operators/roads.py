@@ -52,18 +52,31 @@ def links_in_metres(links: DataFrame, grid: TransverseMercator = TransverseMerca
     A line with a point that has no image on the grid becomes NULL, so it counts as unreadable.
     """
 
-    def projected(point: Column) -> Column:
-        x, y = grid.to_grid(point["x"], point["y"])
-        return F.struct(x.alias("x"), y.alias("y"))
-
-    def line(points: Column) -> Column:
-        return _whole_line(F.transform(points, projected))
-
-    found = {"pts": line(F.col("pts"))}
-    if "parts" in links.columns:
-        found["parts"] = _whole_parts(F.transform("parts", line))
-        found["pts"] = F.when(found["parts"].isNotNull(), found["pts"])
-    return links.withColumns(found)
+    def projected(points: Column) -> Column:
+        # in two steps: within a lambda nothing is shared, and the second reads the first's numbers often
+        spheres = F.transform(points, lambda p: _pair("xi", "eta", grid.to_sphere(p["x"], p["y"])))
+        return F.transform(spheres, lambda s: _pair("x", "y", grid.from_sphere(s["xi"], s["eta"])))
+
+    if "parts" not in links.columns:
+        return made_once(links, "pts", projected(F.col("pts"))).withColumn("pts", _whole_line(F.col("pts")))
+    found = made_once(links, "parts", F.transform("parts", projected))
+    found = found.withColumn("parts", _whole_parts(F.transform("parts", _whole_line)))
+    return found.withColumn("pts", F.when(F.col("parts").isNotNull(), _whole_line(projected(F.col("pts")))))
+
+
+def made_once(frame: DataFrame, name: str, value: Column) -> DataFrame:
+    """`frame` with the column `name`, computed once per row.
+
+    It passes through a generator of one row. The optimizer would else put a costly expression in
+    each place where the column is used, and into the filters on it.
+    """
+    made, kept = f"_made_{name}", [F.col(f"`{other}`") for other in frame.columns if other != name]
+    held = frame.withColumn(made, value)
+    return held.select(*kept, F.inline(F.array(F.struct(F.col(made).alias(name)))))
+
+
+def _pair(first: str, second: str, values: tuple[Column, Column]) -> Column:
+    return F.struct(values[0].alias(first), values[1].alias(second))
 
 
 def filter_links(links: DataFrame, column: str, value: object) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from bumpwise.operators.facts import coerce_fact
 from bumpwise.operators.keyed import attach_by_key
-from bumpwise.operators.roads import parse_geojson_parts, parse_wkt_parts
+from bumpwise.operators.roads import made_once, parse_geojson_parts, parse_wkt_parts
 from bumpwise.schema import ANOMALY_BY_DAY, MART_POINTER, SEGMENT, SENSOR_BY_DAY, STORED_FACT
 from bumpwise.session import store
 
@@ -123,7 +123,7 @@ def read_links(
     else:
         links = spark.read.format(file_format).load(path)
     parse = {"wkt": parse_wkt_parts, "geojson": parse_geojson_parts}[form]
-    read = links.withColumn("parts", parse(F.col(geometry))).withColumn("pts", F.flatten("parts"))
+    read = made_once(links, "parts", parse(F.col(geometry))).withColumn("pts", F.flatten("parts"))
     return read.withColumnRenamed(link_id, "link_id")
 
 

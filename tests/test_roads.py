@@ -238,6 +238,19 @@ def test_links_in_degrees_are_cut_in_metres(spark):
     assert len(segments) == 5 and all(124 < s["start_lon"] < 132 for s in segments)
 
 
+def test_links_are_parsed_and_projected_once(spark, path_for, plan_of):
+    path = path_for("links")
+    links = spark.createDataFrame([("a", "LINESTRING (127 38, 127.001 38)")], "link_id string, geometry string")
+    links.write.csv(path, header=True)
+    for skip in (False, True):
+        segments = build_segments(read_links(spark, path), in_degrees=True, skip_unreadable=skip)
+        assert segments.count() == 2
+        plan = plan_of(segments)
+        # two mentions in each branch of the parser; of the projection one in each coordinate
+        assert plan.count("MULTILINESTRING") <= 4
+        assert plan.count("ATANH(") <= 8
+
+
 def test_degrees_without_an_image_are_unreadable(spark):
     links = spark.createDataFrame([("a", "LINESTRING (127 38, 127 95)")], "link_id string, geometry string")
     read = links.withColumn("parts", parse_wkt_parts(F.col("geometry"))).withColumn("pts", F.flatten("parts"))
