@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bumpwise.schema import SENSOR_BY_DAY, SENSOR_COLUMNS
@@ -16,9 +16,12 @@ from bumpwise.sources.tables import current_versions, read_latest
 # batches with the same delivery, readers take the one with the greater name
 _PREFIX = "!"
 _GENERATIONS = 10**12
+DAYS_AT_ONCE = 32
 
 
-def compact_raw(spark: SparkSession, path: str, days: Sequence[str] | None = None) -> DataFrame:
+def compact_raw(
+    spark: SparkSession, path: str, days: Sequence[str] | None = None, at_once: int = DAYS_AT_ONCE
+) -> DataFrame:
     """Rewrite the live deliveries of days as one batch each and remove the batches it stands for.
 
     Returns `dt, batches, n_rows` of the days compacted; days with a single batch are left alone.
@@ -27,8 +30,10 @@ def compact_raw(spark: SparkSession, path: str, days: Sequence[str] | None = Non
     when it is complete. If the job ends half-way, what is left is either a batch that nothing
     depends on or some originals beside a whole copy; the next compaction clears both. Batches that
     arrive in the meantime are not touched. Only the folders listed at the start are removed.
+    `at_once` days are rewritten by one job, so that it keeps all executors busy; originals and copies
+    of so many days lie side by side meanwhile.
     """
-    done = []
+    waiting = []
     for folder in subfolders(spark, path):
         day = folder.removeprefix("dt=")
         if not folder.startswith("dt=") or (days is not None and day not in days):
@@ -38,17 +43,33 @@ def compact_raw(spark: SparkSession, path: str, days: Sequence[str] | None = Non
         if len(batches) < 2 or "%" in day:
             continue
         earlier = [name.removeprefix(f"batch={_PREFIX}") for name in batches if name.startswith(f"batch={_PREFIX}")]
-        name = f"{_PREFIX}{min(map(int, earlier), default=_GENERATIONS) - 1:013d}"
-        written = Observation()
-        rows = read_latest(spark, path, SENSOR_BY_DAY, day, keep_seq=True).withColumn("batch", F.lit(name))
-        counted = rows.observe(written, F.count(F.lit(1)).alias("n"))
-        write_by_day(counted, path, (*SENSOR_COLUMNS, "seq"), ("dt", "batch"))
-        for batch in batches:
-            remove_path(spark, f"{path}/{folder}/{batch}")
-        done.append((day, len(batches), written.get["n"]))
+        waiting.append((day, f"{_PREFIX}{min(map(int, earlier), default=_GENERATIONS) - 1:013d}", batches))
+    done = []
+    for start in range(0, len(waiting), at_once):
+        some = waiting[start : start + at_once]
+        done += _compact_days(spark, path, some)
     return spark.createDataFrame(done, "dt string, batches int, n_rows bigint")
 
 
+def _compact_days(
+    spark: SparkSession, path: str, some: Sequence[tuple[str, str, list[str]]]
+) -> list[tuple[str, int, int]]:
+    """Days with the name of their new batch and those it stands for; returns what `compact_raw` does."""
+    names = spark.createDataFrame([(day, name) for day, name, _ in some], "dt string, batch string")
+    rows = read_latest(spark, path, SENSOR_BY_DAY, [day for day, _, _ in some], keep_seq=True)
+    write_by_day(rows.join(F.broadcast(names), "dt"), path, (*SENSOR_COLUMNS, "seq"), ("dt", "batch"))
+    # a day whose files hold no row has no new batch
+    written = [f"{path}/dt={day}/batch={name}" for day, name, _ in some if f"batch={name}" in subfolders(spark, f"{path}/dt={day}")]
+    counts = {}
+    if written:
+        stored = spark.read.schema(SENSOR_BY_DAY).option("basePath", path).parquet(*written)
+        counts = {row["dt"]: row["count"] for row in stored.groupBy("dt").count().collect()}
+    for day, _, batches in some:
+        for batch in batches:
+            remove_path(spark, f"{path}/dt={day}/{batch}")
+    return [(day, len(batches), counts.get(day, 0)) for day, _, batches in some]
+
+
 def remove_old_marts(spark: SparkSession, path: str) -> int:
     """Remove the versions of each mart that are older than the current one; returns how many.
 

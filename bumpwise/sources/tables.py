@@ -42,10 +42,15 @@ def read_stream_anomalies(spark: SparkSession, path: str, day: str | None = None
     return read_latest(spark, path, ANOMALY_BY_DAY, day, deliveries_path(path))
 
 
-def _read_days(spark: SparkSession, path: str, schema: T.StructType, day: str | None) -> DataFrame:
-    """The table, or the folder of one day alone; empty if that does not exist."""
+def _read_days(
+    spark: SparkSession, path: str, schema: T.StructType, day: str | Sequence[str] | None
+) -> DataFrame:
+    """The table, or the folder of one day alone (empty if that does not exist), or of several days."""
     if day is None:
         return spark.read.schema(schema).parquet(path)
+    if not isinstance(day, str):
+        folders = [f"{path}/dt={one}" for one in day]
+        return spark.read.schema(schema).option("basePath", path).parquet(*folders).filter(F.col("dt").isin(list(day)))
     try:
         folder = spark.read.schema(schema).option("basePath", path).parquet(f"{path}/dt={day}")
     except AnalysisException as error:
@@ -59,7 +64,7 @@ def read_latest(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
-    day: str | None = None,
+    day: str | Sequence[str] | None = None,
     deliveries: str | None = None,
     keep_seq: bool = False,
 ) -> DataFrame:
@@ -67,7 +72,7 @@ def read_latest(
 
     Batches only add files (`dt=<day>/batch=<id>/`); of the deliveries of a trip on a day, the
     rows with the greatest `seq` (then batch) count; with `deliveries`, a table of all deliveries, that may be
-    one without rows. A `day` lists and reads that partition alone. The trips delivered
+    one without rows. A `day`, or several that exist, lists and reads these partitions alone. The trips delivered
     more than once are found when this is called, from the key columns, and stored: they are
     few, so the rows themselves need no shuffle, and no join at all where there are none.
     `keep_seq` adds the number of the delivery.

@@ -14,7 +14,7 @@ from bumpwise.plans import upkeep
 from bumpwise.plans.upkeep import compact_raw, remove_old_marts
 from bumpwise.schema import FACT, SENSOR_BY_DAY, SENSOR_COLUMNS
 from bumpwise.session import remove_path, subfolders
-from bumpwise.sinks.tables import refresh_marts, write_batch
+from bumpwise.sinks.tables import refresh_marts, write_batch, write_by_day
 from bumpwise.sources.tables import current_versions, read_latest, read_mart
 
 DAYS = ("2026-01-01", "2026-01-02")
@@ -55,6 +55,22 @@ def test_compaction_keeps_what_readers_see(spark, path_for):
     assert compact_raw(spark, path).count() == 0
 
 
+@pytest.mark.parametrize(("at_once", "writes"), [(32, 1), (1, 2)])
+def test_days_are_compacted_together(spark, path_for, monkeypatch, at_once, writes):
+    path, calls = path_for("raw"), []
+    three_batches(spark, path)
+    before = content(spark, path)
+
+    def write(*arguments):
+        calls.append(arguments)
+        write_by_day(*arguments)
+
+    monkeypatch.setattr(upkeep, "write_by_day", write)
+    done = compact_raw(spark, path, at_once=at_once).collect()
+    assert sorted(map(tuple, done)) == [(day, 3, 7) for day in DAYS]
+    assert len(calls) == writes and content(spark, path) == before
+
+
 def test_deliveries_after_a_compaction_count(spark, path_for):
     path = path_for("raw")
     three_batches(spark, path)
