@@ -16,10 +16,9 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from bumpwise.operators.detect import DAY_TRIP, detect_anomalies
+from bumpwise.operators.detect import DAY_TRIP, detect_anomalies, suspect_trips
 from bumpwise.operators.ingest import (
     PROCESSED,
-    latest_deliveries,
     outcome_counts,
     parse_trips,
     readings,
@@ -27,6 +26,7 @@ from bumpwise.operators.ingest import (
 from bumpwise.operators.keyed import attach_by_key
 from bumpwise.options import DEFAULT_BOXES, Box, ContextLimits, ImpactRule, Ranges
 from bumpwise.schema import ANOMALY_COLUMNS, COUNT_LEDGER, COUNTERS
+from bumpwise.session import remove_path, store, work_path
 from bumpwise.sinks.tables import merge_into_fact, write_batch, write_raw
 from bumpwise.sources.tables import deliveries_path
 
@@ -42,7 +42,7 @@ def stream_ingest(
 ) -> StreamingQuery:
     """Messages (`seq`, `value`) into the raw table, with outcome counters per micro-batch."""
 
-    def store(batch: DataFrame, name: str) -> None:
+    def ingest(batch: DataFrame, name: str) -> None:
         # counted on the way to the table, so a message is parsed once
         counted = Observation()
         trips = parse_trips(batch, ranges, boxes).observe(counted, *outcome_counts())
@@ -51,7 +51,7 @@ def stream_ingest(
             counters = batch.sparkSession.createDataFrame([counted.get], COUNTERS)
             counters.write.mode("overwrite").parquet(f"{counters_path}/batch={name}")
 
-    return start_named(messages, store, checkpoint, trigger)
+    return start_named(messages, ingest, checkpoint, trigger)
 
 
 def first_deliveries(
@@ -96,18 +96,26 @@ def stream_detect(
     (`read_stream_anomalies`).
     """
 
-    def store(batch: DataFrame, name: str) -> None:
-        trips = latest_deliveries(parse_trips(batch, ranges, boxes))
-        rows = readings(trips, carry=["seq"]).persist()
-        try:
-            deliveries = rows.groupBy("dt", "trip_id").agg(F.max("seq").alias("seq"))
-            write_batch(deliveries, deliveries_path(anomaly_path), ("trip_id", "seq"), name)
-            anomalies = detect_anomalies(rows, DAY_TRIP, rule, limits)
-            write_batch(anomalies, anomaly_path, (*ANOMALY_COLUMNS, "seq"), name)
-        finally:
-            rows.unpersist()
-
-    return start_named(messages, store, checkpoint, trigger)
+    def judge(batch: DataFrame, name: str) -> None:
+        spark = batch.sparkSession
+        # parsed once; what follows reads the columns it needs from the shared folder
+        held = work_path(spark, "readings")
+        parsed = readings(parse_trips(batch, ranges, boxes), carry=["seq"])
+        parsed.write.parquet(held)
+        rows = spark.read.schema(parsed.schema).parquet(held)
+        deliveries = rows.groupBy("dt", "trip_id").agg(F.min("seq").alias("_first"), F.max("seq").alias("seq"), F.count(F.lit(1)).alias("_rows"))
+        deliveries, _ = store(deliveries.filter("seq IS NOT NULL"), "deliveries")
+        repeated, n_repeated = store(deliveries.filter("_first < seq").select("dt", "trip_id", F.col("seq").alias("_last"), "_rows"), "repeated")
+        latest = rows.filter("seq IS NOT NULL")
+        if n_repeated:
+            latest = attach_by_key(latest, repeated, DAY_TRIP, "_rows").filter("_last IS NULL OR seq = _last").select(*rows.columns)
+        write_batch(deliveries, deliveries_path(anomaly_path), ("trip_id", "seq"), name)
+        suspects, _ = store(suspect_trips(latest, DAY_TRIP, rule, limits), "suspects")
+        anomalies = detect_anomalies(latest, DAY_TRIP, rule, limits, suspects)
+        write_batch(anomalies, anomaly_path, (*ANOMALY_COLUMNS, "seq"), name)
+        remove_path(spark, held)
+
+    return start_named(messages, judge, checkpoint, trigger)
 
 
 def ledger_path(counts_path: str) -> str:
@@ -136,7 +144,7 @@ def stream_daily_counts(
     """
     run = time.time_ns()
 
-    def store(batch: DataFrame, name: str) -> None:
+    def count(batch: DataFrame, name: str) -> None:
         query, _, number = name.rpartition("-")
         counted = Observation()
         first = F.min(F.struct("timestamp", "trip_id", "lon", "lat")).alias("first")
@@ -154,7 +162,7 @@ def stream_daily_counts(
             f"{ledger_path(counts_path)}/batch={name}"
         )
 
-    return start_named(mapped, store, checkpoint, trigger)
+    return start_named(mapped, count, checkpoint, trigger)
 
 
 def live_queries(ledger: DataFrame) -> DataFrame:

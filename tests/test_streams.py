@@ -114,6 +114,19 @@ def test_a_clean_redelivery_clears_old_anomalies(spark, path_for):
     assert read_stream_anomalies(spark, anomalies, "2025-02-13").count() == 0
 
 
+def test_detection_reads_a_micro_batch_once(spark, path_for):
+    """Also if it has the same trip twice; of these the last delivery is judged."""
+    source, anomalies = path_for("in"), path_for("anomalies")
+    calm = trip("A", 20)
+    calm["records"] = calm["records"][:-1]
+    deliver(spark, source, (1, trip("A", 20)), (2, calm), (3, trip("B", 20)), (4, trip("C", 20)), (5, trip("C", 20)))
+    query = stream_detect(message_stream(spark, source), anomalies, path_for("checkpoint"), RULE, trigger=ONCE)
+    query.awaitTermination()
+    rows = read_stream_anomalies(spark, anomalies).select("trip_id").collect()
+    assert sorted(row["trip_id"] for row in rows) == ["B", "C"]
+    assert sum(progress["numInputRows"] for progress in query.recentProgress) == 5
+
+
 def test_late_rows_and_bad_dates(spark, path_for):
     source, counts, table = path_for("in"), path_for("counts"), path_for("fact")
     parts = [[("2026-03-20", "A")], [("2026-03-13", "A"), ("20-03-2026", "A")], [("2026-03-13", "B")]]
