@@ -36,7 +36,7 @@ from bumpwise.schema import (
     SENSOR_BY_DAY,
     SENSOR_COLUMNS,
 )
-from bumpwise.session import work_path
+from bumpwise.session import store, work_path
 from bumpwise.sinks import tables as sinks
 from bumpwise.sources import messages as message_sources
 from bumpwise.sources import tables as sources
@@ -449,7 +449,7 @@ def ingest_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_raw_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message twice in one batch, and all of them again in a later batch."""
     path = work_path(spark, "raw")
-    messages = adapters.messages(spark, sf_dir)
+    messages, _ = store(adapters.messages(spark, sf_dir), "messages")
     again = messages.withColumn("seq", F.col("seq") + (1 << 40))
     sinks.write_raw(ingest.parse_trips(messages.unionByName(again)), path, batch=1)
     later = messages.withColumn("seq", F.col("seq") + (1 << 41))
@@ -461,7 +461,7 @@ def write_raw_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 def compact_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw table after its days, with redelivered trips, were rewritten as one batch each."""
     path = work_path(spark, "raw")
-    messages = adapters.messages(spark, sf_dir)
+    messages, _ = store(adapters.messages(spark, sf_dir), "messages")
     for batch in range(3):
         part = messages.filter(F.pmod("seq", F.lit(3)) >= batch).withColumn("seq", F.col("seq") + (batch << 40))
         sinks.write_raw(ingest.parse_trips(part), path, batch)
@@ -739,7 +739,7 @@ LATE_FROM = "2024-01-15"
 def stream_late_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips of later days first, then all: which came in time, and which by the late route."""
     source, raw, checkpoint = (work_path(spark, name) for name in ("messages", "raw", "stream"))
-    messages = adapters.messages(spark, sf_dir, by_day=True)
+    messages, _ = store(adapters.messages(spark, sf_dir, by_day=True), "trips-by-day")
     day = F.substring(F.get_json_object("value", "$.start_time"), 1, 10)
     again = messages.withColumn("seq", F.col("seq") + (1 << 40))
     for part in (messages.filter(day >= LATE_FROM), again):

@@ -3,10 +3,12 @@ from __future__ import annotations
 import base64
 import copy
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from bumpwise.operators import ingest
 from bumpwise.operators.ingest import (
     decode_payload,
     ingest_counters,
@@ -113,6 +115,42 @@ def test_outcomes_and_row_counts(trips):
     assert counts == {name: rows for name, (_, rows, _) in CASES.items() if rows}
 
 
+def test_only_whole_records_of_plain_numbers_are_read_by_schema(spark):
+    rows = [(name, text) for name, (text, _, _) in CASES.items() if text and name != "malformed"]
+    rows += [("empty", message()), ("quotes", message(GOOD).replace('"', "'")), ("nan", message(record(spd=float("nan"))))]
+    frame = spark.createDataFrame(rows, "name string, value string")
+    read = frame.withColumn("quick", F.from_json("value", ingest._QUICK, ingest._STRICT))
+    quick = {row["name"] for row in read.filter(ingest._is_quick(F.col("quick"))).collect()}
+    assert {"plain", "acc long", "sat beyond int", "outside", "numeric trip"} <= quick
+    odd = ("speed absent", "speed null", "speed text", "speed true", "sat 7.9", "sat '7'", "ts text", "ts null", "ts 1.5", "quotes", "nan")
+    assert not quick & {*odd, "record no object", "records null", "acc short", "gps absent"}
+
+
+def test_both_ways_of_reading_records_agree(spark, monkeypatch):
+    draw = random.Random(3)
+    number = lambda: draw.choice([draw.uniform(-200, 200), draw.randrange(-5, 5), -0.0, 1e-7, 9.8, 0.1 + 0.2, 1e20])
+    rows = []
+    for seq in range(200):
+        records = [
+            record(ts=draw.randrange(-(2**62), 2**62), acc=[number() for _ in range(3)], gyr=[number() for _ in range(4)],
+                   spd=abs(number()), hdop=number(), sat=draw.randrange(9), lng=draw.uniform(127.5, 127.8), lat=draw.uniform(34.4, 35.1))
+            for _ in range(draw.randrange(5))
+        ]
+        rows.append((seq, message(*records)))
+    rows.append((-1, message(GOOD).replace('"spd"', '"spd": 1, "spd"')))
+    rows += [(-2 - at, text) for at, (text, _, _) in enumerate(CASES.values())]
+    frame = spark.createDataFrame(rows, "seq bigint, value string")
+
+    def found():
+        trips = parse_trips(frame)
+        return sorted(map(repr, trips.collect())), sorted(map(repr, readings(trips, ["seq"]).collect()))
+
+    both = found()
+    monkeypatch.setattr(ingest, "_is_quick", lambda quick: F.lit(False))
+    slow = found()
+    assert both == slow and len(slow[1]) > 50
+
+
 def test_counters_add_up(trips):
     row = ingest_counters(trips).first()
     outcomes = [outcome for _, _, outcome in CASES.values()]
