@@ -40,7 +40,7 @@ from bumpwise.llm.texts import lowered_texts
 from bumpwise.session import store
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-_CHUNK_BYTES = 1 << 22
+_CHUNK_BYTES = 1 << 20
 _BYTES_PER_BUCKET = 1 << 23
 _KEPT_BYTES = 6  # of a shingle's hash, after the bits that its bucket tells
 _BROADCAST_ROWS = 1_000_000  # of one number each
