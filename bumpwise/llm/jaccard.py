@@ -5,15 +5,19 @@ sets are one node. In the order (number of nodes that have the shingle, hash) tw
 a shingle among the first of each (the prefix). Shingles that only one node has come first and can
 match nothing, so they are counted but never leave the first step:
 
-1. Sets are split by hash into buckets, packed, and shuffled once. A bucket counts its shingles and
-   returns those that at least two nodes have. All later steps work on these alone: they suffice
-   for prefixes and for exact intersections. Of a hash the bucket's bits and 48 more are kept.
-2. Nodes whose prefix has no shared shingle are done. Nodes with the same shared prefix and size
+1. A set in which more shingles than a link leaves unmatched are its own links with nothing. Own
+   shingles are counted in a share of the hashes first: a set that has too many there is done, and
+   the text of no other document than the remaining ones is looked at again.
+2. The remaining sets are split by hash into buckets, packed, and shuffled once. A bucket counts its
+   shingles and returns those that at least two nodes have. All later steps work on these alone: they
+   suffice for prefixes and for exact intersections. Of a hash the bucket's bits and 48 more are kept.
+3. Nodes whose prefix has no shared shingle are done. Nodes with the same shared prefix and size
    are one group, and groups are joined on the shingles of their prefixes, with the size filter and
    the positional bound.
-3. No list of groups is joined with itself at once. First the groups of the longest lists are
+4. No list of groups is joined with itself at once. First the groups of the longest lists are
    compared with one group of the list, drawn by hash, and members with one member; the links found give components. Then
-   all remaining candidates between different components are compared, each pair once. Links
+   the remaining candidates between different components are compared, each pair once: by sketches,
+   bitmaps of the shared shingles, which bound the similarity from above, then exactly. Links
    inside a component cannot change the answer, so none that matters is left out.
 
 Nulls: a null text, like a text without words, has the empty set and links with nothing. Fewer
@@ -31,10 +35,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 
-from bumpwise.llm.common import stored, table
+from bumpwise.llm import sketch
+from bumpwise.llm.common import fresh, stored, table
 from bumpwise.llm.graph import components
 from bumpwise.llm.texts import lowered_texts
 from bumpwise.session import store
@@ -44,6 +49,7 @@ _CHUNK_BYTES = 1 << 20
 _BYTES_PER_BUCKET = 1 << 23
 _KEPT_BYTES = 6  # of a shingle's hash, after the bits that its bucket tells
 _BROADCAST_ROWS = 1_000_000  # of one number each
+_SAMPLED = 1.5  # times the share that a link may leave unmatched: the share of the hashes of the first step
 _LED = 4  # most frequent shingles of a prefix whose lists are compared with one member first
 
 
@@ -123,14 +129,20 @@ def _nodes(words: int, keep: list[str]) -> Callable:
     return work
 
 
-def _packed(words: int, bits: int) -> Callable:
-    """(bucket, nodes, counts, shingles): the sets of a piece, split by the first bits."""
+def _packed(words: int, bits: int, share: float = 1) -> Callable:
+    """(bucket, nodes, sizes, counts, shingles): the sets of a piece, split by the first bits.
+
+    Of the shingles only those in the first `share` of all hashes; sizes are those of whole sets.
+    """
+    last = np.uint64(int(min(share, 1) * 0xFFFF) << 48 | 0xFFFFFFFFFFFF)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _pieces(batches, "_text"):
             sets = {_name(s): s for s in shingle_sets(batch.column("_text"), words) if len(s)}
-            names, sizes = np.array(list(sets), np.int64), np.array([len(s) for s in sets.values()], np.int64)
-            shingles = np.concatenate([np.empty(0, np.uint64), *sets.values()])
+            names, whole = np.array(list(sets), np.int64), np.array([len(s) for s in sets.values()], np.int64)
+            kept = [s[: np.searchsorted(s, last, "right")] for s in sets.values()]
+            sizes = np.array([len(s) for s in kept], np.int64)
+            shingles = np.concatenate([np.empty(0, np.uint64), *kept])
             # in the order of bucket and owner; the cost does not depend on the number of buckets
             bucket = shingles >> np.uint64(64 - bits)
             order = np.argsort(bucket, kind="stable")
@@ -145,7 +157,7 @@ def _packed(words: int, bits: int) -> Callable:
             ends = np.concatenate((starts[1:], [len(bucket)]))[: len(starts)]
             spans = np.searchsorted(runs, starts), np.searchsorted(runs, ends)
             rows = [
-                (int(bucket[start]), names[owner[runs[a:b]]].tobytes(), sizes[owner[runs[a:b]]].astype("<i4").tobytes(),
+                (int(bucket[start]), names[owner[runs[a:b]]].tobytes(), whole[owner[runs[a:b]]].astype("<i4").tobytes(),
                  counts[a:b].astype("<i4").tobytes(), told[start:end].tobytes())
                 for start, end, a, b in zip(starts.tolist(), ends.tolist(), *(x.tolist() for x in spans), strict=True)
             ]
@@ -164,24 +176,40 @@ def _kept_bits(bits: int) -> int:
     return min(8 * _KEPT_BYTES, 64 - bits)
 
 
+def _counted(bucket: pa.Table) -> tuple[np.ndarray, ...]:
+    """nodes and sizes of a bucket; its shingles in order, whose they are, and how many nodes have
+    each different one."""
+    joined = lambda name, kind: np.frombuffer(b"".join(bucket.column(name).to_pylist()), kind)
+    nodes, sizes, counts = joined("nodes", np.int64), joined("sizes", "<i4"), joined("counts", "<i4")
+    packed = joined("shingles", np.uint8).reshape(-1, _KEPT_BYTES)
+    shingles = np.zeros((len(packed), 8), np.uint8)
+    shingles[:, :_KEPT_BYTES] = packed
+    shingles = shingles.view("<u8").ravel()
+    first = np.zeros(len(nodes), bool)  # a node that came from several pieces counts once
+    first[np.unique(nodes, return_index=True)[1]] = True
+    kept = np.repeat(first, counts)
+    shingles, owner = shingles[kept], np.repeat(np.flatnonzero(first), counts[first])
+    order = np.argsort(shingles)
+    shingles, owner = shingles[order], owner[order]
+    starts = np.flatnonzero(np.concatenate(([True], shingles[1:] != shingles[:-1])))
+    df = np.diff(np.concatenate((starts, [len(shingles)])))
+    return nodes, sizes, shingles, owner, df
+
+
+def _own(bucket: pa.Table) -> pa.Table:
+    """(node, size, own): of the bucket's nodes, how many shingles no other node has, if any."""
+    nodes, sizes, _, owner, df = _counted(bucket)
+    own = np.bincount(owner[np.repeat(df, df) == 1], minlength=len(nodes))
+    some = np.flatnonzero(own)
+    columns = (nodes[some], np.int64), (sizes[some], np.int32), (own[some], np.int32)
+    return pa.table([pa.array(x.astype(kind)) for x, kind in columns], ["node", "size", "own"])
+
+
 def _shared(bits: int) -> Callable:
     """(node, size, shingle, df) of a bucket's shingles that at least two nodes have."""
 
     def work(bucket: pa.Table) -> pa.Table:
-        joined = lambda name, kind: np.frombuffer(b"".join(bucket.column(name).to_pylist()), kind)
-        nodes, sizes, counts = joined("nodes", np.int64), joined("sizes", "<i4"), joined("counts", "<i4")
-        packed = joined("shingles", np.uint8).reshape(-1, _KEPT_BYTES)
-        shingles = np.zeros((len(packed), 8), np.uint8)
-        shingles[:, :_KEPT_BYTES] = packed
-        shingles = shingles.view("<u8").ravel()
-        first = np.zeros(len(nodes), bool)  # a node that came from several pieces counts once
-        first[np.unique(nodes, return_index=True)[1]] = True
-        kept = np.repeat(first, counts)
-        shingles, owner = shingles[kept], np.repeat(np.flatnonzero(first), counts[first])
-        order = np.argsort(shingles)
-        shingles, owner = shingles[order], owner[order]
-        starts = np.flatnonzero(np.concatenate(([True], shingles[1:] != shingles[:-1])))
-        df = np.diff(np.concatenate((starts, [len(shingles)])))
+        nodes, sizes, shingles, owner, df = _counted(bucket)
         several = np.repeat(df, df) > 1
         owner = owner[several]
         shingles |= np.uint64(bucket.column("bucket")[0].as_py()) << np.uint64(_kept_bits(bits))
@@ -206,6 +234,18 @@ def _fits(a: str, b: str, percent: int) -> Column:
     return (F.least(F.col(a), F.col(b)) * 100) >= (F.greatest(F.col(a), F.col(b)) * percent)
 
 
+def sketches(nodes: DataFrame) -> DataFrame:
+    """`node, size, n, w0, w1, ...`: sizes, numbers of shared shingles, and their bitmaps."""
+    listed = nodes.select("node", "size", F.explode("shared").alias("shingle"))
+    return listed.groupBy("node", "size").agg(F.count(F.lit(1)).alias("n"), *sketch.bitmap("shingle"))
+
+
+def _may_link(x: str, y: str, percent: int) -> Column:
+    """Whether sketches leave two nodes similar enough."""
+    most = F.least(F.col(f"n_{x}") - sketch.lacking(x, y), F.col(f"n_{y}") - sketch.lacking(y, x))
+    return most * 100 >= (F.col(f"size_{x}") + F.col(f"size_{y}") - most) * percent
+
+
 def _linked(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes whose sets are similar enough, by exact intersection.
 
@@ -223,18 +263,40 @@ def _linked(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return both.where(common * 100 >= union * percent).select("a", "b")
 
 
-def similar_nodes(documents: DataFrame, how: Similarity, text_bytes: int) -> DataFrame:
-    """`node, component` of the nodes that link with another one."""
-    bits = max(4, (max(1, text_bytes // _BYTES_PER_BUCKET) - 1).bit_length())
-    shared = (
-        documents.select(F.col("text").alias("_text"))
-        .mapInArrow(
-            _packed(how.words, bits),
-            "bucket int, nodes binary, sizes binary, counts binary, shingles binary",
-        )
-        .groupBy("bucket")
-        .applyInArrow(_shared(bits), "node long, size int, shingle long, df int")
-    )
+def _bits(text_bytes: int) -> int:
+    """Of the number of buckets for so much text."""
+    return max(4, (max(1, text_bytes // _BYTES_PER_BUCKET) - 1).bit_length())
+
+
+def _buckets(texts: DataFrame, words: int, bits: int, share: float = 1) -> GroupedData:
+    shape = "bucket int, nodes binary, sizes binary, counts binary, shingles binary"
+    return texts.mapInArrow(_packed(words, bits, share), shape).groupBy("bucket")
+
+
+def open_texts(documents: DataFrame, placed: DataFrame, how: Similarity, text_bytes: int) -> tuple[DataFrame, int]:
+    """The texts whose sets may link with another one, and about how many bytes they have.
+
+    `placed` has `_key`, the hash of the text, `node` and `n_shingles` of all documents. Texts that
+    go have more shingles of their own than a link leaves unmatched, and no other set needs them.
+    """
+    share = _SAMPLED * (100 - how.percent) / 100
+    texts, left = documents.select(F.col("text").alias("_text")), placed.where("n_shingles > 0")
+    if share < 1:
+        own = _buckets(texts, how.words, _bits(text_bytes), share).applyInArrow(_own, "node long, size int, own int")
+        most = _prefix(F.col("size"), how.percent)
+        done = own.groupBy("node", "size").agg(F.sum("own").alias("own")).where(F.col("own") >= most)
+        left = left.join(done.select("node"), "node", "left_anti")
+    keys, n_keys = store(left.groupBy("_key").agg(F.sum("n_shingles").alias("n")), "jaccard-open")
+    part = (keys.agg(F.sum("n")).first()[0] or 0) / (placed.agg(F.sum("n_shingles")).first()[0] or 1)
+    keys = F.broadcast(keys.select("_key")) if n_keys <= _BROADCAST_ROWS else keys.select("_key")
+    return texts.join(keys, F.xxhash64("_text") == F.col("_key"), "left_semi"), int(text_bytes * part)
+
+
+def similar_nodes(documents: DataFrame, placed: DataFrame, how: Similarity, text_bytes: int) -> DataFrame:
+    """`node, component` of the nodes that link with another one; `placed` as for `open_texts`."""
+    texts, text_bytes = open_texts(documents, placed, how, text_bytes)
+    bits = _bits(text_bytes)
+    shared = _buckets(texts, how.words, bits).applyInArrow(_shared(bits), "node long, size int, shingle long, df int")
     # a node's list is as long as its document at most
     listed = shared.groupBy("node", "size").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("ordered"))
     alone = F.col("size") - F.size("ordered")
@@ -256,13 +318,9 @@ def similar_nodes(documents: DataFrame, how: Similarity, text_bytes: int) -> Dat
         "jaccard-members",
     )
     groups = stored(grouped, "jaccard-groups")
-    postings = stored(
-        groups.select("group", "size", "alone", "prefix", F.posexplode("prefix").alias("place", "shingle")),
-        "jaccard-postings",
-    )
+    postings = groups.select("group", "size", "alone", "prefix", F.posexplode("prefix").alias("place", "shingle"))
     ends = lambda to: postings.select(
-        "shingle", F.col("group").alias(to), F.col("size").alias(f"size_{to}"), F.col("prefix").alias(f"prefix_{to}"),
-        (F.col("size") - F.col("alone") - F.col("place")).alias(f"rest_{to}"),
+        "shingle", F.col("group").alias(to), F.col("size").alias(f"size_{to}"),
     )
     total = F.col("size_a") + F.col("size_b")
     needed = F.floor((total * how.percent + 99 + how.percent) / F.lit(100 + how.percent))
@@ -296,12 +354,15 @@ def similar_nodes(documents: DataFrame, how: Similarity, text_bytes: int) -> Dat
         "jaccard-placed",
     )
     spans = placed.groupBy("group").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    spread = postings.join(spans, "group")
+    # with the shingles of the prefix before each place
+    spread = groups.join(spans, "group").select(
+        "group", "size", "alone", "low", "high", "prefix", F.posexplode("prefix").alias("place", "shingle")
+    ).withColumn("before", F.slice("prefix", F.lit(1), F.col("place"))).drop("prefix")
     open_lists = spread.groupBy("shingle").agg(F.min("low").alias("l"), F.max("high").alias("h")).where("l < h").select("shingle")
     # dealt out once for both sides
     left = spread.join(open_lists, "shingle").repartition("shingle")
     ends = lambda to: left.select(
-        "shingle", F.col("group").alias(to), F.col("size").alias(f"size_{to}"), F.col("prefix").alias(f"prefix_{to}"),
+        "shingle", F.col("group").alias(to), F.col("size").alias(f"size_{to}"), F.col("before").alias(f"before_{to}"),
         (F.col("size") - F.col("alone") - F.col("place")).alias(f"rest_{to}"),
         F.col("low").alias(f"low_{to}"), F.col("high").alias(f"high_{to}"),
     )
@@ -311,19 +372,27 @@ def similar_nodes(documents: DataFrame, how: Similarity, text_bytes: int) -> Dat
         ends("a").alias("s").join(
             ends("b").alias("t"),
             (F.col("s.shingle") == F.col("t.shingle")) & (F.col("a") < F.col("b")) & filtered & ~settled
-            & (F.col("s.shingle") == F.get(F.array_intersect("prefix_a", "prefix_b"), F.lit(0))),
+            & ~F.arrays_overlap("before_a", "before_b"),
         ).select("a", "b")
     )
     inside = spans.where("low < high").select(F.col("group").alias("a"), F.col("group").alias("b"))
-    side = lambda to, node: placed.select(F.col("group").alias(to), F.col("node").alias(node), F.col("component").alias(f"c_{node}"))
+    sketched = sketches(nodes).withColumnRenamed("node", "of")
+    marked = stored(placed.join(sketched, F.col("node") == F.col("of")).drop("of"), "jaccard-sketches")
+    side = lambda to, node: marked.select(
+        F.col("group").alias(to), F.col("node").alias(node), F.col("component").alias(f"c_{node}"),
+        *[F.col(name).alias(f"{name}_{node}") for name in ("size", "n", *sketch.NAMES)],
+    )
     rest = (
         across.unionByName(inside)
         .join(side("a", "x"), "a")
-        .join(side("b", "y"), "b")
-        .where("c_x != c_y and (a != b or x < y)")
+        .join(
+            side("b", "y").withColumnRenamed("b", "_b"),
+            (F.col("b") == F.col("_b")) & (F.col("c_x") != F.col("c_y")) & ((F.col("a") != F.col("b")) | (F.col("x") < F.col("y")))
+            & _may_link("x", "y", how.percent),
+        )
         .select(*pair("x", "y"))
         .distinct()
-    )
+    )
     more = stored(_linked(rest, nodes, how.percent), "jaccard-links")
     if more.isEmpty():
         return labels
@@ -337,14 +406,15 @@ def jaccard_components(
 
     `node` names the set (null if empty) and `cluster` the component of linked sets.
     """
-    rows = documents.select(F.col("text").alias("_text"), *[c.alias(n) for n, c in keep.items()])
+    key = fresh("_key", list(keep))
+    rows = documents.select(F.col("text").alias("_text"), *[c.alias(n) for n, c in keep.items()], F.xxhash64("text").alias(key))
     shape = "".join(f"`{n}` {t}, " for n, t in rows.dtypes if n != "_text")
     placed = stored(
-        rows.mapInArrow(_nodes(how.words, list(keep)), f"{shape}n_shingles long, node long"),
+        rows.mapInArrow(_nodes(how.words, [*keep, key]), f"{shape}n_shingles long, node long"),
         "jaccard-rows",
     )
     size = documents.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    found = similar_nodes(documents, how, size)
+    found = similar_nodes(documents, placed.withColumnRenamed(key, "_key"), how, size)
     return placed.join(found, "node", "left").select(
         *[F.col(f"`{n}`") for n in keep], "n_shingles", "node", F.coalesce("component", "node").alias("cluster")
     )

@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from bumpwise.llm import ctw, embeddings, jaccard, language, lines, sharding
+from bumpwise.llm import ctw, embeddings, jaccard, language, lines, sharding, sketch
 from llm_fixtures import documents  # noqa: F401
 
 
@@ -242,3 +242,43 @@ def test_sets_are_packed_piece_by_piece(spark):
     finally:
         tracemalloc.stop()
     assert packed >= 9 * 64 and peak < 30e6
+
+
+def test_only_texts_that_may_link_are_split_whole(documents):
+    draw = random.Random(16)
+    single = _varied(draw, 200, 120)
+    near = [" ".join([*text.split()[:-1], f"n{n}"]) for n, text in enumerate(_varied(draw, 20, 120)) for n in range(3)]
+    docs = documents(list(enumerate([*single, *near, single[0], None, "two words"])))
+    keys = docs.select("doc_id", F.xxhash64("text").alias("_key"), F.col("text").alias("_text"))
+    placed = keys.mapInArrow(jaccard._nodes(4, ["doc_id", "_key"]), "doc_id long, _key long, n_shingles long, node long")
+    left, n_bytes = jaccard.open_texts(docs, placed, jaccard.Similarity(), 1 << 20)
+    left = {r["_text"] for r in left.collect()}
+    assert set(near) <= left and len(left & set(single)) < 20 and 0 < n_bytes < 1 << 19
+    # without a share of the hashes that could tell, all stay
+    every, _ = jaccard.open_texts(docs, placed, jaccard.Similarity(4, 20), 1 << 20)
+    assert every.count() == len(single) + len(near) + 2
+
+
+def test_sketches_of_sets_lose_no_link_and_bound_families_below_the_threshold(spark):
+    import pyarrow as pa
+
+    draw, family = random.Random(17), []
+    base = _varied(draw, 1, 180)[0].split()
+    for _ in range(80):
+        copy = list(base)
+        for _ in range(draw.randrange(0, 9)):
+            copy[draw.randrange(len(copy))] = f"n{draw.randrange(10**6)}"
+        family.append(" ".join(copy))
+    sets = jaccard.shingle_sets(pa.array(family, pa.string()), 4)
+    # a shingle that only one set has is counted in the size alone, as in similar_nodes
+    several = {x for s in sets for x in s.tolist() if sum(x in set(t.tolist()) for t in sets) > 1}
+    shared = [[int(x.astype("int64")) for x in s if int(x) in several] for s in sets]
+    nodes = spark.createDataFrame([(n, len(s), h) for n, (s, h) in enumerate(zip(sets, shared, strict=True))], "node long, size int, shared array<long>")
+    side = lambda to: jaccard.sketches(nodes).select(*[F.col(c).alias(f"{c}_{to}") for c in ("node", "size", "n", *sketch.NAMES)])
+    met = side("x").join(side("y"), F.col("node_x") < F.col("node_y")).where(jaccard._may_link("x", "y", 85))
+    left = {(r["node_x"], r["node_y"]) for r in met.select("node_x", "node_y").collect()}
+    plain = [set(s.tolist()) for s in sets]
+    near = {(a, b) for a in range(80) for b in range(a + 1, 80) if 100 * len(plain[a] & plain[b]) >= 85 * len(plain[a] | plain[b])}
+    assert near <= left and len(near) > 300 and len(left) < len(near) + 0.35 * (3160 - len(near))
+    pairs = spark.createDataFrame(sorted(left), "a long, b long")
+    assert {tuple(r) for r in jaccard._linked(pairs, nodes, 85).collect()} == near
