@@ -10,7 +10,9 @@ are signed once each, from exploded shingles in generated code. Nodes that agree
 candidates.
 
 A band's nodes are not joined with each other at once: first each is compared with one of them,
-links give components by distributed union-find, then the rest is compared across components. Two
+and links give components by distributed union-find. Where a band still has several components, its
+nodes are compared with `DRAWN` other ones, drawn by hash, up to `ROUNDS` times. Then the rest is
+compared across components. Two
 nodes are first compared by sketches, bitmaps of their shingles' hashes: bits that only one of two
 sketches has are shingles that the other lacks, which bounds the similarity from above. That loses
 no link. What the bound leaves is verified exactly on all shingles. Across components the pairs
@@ -31,6 +33,7 @@ import random
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bumpwise.llm import sketch
 from bumpwise.llm.common import WORD, fresh, stored, table, with_fixed
 from bumpwise.llm.graph import components
 from bumpwise.session import store
@@ -39,7 +42,7 @@ SHINGLE = 9
 PERCENT = 80
 BANDS, ROWS = 8, 4
 CLASSES = 4  # a power of two that divides BANDS
-SKETCH_WORDS = 16  # of 64 bits
+ROUNDS, DRAWN = 3, 4  # how often further nodes of a band are drawn, with which its others are compared
 SEED = 7
 SPACES = " \t\x0b\x0c\r"
 BROADCAST_ROWS = 1_000_000  # of one or two numbers each
@@ -94,25 +97,17 @@ def bands(lines: DataFrame) -> DataFrame:
 
 def sketches(lines: DataFrame) -> DataFrame:
     """`node, n, w0, w1, ...`: the number of shingles, repeats counted, and a bitmap of their hashes."""
-    bit = F.expr("shiftleft(1L, int(h & 63))")
-    word = F.shiftright("h", 6).bitwiseAND(F.lit(SKETCH_WORDS - 1))
-    words = [F.bit_or(F.when(word == k, bit).otherwise(F.lit(0).cast("long"))).alias(f"w{k}") for k in range(SKETCH_WORDS)]
-    return _exploded(lines).groupBy("node").agg(F.count(F.lit(1)).alias("n"), *words)
+    return _exploded(lines).groupBy("node").agg(F.count(F.lit(1)).alias("n"), *sketch.bitmap("h"))
 
 
 def _sketch(to: str) -> list[Column]:
-    return [F.col(name).alias(f"{name}_{to}") for name in ("n", *[f"w{k}" for k in range(SKETCH_WORDS)])]
+    return [F.col(name).alias(f"{name}_{to}") for name in ("n", *sketch.NAMES)]
 
 
 def _may_link(x: str, y: str) -> Column:
     """Whether sketches leave two nodes similar enough: each bit that only one of them has is a
     shingle at least that the other lacks."""
-    of = lambda to, k: F.col(f"w{k}_{to}")
-    only = lambda p, q: sum(
-        (F.bit_count(of(p, k).bitwiseAND(F.bitwise_not(of(q, k)))) for k in range(1, SKETCH_WORDS)),
-        F.bit_count(of(p, 0).bitwiseAND(F.bitwise_not(of(q, 0)))),
-    )
-    only_x, only_y = only(x, y), only(y, x)
+    only_x, only_y = sketch.lacking(x, y), sketch.lacking(y, x)
     most = F.least(F.col(f"n_{x}") - only_x, F.col(f"n_{y}") - only_y)
     return most * 100 >= (most + only_x + only_y) * PERCENT
 
@@ -167,6 +162,20 @@ def _pair(x: str, y: str) -> tuple[Column, Column]:
     return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
 
 
+def _open(banded: DataFrame, labels: DataFrame) -> DataFrame:
+    """`band, node, component` of the bands that have several components."""
+    placed = banded.select("band", "node").join(labels, "node", "left")
+    placed = placed.select("band", "node", F.coalesce("component", "node").alias("component"))
+    mixed = placed.groupBy("band").agg(F.min("component").alias("l"), F.max("component").alias("h")).where("l < h")
+    return placed.join(mixed.select("band"), "band")
+
+
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The components when more links are added; a component is told by those of its nodes with it."""
+    known = labels.where("node != component").select(F.col("component").alias("a"), F.col("node").alias("b"))
+    return stored(components(known.unionByName(links)), "line-components")
+
+
 def line_clusters(documents: DataFrame) -> DataFrame:
     """`node, component` of the lines that are similar to another, different line."""
     lines = _lines(documents)
@@ -188,22 +197,33 @@ def line_clusters(documents: DataFrame) -> DataFrame:
     sketched = stored(sketches(texts), "line-sketches")
     first = candidates.where("node != leader").select(*_pair("leader", "node")).distinct()
     links = stored(_linked(_within_bound(first, sketched), texts), "line-links")
-    labels = stored(components(links), "line-components")
-
-    placed = candidates.select("band", "node").join(labels, "node", "left")
-    placed = placed.select("band", "node", F.coalesce("component", "node").alias("component"))
-    mixed = placed.groupBy("band").agg(F.min("component").alias("l"), F.max("component").alias("h")).where("l < h")
-    left = stored(placed.join(mixed.select("band"), "band").join(sketched, "node"), "line-open")
+    labels, tried = stored(components(links), "line-components"), first
+    left = stored(_open(candidates, labels), "line-open")
+    for turn in range(ROUNDS):
+        orders = [F.xxhash64("node", F.lit(turn), F.lit(k)) for k in range(DRAWN)]
+        drawn = left.groupBy("band").agg(
+            *[F.min_by(c, order).alias(f"{c}{k}") for k, order in enumerate(orders) for c in ("node", "component")]
+        )
+        each = [F.struct(F.col(f"node{k}").alias("leader"), F.col(f"component{k}").alias("led")) for k in range(DRAWN)]
+        drawn = drawn.select("band", F.inline(F.array_distinct(F.array(*each))))
+        again = left.join(drawn, "band").where("component != led").select(*_pair("leader", "node")).distinct()
+        again = stored(again.join(tried, ["a", "b"], "left_anti"), "line-again")
+        more, n_more = store(_linked(_within_bound(again, sketched), texts), "line-links")
+        if not n_more:
+            break
+        tried = tried.unionByName(again)
+        labels = _joined(labels, more)
+        left = stored(_open(left, labels), "line-open")
+
+    left = left.join(sketched, "node")
     x = left.select("band", F.col("node").alias("x"), F.col("component").alias("cx"), *_sketch("x"))
     y = left.select("band", F.col("node").alias("y"), F.col("component").alias("cy"), *_sketch("y"))
     met = x.alias("p").join(
         y.alias("q"), (F.col("p.band") == F.col("q.band")) & (F.col("cx") < F.col("cy")) & _may_link("x", "y")
     )
-    rest = met.select(*_pair("x", "y")).distinct().join(first, ["a", "b"], "left_anti")
-    more = stored(_linked(rest, texts), "line-links")
-    if more.isEmpty():
-        return labels
-    return stored(components(links.unionByName(more)), "line-components")
+    rest = met.select(*_pair("x", "y")).distinct().join(tried, ["a", "b"], "left_anti")
+    more, n_more = store(_linked(rest, texts), "line-links")
+    return _joined(labels, more) if n_more else labels
 
 
 def removed_lines(documents: DataFrame) -> DataFrame:
