@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 
 from bumpwise.llm import sketch
-from bumpwise.llm.common import fresh, stored, table
+from bumpwise.llm.common import fresh, stored, table, with_fixed
 from bumpwise.llm.graph import components
 from bumpwise.llm.texts import lowered_texts
 from bumpwise.session import store
@@ -235,15 +235,19 @@ def _fits(a: str, b: str, percent: int) -> Column:
 
 
 def sketches(nodes: DataFrame) -> DataFrame:
-    """`node, size, n, w0, w1, ...`: sizes, numbers of shared shingles, and their bitmaps."""
+    """`node, size, n, bits, w0, w1, ...`: sizes, numbers of shared shingles, and their bitmaps with
+    the numbers of their bits."""
     listed = nodes.select("node", "size", F.explode("shared").alias("shingle"))
-    return listed.groupBy("node", "size").agg(F.count(F.lit(1)).alias("n"), *sketch.bitmap("shingle"))
+    counted = listed.groupBy("node", "size").agg(F.count(F.lit(1)).alias("n"), *sketch.bitmap("shingle"))
+    return with_fixed(counted, {"bits": sketch.bits()})
 
 
-def _may_link(x: str, y: str, percent: int) -> Column:
-    """Whether sketches leave two nodes similar enough."""
-    most = F.least(F.col(f"n_{x}") - sketch.lacking(x, y), F.col(f"n_{y}") - sketch.lacking(y, x))
-    return most * 100 >= (F.col(f"size_{x}") + F.col(f"size_{y}") - most) * percent
+def _may_link(x: str, y: str, percent: int, counted: bool = False) -> Column:
+    """Whether sketches leave two nodes similar enough: a bit that only one of them has is a shingle
+    at least that the other lacks. With `counted`, columns named bits_x, bits_y hold their bits."""
+    hidden = lambda to: F.col(f"n_{to}") - (F.col(f"bits_{to}") if counted else sketch.bits(f"_{to}"))
+    most = sketch.common(x, y) + F.least(hidden(x), hidden(y))
+    return most * (100 + percent) >= (F.col(f"size_{x}") + F.col(f"size_{y}")) * percent
 
 
 def _linked(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -380,7 +384,7 @@ def similar_nodes(documents: DataFrame, placed: DataFrame, how: Similarity, text
     marked = stored(placed.join(sketched, F.col("node") == F.col("of")).drop("of"), "jaccard-sketches")
     side = lambda to, node: marked.select(
         F.col("group").alias(to), F.col("node").alias(node), F.col("component").alias(f"c_{node}"),
-        *[F.col(name).alias(f"{name}_{node}") for name in ("size", "n", *sketch.NAMES)],
+        *[F.col(name).alias(f"{name}_{node}") for name in ("size", "n", "bits", *sketch.NAMES)],
     )
     rest = (
         across.unionByName(inside)
@@ -388,7 +392,7 @@ def similar_nodes(documents: DataFrame, placed: DataFrame, how: Similarity, text
         .join(
             side("b", "y").withColumnRenamed("b", "_b"),
             (F.col("b") == F.col("_b")) & (F.col("c_x") != F.col("c_y")) & ((F.col("a") != F.col("b")) | (F.col("x") < F.col("y")))
-            & _may_link("x", "y", how.percent),
+            & _may_link("x", "y", how.percent, counted=True),
         )
         .select(*pair("x", "y"))
         .distinct()

@@ -31,16 +31,18 @@ import random
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bumpwise.llm import sketch
 from bumpwise.llm.common import WORD, fresh, stored, table, with_fixed
 from bumpwise.llm.graph import components
-from bumpwise.session import store
+from bumpwise.session import setting, store
 
 SHINGLE = 9
 PERCENT = 80
 BANDS, ROWS = 8, 4
 CLASSES = 4  # a power of two that divides BANDS
-SKETCH_WORDS = 16  # of 64 bits
+WIDE_WORDS = 64  # of 64 bits; a power of two
 SEED = 7
+GROUPS_BIT = 18  # signatures of a task, as a power of two, up to which they are kept in the faster map
 SPACES = " \t\x0b\x0c\r"
 BROADCAST_ROWS = 1_000_000  # of one or two numbers each
 
@@ -51,12 +53,12 @@ def _wide(line: Column) -> Column:
 
 
 def _starts(wide: Column) -> Column:
-    """The starts of all overlapping shingles; a shorter line is one shingle."""
-    return F.sequence(F.lit(0), F.greatest(F.expr("0"), (F.octet_length(wide) / 4).cast("int") - SHINGLE))
+    """The first bytes, from 1, of all overlapping shingles; a shorter line is one shingle."""
+    return F.sequence(F.lit(1), F.greatest(F.lit(1), F.octet_length(wide) - (4 * SHINGLE - 1)), F.lit(4))
 
 
 def _hashed(wide: Column, start: Column) -> Column:
-    return F.xxhash64(F.substring(wide, start * 4 + 1, F.lit(4 * SHINGLE)))
+    return F.xxhash64(F.substring(wide, start, F.lit(4 * SHINGLE)))
 
 
 def _exploded(lines: DataFrame) -> DataFrame:
@@ -93,28 +95,43 @@ def bands(lines: DataFrame) -> DataFrame:
 
 
 def sketches(lines: DataFrame) -> DataFrame:
-    """`node, n, w0, w1, ...`: the number of shingles, repeats counted, and a bitmap of their hashes."""
-    bit = F.expr("shiftleft(1L, int(h & 63))")
-    word = F.shiftright("h", 6).bitwiseAND(F.lit(SKETCH_WORDS - 1))
-    words = [F.bit_or(F.when(word == k, bit).otherwise(F.lit(0).cast("long"))).alias(f"w{k}") for k in range(SKETCH_WORDS)]
-    return _exploded(lines).groupBy("node").agg(F.count(F.lit(1)).alias("n"), *words)
+    """`node, n, bits, w0, w1, ...`: the number of shingles, repeats counted, and a bitmap of their
+    hashes with the number of its bits."""
+    counted = _exploded(lines).groupBy("node").agg(F.count(F.lit(1)).alias("n"), *sketch.bitmap("h"))
+    return with_fixed(counted, {"bits": sketch.bits()})
+
+
+def wide_sketches(lines: DataFrame) -> DataFrame:
+    """`node, n, bits, words`: as `sketches`, of WIDE_WORDS words in one array."""
+    word = F.shiftright("h", 6).bitwiseAND(F.lit(WIDE_WORDS - 1)).cast("int")
+    by_word = _exploded(lines).groupBy("node", word.alias("word")).agg(
+        F.count(F.lit(1)).alias("n"), F.bit_or(sketch.bit("h")).alias("held")
+    )
+    listed = by_word.groupBy("node").agg(
+        F.sum("n").alias("n"), F.sum(F.bit_count("held")).alias("bits"), F.collect_list(F.struct("word", "held")).alias("held")
+    )
+    listed = with_fixed(listed, {"by_word": F.map_from_entries("held")})
+    words = F.transform(F.sequence(F.lit(0), F.lit(WIDE_WORDS - 1)), lambda k: F.coalesce(F.try_element_at("by_word", k), F.lit(0).cast("long")))
+    return listed.select("node", "n", "bits", words.alias("words"))
 
 
 def _sketch(to: str) -> list[Column]:
-    return [F.col(name).alias(f"{name}_{to}") for name in ("n", *[f"w{k}" for k in range(SKETCH_WORDS)])]
+    return [F.col(name).alias(f"{name}_{to}") for name in ("n", "bits", *sketch.NAMES)]
+
+
+def _possible(x: str, y: str, both: Column) -> Column:
+    """Whether sketches with so many bits in common leave two nodes similar enough: each bit that
+    only one of them has is a shingle at least that the other lacks.
+
+    At most `most` = both + least(n - bits) shingles are common, and the others are
+    bits_x + bits_y - 2 * both at least; `both` is long, so it stands here once.
+    """
+    hidden = F.least(F.col(f"n_{x}") - F.col(f"bits_{x}"), F.col(f"n_{y}") - F.col(f"bits_{y}"))
+    return both * (100 + PERCENT) >= (F.col(f"bits_{x}") + F.col(f"bits_{y}")) * PERCENT - hidden * (100 - PERCENT)
 
 
 def _may_link(x: str, y: str) -> Column:
-    """Whether sketches leave two nodes similar enough: each bit that only one of them has is a
-    shingle at least that the other lacks."""
-    of = lambda to, k: F.col(f"w{k}_{to}")
-    only = lambda p, q: sum(
-        (F.bit_count(of(p, k).bitwiseAND(F.bitwise_not(of(q, k)))) for k in range(1, SKETCH_WORDS)),
-        F.bit_count(of(p, 0).bitwiseAND(F.bitwise_not(of(q, 0)))),
-    )
-    only_x, only_y = only(x, y), only(y, x)
-    most = F.least(F.col(f"n_{x}") - only_x, F.col(f"n_{y}") - only_y)
-    return most * 100 >= (most + only_x + only_y) * PERCENT
+    return _possible(x, y, sketch.common(x, y))
 
 
 def _lines(documents: DataFrame) -> DataFrame:
@@ -154,6 +171,18 @@ def _within_bound(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").where(_may_link("a", "b")).select("a", "b")
 
 
+def _within_wide_bound(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) that wider sketches leave possible; only nodes in a pair have one."""
+    pairs = stored(pairs, "line-pairs")
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+    involved = _small(ends.distinct(), "line-paired")
+    wide = stored(wide_sketches(texts.join(involved, "node", "left_semi")), "line-wide")
+    side = lambda to: wide.select(F.col("node").alias(to), *[F.col(name).alias(f"{name}_{to}") for name in ("n", "bits", "words")])
+    both = F.zip_with("words_a", "words_b", lambda p, q: F.bit_count(p.bitwiseAND(q)))
+    both = F.aggregate(both, F.lit(0), lambda total, n: total + n)
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(_possible("a", "b", both)).select("a", "b")
+
+
 def _small(frame: DataFrame, name: str) -> DataFrame:
     """A stored copy, sent to all executors if it has at most BROADCAST_ROWS rows.
 
@@ -175,7 +204,8 @@ def line_clusters(documents: DataFrame) -> DataFrame:
     # dealt out once, for the count and the join
     banded = bands(different).repartition("band")
     shared = banded.groupBy("band").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last")
-    candidates = stored(banded.join(shared.select("band", "leader"), "band"), "line-bands")
+    with setting(documents.sparkSession, "spark.sql.codegen.aggregate.fastHashMap.capacityBit", str(GROUPS_BIT)):
+        candidates = stored(banded.join(shared.select("band", "leader"), "band"), "line-bands")
     involved = _small(candidates.select("node").distinct(), "line-involved")
     # one text per node; only nodes with a candidate
     texts = stored(
@@ -200,7 +230,7 @@ def line_clusters(documents: DataFrame) -> DataFrame:
         y.alias("q"), (F.col("p.band") == F.col("q.band")) & (F.col("cx") < F.col("cy")) & _may_link("x", "y")
     )
     rest = met.select(*_pair("x", "y")).distinct().join(first, ["a", "b"], "left_anti")
-    more = stored(_linked(rest, texts), "line-links")
+    more = stored(_linked(_within_wide_bound(rest, texts), texts), "line-links")
     if more.isEmpty():
         return labels
     return stored(components(links.unionByName(more)), "line-components")

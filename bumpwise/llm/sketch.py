@@ -13,14 +13,30 @@ WORDS = 16  # of 64 bits
 NAMES = tuple(f"w{k}" for k in range(WORDS))
 
 
+def bit(hashed: str) -> Column:
+    """The bit of a hash within its word, by the lowest six bits."""
+    return F.expr(f"shiftleft(1L, int({hashed} & 63))")
+
+
 def bitmap(hashed: str) -> list[Column]:
     """w0, w1, ...: the aggregates of a column of hashes, of which the lowest bits count."""
-    bit = F.expr(f"shiftleft(1L, int({hashed} & 63))")
     word = F.shiftright(hashed, 6).bitwiseAND(F.lit(WORDS - 1))
-    return [F.bit_or(F.when(word == k, bit).otherwise(F.lit(0).cast("long"))).alias(name) for k, name in enumerate(NAMES)]
+    return [F.bit_or(F.when(word == k, bit(hashed)).otherwise(F.lit(0).cast("long"))).alias(name) for k, name in enumerate(NAMES)]
+
+
+def _sum(counts: list[Column]) -> Column:
+    return sum(counts[1:], counts[0])
+
+
+def bits(suffix: str = "") -> Column:
+    """How many bits the bitmap in w0, w1, ... has; `suffix` ends the columns' names."""
+    return _sum([F.bit_count(f"{name}{suffix}") for name in NAMES])
+
 
+def common(x: str, y: str) -> Column:
+    """How many bits two bitmaps share, in columns named w0_x, w0_y, ...
 
-def lacking(x: str, y: str) -> Column:
-    """How many members of `x` at least are not in `y`, of columns named w0_x, w0_y, ..."""
-    only = [F.bit_count(F.col(f"{name}_{x}").bitwiseAND(F.bitwise_not(F.col(f"{name}_{y}")))) for name in NAMES]
-    return sum(only[1:], only[0])
+    Compare by this alone, once in a condition: a generated method that is too long for the
+    compiler of the virtual machine runs many times slower.
+    """
+    return _sum([F.bit_count(F.col(f"{name}_{x}").bitwiseAND(F.col(f"{name}_{y}"))) for name in NAMES])

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -64,6 +66,17 @@ def store(frame: DataFrame, name: str) -> tuple[DataFrame, int]:
     return spark.read.schema(frame.schema).parquet(path), counted.get["n"]
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """One of the session's settings, for the jobs that run within."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def row_bytes(frame: DataFrame) -> Column:
     """About how many bytes a row takes: the length of its texts, and 8 for any other value."""
     texts = [field.name for field in frame.schema if isinstance(field.dataType, (T.StringType, T.BinaryType))]

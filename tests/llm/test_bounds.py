@@ -14,6 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from bumpwise.llm import ctw, embeddings, jaccard, language, lines, sharding, sketch
+from bumpwise.session import setting
 from llm_fixtures import documents  # noqa: F401
 
 
@@ -282,3 +283,48 @@ def test_sketches_of_sets_lose_no_link_and_bound_families_below_the_threshold(sp
     assert near <= left and len(near) > 300 and len(left) < len(near) + 0.35 * (3160 - len(near))
     pairs = spark.createDataFrame(sorted(left), "a long, b long")
     assert {tuple(r) for r in jaccard._linked(pairs, nodes, 85).collect()} == near
+
+
+def test_wider_sketches_of_long_lines_lose_no_link_and_leave_fewer_pairs(spark):
+    draw = random.Random(18)
+    base = [draw.choice("abcdefghijklmnop ") for _ in range(700)]
+    family = ["", "short", "short!"]
+    for _ in range(60):
+        copy = list(base)
+        for _ in range(draw.randrange(1, 14)):
+            copy[draw.randrange(len(copy))] = draw.choice("0123456789")
+        family.append("".join(copy))
+    n_lines = len(family)
+    texts = spark.createDataFrame(list(enumerate(family)), "node long, line string")
+    pairs = texts.select(F.col("node").alias("a")).crossJoin(texts.select(F.col("node").alias("b"))).where("a < b")
+    grams = [{line[k : k + 9] for k in range(max(1, len(line) - 8))} for line in family]
+    near = {
+        (a, b) for a in range(n_lines) for b in range(a + 1, n_lines)
+        if 100 * len(grams[a] & grams[b]) >= 80 * len(grams[a] | grams[b])
+    }
+    narrow = {tuple(r) for r in lines._within_bound(pairs, lines.sketches(texts)).collect()}
+    wide = {tuple(r) for r in lines._within_wide_bound(pairs, texts).collect()}
+    false = lambda left: len(left - near)
+    assert near <= wide <= narrow and len(near) > 100 and false(narrow) > 100 and false(wide) < 0.6 * false(narrow)
+    held = {r["node"]: r for r in lines.wide_sketches(texts).collect()}
+    assert all(sum(w.bit_count() if w >= 0 else (w + 2**64).bit_count() for w in r["words"]) == r["bits"] for r in held.values())
+    assert all(len(r["words"]) == lines.WIDE_WORDS and r["n"] == max(1, len(family[n]) - 8) for n, r in held.items())
+
+
+def test_a_bound_counts_the_bits_of_two_sketches_once(spark):
+    """More, and the condition of a join is a method too long for the virtual machine's compiler."""
+    texts = spark.createDataFrame([(1, "one line"), (2, "another line")], "node long, line string")
+    x = lines.sketches(texts).select(*lines._sketch("x"))
+    y = lines.sketches(texts).select(*lines._sketch("y"))
+    plan = x.join(y, lines._may_link("x", "y"))._jdf.queryExecution().optimizedPlan()
+    joins = [line for line in plan.toString().splitlines() if "Join" in line]
+    assert len(joins) == 1 and joins[0].count("bit_count") == sketch.WORDS
+
+
+def test_a_setting_is_taken_back(spark):
+    name = "spark.sql.codegen.aggregate.fastHashMap.capacityBit"
+    before = spark.conf.get(name, None)
+    with pytest.raises(ValueError, match="stop"), setting(spark, name, "18"):
+        assert spark.conf.get(name) == "18"
+        raise ValueError("stop")
+    assert spark.conf.get(name, None) == before
