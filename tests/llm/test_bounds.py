@@ -328,3 +328,57 @@ def test_a_setting_is_taken_back(spark):
         assert spark.conf.get(name) == "18"
         raise ValueError("stop")
     assert spark.conf.get(name, None) == before
+
+
+@pytest.mark.parametrize("spread", [0.02, 0.33])
+def test_links_of_tiles_equal_brute_force(monkeypatch, spread):
+    """Clusters far apart (few blocks are open between chunks) and vectors in all directions."""
+    monkeypatch.setattr(embeddings, "_CHUNK", 8)
+    draw, width = np.random.default_rng(19), 24
+    centers = draw.normal(size=(20, width))
+    rows = np.concatenate([c + spread * draw.normal(size=(9, width)) for c in centers] + [centers + 0.25 * draw.normal(size=centers.shape)])
+    units = embeddings._units(rows)
+    variances, axes = np.linalg.eigh(units.T @ units)
+    blocks = embeddings.blocks_of(variances, 8)
+    shares = np.array([variances[b].sum() for b in blocks])
+    budgets = 0.2 * shares / shares.sum()
+    names, copies = np.arange(1000, 1000 + len(rows)), draw.integers(1, 4, len(rows))
+    cut = 111
+    parts = [
+        embeddings._Tile(names[at].astype("<i8").tobytes(), copies[at].astype("<i8").tobytes(), rows[at].tobytes(), width, "<f8", axes)
+        for at in (slice(0, cut), slice(cut, None))
+    ]
+    counts, up = np.zeros(len(rows), int), np.arange(len(rows))
+    for x, y in ((0, 0), (0, 1), (1, 1)):
+        found = embeddings._links_between(parts[x], parts[y], blocks, budgets, 0.9).to_pydict()
+        for node, to, links in zip(*(found[c] for c in ("node", "to", "links")), strict=True):
+            counts[node - 1000] += links
+            a, b = up[node - 1000], up[to - 1000]
+            up[up == max(a, b)] = min(a, b)
+    alike = units @ units.T >= 0.9
+    np.fill_diagonal(alike, False)
+    assert counts.tolist() == (alike @ copies).tolist() and alike.sum() > 20
+    plain = np.arange(len(rows))
+    for _ in rows:
+        plain = np.minimum(plain, np.where(alike, plain, len(rows)).min(axis=1))
+    assert up.tolist() == plain.tolist()
+    if spread < 0.1:
+        opened = embeddings._open_blocks(parts[0], parts[1], blocks, budgets).sum(axis=2)
+        assert (opened == 0).any() and ((opened > 0) & (opened <= embeddings._FEW)).any()
+
+
+def test_tiles_meet_without_a_shuffle(spark):
+    """Each vector was sent once per block and tile that its own one meets: 731 MB of 20."""
+    draw, n = np.random.default_rng(20), 3000
+    rows = [(k, 1, [float(x) for x in v]) for k, v in enumerate(draw.normal(size=(n, 12)).astype(np.float32))]
+    nodes = spark.createDataFrame(rows, "node long, copies long, vector array<float>")
+    axes, _ = embeddings.rotation(nodes, 12)
+    tiled = embeddings.tiles(nodes, n, 12, axes)
+    held = tiled.collect()
+    assert sorted(x for r in held for x in np.frombuffer(r["nodes"], "<i8").tolist()) == list(range(n))
+    assert len(held) >= 10 and all(len(r["nodes"]) <= 8 * embeddings._LEAST_TILE for r in held)
+    met = embeddings._meet(tiled, 0.9)
+    assert "Exchange hashpartitioning" not in met._jdf.queryExecution().executedPlan().toString()
+    assert met.count() == len(held) * (len(held) + 1) // 2
+    far = spark.createDataFrame([(1, [0.9, 0.0], [1.0, 0.1]), (2, [-1.0, 0.0], [-0.9, 0.1])], "tile long, low array<double>, high array<double>")
+    assert {(r["tile_a"], r["tile_b"]) for r in embeddings._meet(far, 0.9).collect()} == {(1, 1), (2, 2)}
