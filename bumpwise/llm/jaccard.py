@@ -196,13 +196,36 @@ def _counted(bucket: pa.Table) -> tuple[np.ndarray, ...]:
     return nodes, sizes, shingles, owner, df
 
 
-def _own(bucket: pa.Table) -> pa.Table:
-    """(node, size, own): of the bucket's nodes, how many shingles no other node has, if any."""
-    nodes, sizes, _, owner, df = _counted(bucket)
-    own = np.bincount(owner[np.repeat(df, df) == 1], minlength=len(nodes))
-    some = np.flatnonzero(own)
-    columns = (nodes[some], np.int64), (sizes[some], np.int32), (own[some], np.int32)
-    return pa.table([pa.array(x.astype(kind)) for x, kind in columns], ["node", "size", "own"])
+def _own(bits: int) -> Callable:
+    """(part, nodes, sizes, own): of the bucket's nodes, how many shingles no other node has, if any,
+    packed by the first bits of the nodes' names: a row per part, not one per node."""
+
+    def work(bucket: pa.Table) -> pa.Table:
+        nodes, sizes, _, owner, df = _counted(bucket)
+        own = np.bincount(owner[np.repeat(df, df) == 1], minlength=len(nodes))
+        some = np.flatnonzero(own)
+        part = (nodes[some].view(np.uint64) >> np.uint64(64 - bits)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        some, part = some[order], part[order]
+        starts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))[: len(part)])
+        cut = lambda x, kind: pa.array([piece.astype(kind).tobytes() for piece in np.split(x, starts[1:])] if len(x) else [], pa.binary())
+        columns = [pa.array(part[starts]), cut(nodes[some], "<i8"), cut(sizes[some], "<i4"), cut(own[some], "<i4")]
+        return pa.table(columns, ["part", "nodes", "sizes", "own"])
+
+    return work
+
+
+def _done(percent: int) -> Callable:
+    """(node): of a part's nodes, those with more shingles of their own than a link leaves unmatched."""
+
+    def work(part: pa.Table) -> pa.Table:
+        joined = lambda name, kind: np.frombuffer(b"".join(part.column(name).to_pylist()), kind)
+        nodes, first, which = np.unique(joined("nodes", "<i8"), return_index=True, return_inverse=True)
+        sizes = joined("sizes", "<i4")[first].astype(np.int64)
+        own = np.bincount(which, joined("own", "<i4"), len(nodes))
+        return pa.table({"node": pa.array(nodes[own >= sizes - (sizes * percent + 99) // 100 + 1])})
+
+    return work
 
 
 def _shared(bits: int) -> Callable:
@@ -286,10 +309,11 @@ def open_texts(documents: DataFrame, placed: DataFrame, how: Similarity, text_by
     share = _SAMPLED * (100 - how.percent) / 100
     texts, left = documents.select(F.col("text").alias("_text")), placed.where("n_shingles > 0")
     if share < 1:
-        own = _buckets(texts, how.words, _bits(text_bytes), share).applyInArrow(_own, "node long, size int, own int")
-        most = _prefix(F.col("size"), how.percent)
-        done = own.groupBy("node", "size").agg(F.sum("own").alias("own")).where(F.col("own") >= most)
-        left = left.join(done.select("node"), "node", "left_anti")
+        bits = _bits(text_bytes)
+        shape = "part int, nodes binary, sizes binary, own binary"
+        own = _buckets(texts, how.words, bits, share).applyInArrow(_own(bits), shape)
+        done = own.groupBy("part").applyInArrow(_done(how.percent), "node long")
+        left = left.join(done, "node", "left_anti")
     keys, n_keys = store(left.groupBy("_key").agg(F.sum("n_shingles").alias("n")), "jaccard-open")
     part = (keys.agg(F.sum("n")).first()[0] or 0) / (placed.agg(F.sum("n_shingles")).first()[0] or 1)
     keys = F.broadcast(keys.select("_key")) if n_keys <= _BROADCAST_ROWS else keys.select("_key")

@@ -382,3 +382,29 @@ def test_tiles_meet_without_a_shuffle(spark):
     assert met.count() == len(held) * (len(held) + 1) // 2
     far = spark.createDataFrame([(1, [0.9, 0.0], [1.0, 0.1]), (2, [-1.0, 0.0], [-0.9, 0.1])], "tile long, low array<double>, high array<double>")
     assert {(r["tile_a"], r["tile_b"]) for r in embeddings._meet(far, 0.9).collect()} == {(1, 1), (2, 2)}
+
+
+def test_own_shingles_come_packed_and_are_counted_whole():
+    """A row per bucket and part of the nodes, not one per bucket and node."""
+    import pyarrow as pa
+
+    draw = random.Random(21)
+    texts = [*_varied(draw, 300, 60), *[" ".join(["same"] * 50 + [f"x{n}"]) for n in range(20)], "", None]
+    texts += [" ".join([*texts[0].split()[:-1], "end"])]
+    sets = jaccard.shingle_sets(pa.array(texts, pa.string()), 5)
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["_text"])
+    bits = 6
+    packed = pa.Table.from_batches(list(jaccard._packed(5, bits)(iter([batch]))))
+    found = []
+    for number in sorted(set(packed.column("bucket").to_pylist())):
+        found.append(jaccard._own(bits)(packed.filter(pa.compute.equal(packed.column("bucket"), number))))
+    found = pa.concat_tables(found)
+    assert found.num_rows <= 64 * 64 and sum(len(x) // 8 for x in found.column("nodes").to_pylist()) > 300 * 30
+    several = {x for k, s in enumerate(sets) for x in s.tolist() if any(x in t for t in map(set, (s.tolist() for s in sets[:k])))}
+    own = {jaccard._name(s): (len(s), sum(x not in several for x in s.tolist())) for s in sets if len(s)}
+    for percent in (80, 20):
+        done = set()
+        for part in sorted(set(found.column("part").to_pylist())):
+            done |= set(jaccard._done(percent)(found.filter(pa.compute.equal(found.column("part"), part))).column("node").to_pylist())
+        assert done == {node for node, (size, n) in own.items() if n and n >= size - (size * percent + 99) // 100 + 1}
+    assert 250 < len(done) < len(own)
